@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import at, readings
+from tidemark.operators import lookup as lookups
+
+COLUMNS = ["temp_threshold", "model"]
+
+
+def _skewed(seed: int, n: int = 400):
+    """Readings and versions of which well over a third belong to one device, with many equal stamps."""
+    rng = random.Random(seed)
+    device = lambda: "hot" if rng.random() < 0.5 else f"d{rng.randint(1, 6)}"
+    when = lambda: at(0) if rng.random() < 0.3 else at(rng.randint(0, 50), rng.randint(0, 59))
+    probes = [{"reading_id": i, "device_id": device(), "event_time": when()} for i in range(n)]
+    probes += [{"reading_id": n, "device_id": None}, {"reading_id": n + 1, "event_time": None}]
+    versions = {}
+    for i in range(n // 2):
+        versions[(device(), at(rng.randint(0, 50), rng.randint(0, 59)))] = (float(i), f"m{i}")
+    return probes, versions
+
+
+def _expected(probes, versions):
+    out = {}
+    for p in probes:
+        best = None
+        if p.get("device_id") is not None and p.get("event_time", at(0)) is not None:
+            held = [(since, v) for (d, since), v in versions.items()
+                    if d == p["device_id"] and since <= p.get("event_time", at(0))]
+            best = max(held, default=None)
+        out[p["reading_id"]] = (best[0], *best[1]) if best else (None, None, None)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("way", ["sweep", "broadcast", "measured"])
+def test_as_of_matches_brute_force(spark, monkeypatch, seed, way):
+    probes, versions = _skewed(seed)
+    left = readings(spark, probes)
+    right = spark.createDataFrame(
+        [(d, since, *v) for (d, since), v in versions.items()],
+        "device_id string, valid_from timestamp_ntz, temp_threshold double, model string",
+    )
+    if way == "sweep":
+        monkeypatch.setattr(lookups, "VERSIONS_PER_DEVICE", 0)
+    if way == "broadcast":
+        monkeypatch.setattr(lookups, "VERSIONS_PER_DEVICE", 10_000)
+    out = lookups.lookup_as_of(left, right, "event_time", COLUMNS, slices=7).collect()
+    got = {r.reading_id: (r.valid_from, r.temp_threshold, r.model) for r in out}
+    assert len(out) == len(probes)
+    assert got == _expected(probes, versions)
+
+
+def test_as_of_without_versions(spark):
+    left = readings(spark, [{}])
+    none = spark.createDataFrame([], "device_id string, valid_from timestamp_ntz, temp_threshold double, model string")
+    row = lookups.lookup_as_of(left, none, "event_time", COLUMNS).first()
+    assert (row.reading_id, row.valid_from, row.model) == (1, None, None)
+
+
+def test_salted_lookup_equals_the_broadcast_one(spark):
+    probes, _ = _skewed(3)
+    left = readings(spark, probes)
+    dim = spark.createDataFrame([("hot", 1.0, "a"), ("d1", 2.0, "b")], "device_id string, temp_threshold double, model string")
+    a = lookups.lookup(left, dim, COLUMNS, broadcast=True)
+    b = lookups.lookup(left, dim, COLUMNS, broadcast=False, salts=5)
+    assert b.count() == left.count()
+    assert a.select(sorted(a.columns)).exceptAll(b.select(sorted(b.columns))).count() == 0
+
+
+def test_dimension_over_the_bound_is_not_broadcast(spark, monkeypatch):
+    left = readings(spark, [{"device_id": f"d{i}"} for i in range(20)])
+    dim = spark.range(50).select(
+        F.concat(F.lit("d"), "id").alias("device_id"), F.col("id").cast("double").alias("temp_threshold"), F.lit("m").alias("model")
+    )
+    plan = lambda: lookups.lookup(left, dim, COLUMNS)._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" in plan()
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 10)
+    assert "strategy=broadcast" not in plan()
+
+
+def test_latest_per_device(spark):
+    changes = spark.createDataFrame(
+        [("a", 1.0, at(1)), ("a", 2.0, at(3)), ("a", 3.0, at(2)), ("b", 4.0, at(1))],
+        "device_id string, temp_threshold double, valid_from timestamp_ntz",
+    )
+    last = {r.device_id: r.temp_threshold for r in lookups.latest_per_device(changes, ["valid_from"]).collect()}
+    assert last == {"a": 2.0, "b": 4.0}

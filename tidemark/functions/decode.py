@@ -17,12 +17,24 @@ def iso_timestamp(text: Column) -> Column:
     return F.when(text.rlike(ISO_NAIVE), kept.try_cast("timestamp_ntz"))
 
 
-def _typed(text: Column, field: T.StructField) -> Column:
-    if isinstance(field.dataType, T.TimestampNTZType):
+def _is_time(field: T.StructField) -> bool:
+    return isinstance(field.dataType, T.TimestampNTZType)
+
+
+def _parse(schema: T.StructType, as_text: bool) -> Column:
+    kinds = {f.name: "STRING" if as_text or _is_time(f) else f.dataType.simpleString() for f in schema}
+    ddl = ", ".join(f"{name} {kind}" for name, kind in kinds.items()) + f", {_BROKEN} STRING"
+    return F.from_json("value", ddl, {"columnNameOfCorruptRecord": _BROKEN})
+
+
+def _field(field: T.StructField) -> Column:
+    retried = F.col(f"_text.{field.name}")
+    text = F.when(F.col(_BROKEN).isNull(), F.col(field.name)).otherwise(retried)
+    if _is_time(field):
         return iso_timestamp(text)
     if isinstance(field.dataType, T.StringType):
         return text
-    return text.try_cast(field.dataType)
+    return F.when(F.col(_BROKEN).isNull(), F.col(field.name)).otherwise(retried.try_cast(field.dataType))
 
 
 def decode(
@@ -30,24 +42,23 @@ def decode(
 ) -> DataFrame:
     """Decode ``messages.value`` into ``schema`` plus ``quarantine_reason``.
 
-    Fields are parsed as text and cast one by one, so a bad or absent field is
-    NULL and its neighbours survive. A message that is not a JSON object, or
+    A message that fits the types is parsed once. Any other is parsed again
+    with every field as text and cast field by field, so a bad or absent field
+    is NULL and its neighbours survive. A message that is not a JSON object, or
     that has no ``key``, gets a reason and is to be kept out of the tables.
     """
-    wire = ", ".join(f"{f.name} STRING" for f in schema) + f", {_BROKEN} STRING"
-    parsed = messages.withColumn(
-        "_m", F.from_json("value", wire, {"columnNameOfCorruptRecord": _BROKEN})
-    )
+    # inline() keeps the parsed struct as one step; as a plain column the optimizer would repeat
+    # the parse in every filter and projection above it.
+    parsed = messages.select(*keep, "value", F.inline(F.array(_parse(schema, as_text=False))))
+    retry = F.when(F.col(_BROKEN).isNotNull(), _parse(schema, as_text=True))
+    parsed = parsed.select("*", F.explode(F.array(retry)).alias("_text"))
     reason = (
         F.when(F.col("value").isNull(), "null_message")
-        .when(F.col(f"_m.{_BROKEN}").isNotNull(), "not_json")
-        .when(F.col(f"_m.{key}").isNull(), "no_" + key)
+        .when(F.col(f"_text.{_BROKEN}").isNotNull(), "not_json")
+        .when(F.coalesce(F.col(f"_text.{key}"), F.col(key)).isNull(), "no_" + key)
     )
     return parsed.select(
-        *keep,
-        *[_typed(F.col(f"_m.{f.name}"), f).alias(f.name) for f in schema],
-        reason.alias("quarantine_reason"),
-        "value",
+        *keep, *[_field(f).alias(f.name) for f in schema], reason.alias("quarantine_reason"), "value"
     )
 
 

@@ -12,20 +12,23 @@ from tidemark.sources.tiered import REWRITE_IDS, TieredTable, file_name
 
 
 def compact(table: TieredTable, rows_per_file: int = 5_000_000) -> list[int]:
-    """Rewrite the live snapshots into one with few, time-ordered files; returns the new ids.
-
-    Snapshots whose hot files are gone stay apart from the others, so that a
-    stream can still tell which rows only the cold tier has. Names of hot files
-    that turned out to hold no rows are recorded too, which takes them out of
-    every later union read. One compaction at a time; flushes may go on.
+    """Rewrite small snapshots into one with few, time-ordered files; returns the new ids.
+
+    A snapshot with full files is left alone, so a row is rewritten when it is
+    new and not again with every later compaction. Snapshots whose hot files
+    are gone stay apart from the others, so that a stream can still tell which
+    rows only the cold tier has. Names of hot files that turned out to hold no
+    rows are recorded too, which takes them out of every later union read. One
+    compaction at a time; flushes may go on.
     """
     records = table.live().collect()
     existing = {r.snapshot_id for r in table.history().select("snapshot_id").collect()}
+    gone = table.purged_ids()
     empty = _empty_hot_files(table)
     listed = {file_name(path) for path in table.hot_files()}
     made = []
     for purged in (True, False):
-        group = [r for r in records if table.is_purged(r.snapshot_id) == purged]
+        group = [r for r in records if (r.snapshot_id in gone) == purged and _is_small(r, rows_per_file)]
         names = {name for r in group for name in r.hot_files} & listed
         if not purged:
             names |= empty
@@ -34,6 +37,10 @@ def compact(table: TieredTable, rows_per_file: int = 5_000_000) -> list[int]:
     return made
 
 
+def _is_small(record, rows_per_file: int) -> bool:
+    return record.row_count < rows_per_file or record.row_count < record.file_count * rows_per_file // 2
+
+
 def _rewrite(table, group, rows_per_file, hot_files, existing, purged) -> int:
     ids = [r.snapshot_id for r in group]
     new_id = REWRITE_IDS + max(i % REWRITE_IDS for i in ids)
@@ -55,11 +62,8 @@ def _rewrite(table, group, rows_per_file, hot_files, existing, purged) -> int:
         .write.mode("overwrite")
         .parquet(target)
     )
-    written = table.spark.read.schema(table.spec.schema).parquet(target).count()
-    if written != rows:
-        raise RuntimeError(f"rewrite {new_id} wrote {written} of {rows} rows")
     if purged:
-        storage.make_dir(table.spark, f"{table.purged}/id={new_id}")
+        storage.make_dir(table.spark, f"{table.purged}/id={new_id}/done")
     # What the group had itself replaced stays replaced until its records are gone.
     replaces = set(ids) | {i for r in group for i in r.replaces if i in existing}
     starts = [r.min_time for r in group if r.min_time is not None]
@@ -120,12 +124,15 @@ def purge(table: TieredTable, older_than_s: float | None = None) -> int:
         return sum(_remove_aged(table, path, cutoff) for path in paths.values())
     removed = 0
     for record in table.live().select("snapshot_id", "hot_files").collect():
+        mark = f"{table.purged}/id={record.snapshot_id}"
+        if storage.exists(table.spark, f"{mark}/done"):
+            continue
         mine = [paths[name] for name in record.hot_files if name in paths]
         if any(_age(table, path) > cutoff for path in mine):
             continue
-        if not table.is_purged(record.snapshot_id):
-            storage.make_dir(table.spark, f"{table.purged}/id={record.snapshot_id}")
+        storage.make_dir(table.spark, mark)
         removed += sum(_remove_aged(table, path, cutoff) for path in mine)
+        storage.make_dir(table.spark, f"{mark}/done")
     return removed
 
 

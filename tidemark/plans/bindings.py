@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark import schemas
+from tidemark.sources.dimension import seed_rows
 
 # Readings before this instant are the first drop (flushed to the cold tier), the rest the second.
 CUT = dt.datetime(2024, 1, 25)
@@ -70,7 +70,7 @@ def iot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def device_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(schemas.DEVICE_SEED, schemas.DEVICE)
+    return seed_rows(spark)
 
 
 def device_changes(spark: SparkSession, sf_dir: str, device: Column | None = None) -> DataFrame:

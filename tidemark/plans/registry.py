@@ -15,6 +15,7 @@ from tidemark.operators.health import health, health_stream
 from tidemark.plans import analytics, bindings, demo
 from tidemark.session import configure, shared_dir
 from tidemark.sources.dimension import DeviceDimension
+from tidemark.sources.lake import Lake
 from tidemark.streaming import live
 from tidemark.streaming.jobs import CATCH_UP, finish
 from tidemark.streaming.monitor import FreshnessMonitor
@@ -342,7 +343,9 @@ def cold_read(spark, sf_dir):
 
 @_query
 def cold_count(spark, sf_dir):
-    return analytics.row_count(demo.lakehouse(spark, sf_dir).silver.read("cold"), "cold_only")
+    """The cold count as another engine gets it: from the lake's files, with no hot log in the path."""
+    lake = Lake(spark, demo.lakehouse(spark, sf_dir).root)
+    return analytics.row_count(lake.read(schemas.DEVICE_TELEMETRY.name), "cold_only")
 
 
 @_query
@@ -405,18 +408,22 @@ def tiered_since(spark, sf_dir):
 
 @_query
 def lake_pct_over_threshold(spark, sf_dir):
-    return analytics.pct_over_threshold(demo.lakehouse(spark, sf_dir).gold.read("cold"))
+    lake = Lake(spark, demo.lakehouse(spark, sf_dir).root)
+    return analytics.pct_over_threshold(lake.read(schemas.DEVICE_HEALTH.name))
 
 
 @_query
 def lake_event_counts(spark, sf_dir):
-    return analytics.event_counts(demo.lakehouse(spark, sf_dir).events.read("cold"))
+    lake = Lake(spark, demo.lakehouse(spark, sf_dir).root)
+    return analytics.event_counts(lake.read(schemas.IOT_EVENTS.name))
 
 
 @_query
 def lake_failure_context(spark, sf_dir):
-    house = demo.lakehouse(spark, sf_dir)
-    return analytics.failures_in_context(house.events.read("cold"), house.gold.read("cold"))
+    lake = Lake(spark, demo.lakehouse(spark, sf_dir).root)
+    return analytics.failures_in_context(
+        lake.read(schemas.IOT_EVENTS.name), lake.read(schemas.DEVICE_HEALTH.name)
+    )
 
 
 @_query

@@ -13,6 +13,15 @@ from tidemark.sources import lookup_source, storage
 _COMMIT = "row_count BIGINT, committed_at TIMESTAMP"
 
 
+def seed_rows(spark: SparkSession) -> DataFrame:
+    """The eleven seeded devices as literal rows."""
+    values = ", ".join(
+        f"('{device}', {threshold}D, '{location}', '{model}', '{status}')"
+        for device, threshold, location, model, status in DEVICE_SEED
+    )
+    return spark.sql(f"SELECT * FROM VALUES {values} AS seed({', '.join(DEVICE.names)})")
+
+
 class DeviceDimension:
     """Upserts write a whole new version; its commit row makes it current.
 
@@ -41,7 +50,7 @@ class DeviceDimension:
         return self.spark.read.schema(DEVICE).parquet(f"{self.path}/versions/version={version}")
 
     def seed(self) -> int:
-        return self.upsert(self.spark.createDataFrame(DEVICE_SEED, DEVICE))
+        return self.upsert(seed_rows(self.spark))
 
     def upsert(self, changes: DataFrame, order: list[str] | None = None) -> int:
         """Merge changed rows, the last one per device by ``order`` winning; returns the version.

@@ -25,6 +25,12 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(p, True)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds; nothing when there is no such folder."""
+    fs, p = _path(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def modified_millis(spark: SparkSession, path: str) -> int | None:
     """When a file was last written, or None when it is gone."""
     fs, p = _path(spark, path)

@@ -5,7 +5,7 @@ Layout of a table under its root:
     hot/                       appended by Spark's own file sink, whose log is the commit point
     lake/data/snapshot_id=K/   what flush K moved, as plain Parquet
     lake/snapshots/id=K/       one row, written last; snapshot K exists once it is there
-    lake/purged/id=K           a folder that marks K's hot files as removed
+    lake/purged/id=K           a folder that says K's hot files are being removed
     checkpoints/
 
 Cold is the rows of the live snapshots. Hot plus cold is the same rows and the
@@ -16,6 +16,7 @@ shuffle. Hot files are never rewritten.
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -32,7 +33,7 @@ REWRITE_IDS = 1_000_000_000_000
 FILES_PER_FLUSH = 10_000
 
 _RECORD = columns(
-    "snapshot_id BIGINT, operation STRING, committed_at TIMESTAMP, row_count BIGINT, "
+    "snapshot_id BIGINT, operation STRING, committed_at TIMESTAMP, row_count BIGINT, file_count BIGINT, "
     "min_time TIMESTAMP_NTZ, max_time TIMESTAMP_NTZ, replaces ARRAY<BIGINT>, "
     "hot_files ARRAY<STRING>"
 )
@@ -69,12 +70,18 @@ class TieredTable:
 
     # ---- hot ----
 
-    def append(self, rows: DataFrame, trigger: dict, retention: str | None = None) -> StreamingQuery:
+    def append(
+        self, rows: DataFrame, trigger: dict, files: int | None = None, retention_days: int | None = None
+    ) -> StreamingQuery:
         """Append a stream to the hot log, exactly once.
 
-        ``retention`` lets the log forget files older than it, which keeps the
-        log short on a table that is flushed well within that time.
+        ``files`` bounds the files a micro-batch writes, for sources with many
+        partitions. ``retention_days`` lets the sink's log forget files older
+        than that, which keeps the log short; a table with rows that are still
+        unflushed at half that age is refused, as they would drop out of sight.
         """
+        if files:
+            rows = rows.repartition(files)
         writer = (
             rows.select(*self.spec.schema.names)
             .writeStream.format("parquet")
@@ -83,10 +90,18 @@ class TieredTable:
             .option("checkpointLocation", f"{self.checkpoints}/append")
             .trigger(**trigger)
         )
-        if retention:
-            writer = writer.option("retention", retention)
+        if retention_days:
+            self._refuse_stale(retention_days / 2)
+            writer = writer.option("retention", f"{retention_days}d")
         return writer.start(self.hot)
 
+    def _refuse_stale(self, days: float) -> None:
+        oldest = (time.time() - days * 86_400) * 1000
+        for path in self.pin().hot_paths:
+            written = storage.modified_millis(self.spark, path)
+            if written is not None and written < oldest:
+                raise RuntimeError(f"{self.spec.name} has unflushed rows over {days} days old; flush it first")
+
     def stream(self, history: Version | None = None, **options: str) -> DataFrame:
         """The table as an unending stream: what is there first, then rows as they land.
 
@@ -100,7 +115,7 @@ class TieredTable:
             .options(**options)
             .parquet(self.hot)
         )
-        gone = [k for k in history.snapshots if self.is_purged(k)] if history else []
+        gone = sorted(set(history.snapshots) & self.purged_ids()) if history else []
         if not gone:
             return hot
         parts = f"{self.data}/snapshot_id={{{','.join(map(str, gone))}}}"
@@ -121,8 +136,9 @@ class TieredTable:
         replaced = records.select(F.explode("replaces").alias("snapshot_id"))
         return records.join(replaced, "snapshot_id", "left_anti")
 
-    def is_purged(self, snapshot_id: int) -> bool:
-        return storage.exists(self.spark, f"{self.purged}/id={snapshot_id}")
+    def purged_ids(self) -> set[int]:
+        """Snapshots whose hot files are gone, or going."""
+        return {int(name.split("=", 1)[1]) for name in storage.names(self.spark, self.purged)}
 
     def snapshots(self) -> DataFrame:
         """One row per flush or rewrite: what the table's snapshot history shows."""
@@ -137,16 +153,19 @@ class TieredTable:
         newest row is older.
         """
         hot = self.hot_files()
-        records = self.live().select("snapshot_id", "max_time", "hot_files").collect()
-        if strict and not records:
-            raise NoSnapshotYet(f"{self.spec.name}: a batch read needs one lake snapshot")
+        records = self._live_records(strict)
         flushed = {name for record in records for name in record.hot_files}
-        kept = [r for r in records if since is None or r.max_time is None or r.max_time >= since]
         return Version(
-            tuple(sorted(r.snapshot_id for r in kept)),
+            tuple(r.snapshot_id for r in records if _reaches(r, since)),
             tuple(path for path in hot if file_name(path) not in flushed),
         )
 
+    def _live_records(self, strict: bool = False, since: dt.datetime | None = None) -> list:
+        records = self.live().select("snapshot_id", "max_time", "hot_files").collect()
+        if strict and not records:
+            raise NoSnapshotYet(f"{self.spec.name}: a batch read needs one lake snapshot")
+        return sorted((r for r in records if _reaches(r, since)), key=lambda r: r.snapshot_id)
+
     # ---- reads ----
 
     def read(
@@ -164,6 +183,8 @@ class TieredTable:
         """
         if tier not in ("union", "cold", "hot"):
             raise ValueError(f"no such tier: {tier}")
+        if version is None and tier == "cold":
+            version = Version(tuple(r.snapshot_id for r in self._live_records(strict, since)), ())
         version = version or self.pin(strict=strict, since=since)
         parts = {
             "cold": [f"{self.data}/snapshot_id={k}" for k in version.snapshots],
@@ -181,8 +202,8 @@ class TieredTable:
 
     def _files(self, paths: list[str], tag: str | None) -> DataFrame:
         reader = self.spark.read.schema(self.spec.schema)
-        if not self.spec.tiered:
-            reader = reader.option("ignoreMissingFiles", "true")  # its log ages out under readers
+        if not self.spec.tiered:  # its log ages out under readers
+            return self._tag(reader.option("ignoreMissingFiles", "true").parquet(self.hot), tag)
         return self._tag(reader.parquet(*paths), tag)
 
     @staticmethod
@@ -229,21 +250,25 @@ class TieredTable:
         found = seen.get
         if not found["n"]:
             return
-        written = spark.read.schema(self.spec.schema).parquet(target).count()
-        if written != found["n"]:
-            raise RuntimeError(f"flush {snapshot_id} wrote {written} of {found['n']} rows")
         if before_commit:
             before_commit()
         self.commit(
-            snapshot_id, "append", written, found["min_time"], found["max_time"], [], found["files"]
+            snapshot_id, "append", found["n"], found["min_time"], found["max_time"], [], found["files"]
         )
 
     def commit(
         self, snapshot_id, operation, row_count, min_time, max_time, replaces, hot_files
     ) -> None:
-        """Write the one-row record, in one file, that makes a snapshot exist."""
+        """Check the data that was written and add the one-row record that makes it a snapshot.
+
+        The record is one file, so it appears whole or not at all.
+        """
+        written = self.spark.read.schema(self.spec.schema).parquet(f"{self.data}/snapshot_id={snapshot_id}")
+        rows = written.count()
+        if rows != row_count:
+            raise RuntimeError(f"{self.spec.name} snapshot {snapshot_id} has {rows} of {row_count} rows")
         record = (
-            snapshot_id, operation, dt.datetime.now(dt.timezone.utc), row_count,
+            snapshot_id, operation, dt.datetime.now(dt.timezone.utc), row_count, len(written.inputFiles()),
             min_time, max_time, sorted(replaces), sorted(hot_files),
         )
         self.spark.createDataFrame([record], _RECORD).coalesce(1).write.mode("overwrite").parquet(
@@ -251,5 +276,9 @@ class TieredTable:
         )
 
 
+def _reaches(record, since: dt.datetime | None) -> bool:
+    return since is None or record.max_time is None or record.max_time >= since
+
+
 def file_name(path: str) -> str:
     return path.rsplit("/", 1)[1]

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
 from tidemark.functions import decode as wire
+from tidemark.functions.sizing import BROADCAST_ROWS, at_most
 from tidemark.operators.enrich import silver
 from tidemark.operators.health import health_stream
 from tidemark.sources.dimension import DeviceDimension
@@ -28,6 +29,8 @@ class Lakehouse:
     spark: SparkSession
     root: str
     dimension_slices: int = 1
+    files_per_batch: int | None = None
+    retention_days: int | None = None
     tables: dict[str, TieredTable] = field(default_factory=dict)
 
     def __post_init__(self):
@@ -63,11 +66,14 @@ class Lakehouse:
         started = []
         for messages, table in ((telemetry, self.telemetry), (events, self.events)):
             decoded = wire.decode(messages, table.spec.schema)
-            started.append(table.append(wire.accepted(decoded, table.spec.schema), trigger))
+            started.append(self._append(table, wire.accepted(decoded, table.spec.schema), trigger))
             if quarantine:
                 started.append(self._quarantine(wire.quarantined(decoded), table, trigger))
         return started
 
+    def _append(self, table: TieredTable, rows: DataFrame, trigger: dict) -> StreamingQuery:
+        return table.append(rows, trigger, self.files_per_batch, self.retention_days)
+
     def _quarantine(self, rows: DataFrame, table: TieredTable, trigger: dict) -> StreamingQuery:
         return (
             rows.writeStream.format("json")
@@ -81,26 +87,37 @@ class Lakehouse:
         return self.spark.read.schema("value STRING, reason STRING").json(f"{table.path}/quarantine")
 
     def start_enrichment(
-        self, trigger: dict, arrival: Column | None = None, broadcast: bool = True
+        self, trigger: dict, arrival: Column | None = None, broadcast: bool | None = None
     ) -> StreamingQuery:
-        """Bronze readings into silver, each with the threshold in force as its micro-batch runs."""
+        """Bronze readings into silver, each with the threshold in force as its micro-batch runs.
+
+        The dimension is broadcast when it is small as the job starts; should it
+        outgrow the bound later, the job stops and says so, and a restart shuffles.
+        """
+        if broadcast is None:
+            broadcast = at_most(self.dimension.current(), BROADCAST_ROWS)
         rows = silver(self.telemetry.stream(), self.dimension.live(broadcast), arrival, broadcast)
-        return self.silver.append(rows, trigger)
+        return self._append(self.silver, rows, trigger)
 
-    def start_health(self, trigger: dict, ticks: DataFrame | None = None) -> StreamingQuery:
-        """Silver into one-minute health windows over arrival time.
+    def start_health(
+        self, trigger: dict, ticks: DataFrame | None = None, event_time: bool = False
+    ) -> StreamingQuery:
+        """Silver into one-minute health windows over arrival time, or over event time.
 
         ``ticks`` is a stream with an ``ingest_time`` column that says how late
-        it is, so windows close while no reading arrives. A standing job gets
-        one tick a second unless it is given others.
+        it is, so arrival windows close while no reading arrives. A standing job
+        gets one tick a second unless it is given others. Event-time windows
+        wait five seconds for late readings and close on readings alone.
         """
         readings = self.silver.stream()
+        if event_time:
+            return self._append(self.gold, health_stream(readings, "event_time", "5 seconds"), trigger)
         if ticks is None and "processingTime" in trigger:
             beat = self.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
             ticks = beat.select(F.col("timestamp").cast("timestamp_ntz").alias("ingest_time"))
         if ticks is not None:
             readings = readings.unionByName(ticks.select("ingest_time"), allowMissingColumns=True)
-        return self.gold.append(health_stream(readings), trigger)
+        return self._append(self.gold, health_stream(readings), trigger)
 
     def start_tiering(self, trigger: dict | None = None) -> list[StreamingQuery]:
         """One flush job per tiered table, by default at each table's own freshness."""
