@@ -57,31 +57,30 @@ def _newest(df: DataFrame, column: str) -> dt.datetime:
 # ---- messages ----
 
 
+def _landed_messages(spark, sf_dir, topic) -> DataFrame:
+    return spark.read.schema("value STRING").text(f"{demo.lakehouse(spark, sf_dir).root}/inbox/{topic}/*")
+
+
 @_query
 def decode_telemetry(spark, sf_dir):
-    raw = bindings.as_messages(bindings.telemetry(spark, sf_dir))
+    """The JSON lines of every reading, decoded."""
+    raw = _landed_messages(spark, sf_dir, "telemetry")
     return wire.accepted(wire.decode(raw, schemas.TELEMETRY), schemas.TELEMETRY)
 
 
 @_query
 def decode_events(spark, sf_dir):
-    raw = bindings.as_messages(bindings.iot_events(spark, sf_dir))
+    """The JSON lines of every device event, decoded."""
+    raw = _landed_messages(spark, sf_dir, "events")
     return wire.accepted(wire.decode(raw, schemas.EVENTS), schemas.EVENTS)
 
 
 def _mangled(spark, sf_dir) -> DataFrame:
     """Every reading as a message, seven in eight of them spoiled in a different way."""
-    readings = bindings.telemetry(spark, sf_dir)
-    raw = readings.select(
-        "reading_id",
-        F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("_at"),
-        F.to_json(
-            F.struct(
-                "reading_id", "device_id",
-                F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("event_time"),
-                "energy_usage", "temperature", "vibration", "signal_strength",
-            )
-        ).alias("_good"),
+    at = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    fields = [at.alias("event_time") if c == "event_time" else F.col(c) for c in schemas.TELEMETRY.names]
+    raw = bindings.telemetry(spark, sf_dir).select(
+        "reading_id", at.alias("_at"), F.explode(F.array(F.to_json(F.struct(*fields)))).alias("_good")
     )
     good, at = F.col("_good"), F.col("_at")
     way = F.col("reading_id") % 8
@@ -95,7 +94,7 @@ def _mangled(spark, sf_dir) -> DataFrame:
         .when(way == 7, F.lit(None))
         .otherwise(good)
     )
-    return raw.select(F.col("reading_id").alias("message_id"), value.alias("value"))
+    return raw.select(F.col("reading_id").alias("message_id"), F.explode(F.array(value)).alias("value"))
 
 
 @_query
