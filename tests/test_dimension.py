@@ -26,6 +26,16 @@ def test_seed_and_upsert(spark, root):
     assert dim.history().count() == 13
 
 
+def test_vacuum_keeps_the_newest_versions_and_every_change(spark, root):
+    dim = DeviceDimension(spark, root)
+    for threshold in range(4):
+        dim.upsert(device(spark, ("device_1", float(threshold), "p", "m", "active")))
+    assert dim.vacuum(keep=2) == [1, 2]
+    assert dim.current().first().temp_threshold == dim.live().first().temp_threshold == 3.0
+    assert dim.history().count() == 4
+    assert dim.seed() == 5
+
+
 def test_last_change_per_device_wins(spark, root):
     dim = DeviceDimension(spark, root)
     changes = spark.createDataFrame(

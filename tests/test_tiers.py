@@ -92,13 +92,28 @@ def test_crash_between_data_and_record_loses_and_doubles_nothing(feed):
     assert feed.gap() == (29, 29, 0)
 
 
+def _replay(feed, rows, snapshot_id):
+    feed.table._flush_batch(rows.selectExpr("*", "'x' AS _hot_file"), snapshot_id, None)
+
+
 def test_replay_of_a_committed_flush_is_skipped(feed):
-    feed.land(10).flush()
-    batch = feed.table.read("cold").selectExpr("*", "'x' AS _hot_file")
-    feed.table._flush_batch(batch, 1, None)
-    assert feed.gap() == (10, 10, 0)
-    with pytest.raises(RuntimeError, match="wrong flush checkpoint"):
-        feed.table._flush_batch(batch.limit(3), 1, None)
+    feed.land(10).flush().land(10).flush()
+    rows = feed.table.read("cold")
+    _replay(feed, rows.limit(10), 2)
+    assert feed.gap() == (20, 20, 0)
+    for wrong in ((rows.limit(3), 2), (rows.limit(10), 1)):
+        with pytest.raises(RuntimeError, match="checkpoint lost"):
+            _replay(feed, *wrong)
+    # still recognised once the flush has been rewritten and has expired
+    maintenance.compact(feed.table)
+    maintenance.expire(feed.table, older_than_s=0)
+    _replay(feed, rows.limit(0), 2)
+    assert feed.gap() == (20, 20, 0)
+
+
+def test_a_root_with_odd_characters(spark, root):
+    feed = Feed(spark, f"{root}/a b=c%20d")
+    assert feed.land(5).flush().land(5).gap() == (10, 5, 5)
 
 
 def test_a_pinned_version_does_not_move(feed):

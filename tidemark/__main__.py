@@ -32,7 +32,7 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--telemetry", default="iot-telemetry", help="topic, or folder of JSON lines")
     parser.add_argument("--events", default="iot-events", help="topic, or folder of JSON lines")
     parser.add_argument("--every", default="10 seconds", help="trigger of the land and enrich jobs")
-    parser.add_argument("--event-time", action="store_true", help="health windows over event time")
+    parser.add_argument("--windows", choices=["arrival", "ingest_time", "event_time"], default="arrival")
     parser.add_argument("--files-per-batch", type=int, help="files one micro-batch may write to a table")
     parser.add_argument("--retention-days", type=int, help="how long the hot log remembers its files")
     parser.add_argument("--slices", type=int, default=1, help="files the device dimension is hashed into")
@@ -57,7 +57,7 @@ def main() -> None:
         spark.streams.awaitAnyTermination()
     elif args.command == "enrich":
         house.start_enrichment(every)
-        house.start_health(every, event_time=args.event_time)
+        house.start_health(every, over=args.windows)
         spark.streams.awaitAnyTermination()
     elif args.command == "tier":
         house.start_tiering()

@@ -75,15 +75,13 @@ def health_stream(
 ) -> DataFrame:
     """The same windows over a stream, append-only: a row appears once its window has closed.
 
-    ``readings`` may carry clock ticks (rows with a NULL device): they move the
-    watermark while no reading arrives and are dropped behind it. The predicate
-    names the time column because one that does not would be pushed below the
-    watermark and take the ticks away before they are seen.
+    ``readings`` may carry clock ticks, rows with a NULL device: they move the
+    watermark while no reading arrives. They form groups of their own that count
+    no device and are dropped by that count, after the watermark has seen them.
     """
     timed = readings.withColumn(by, F.col(by).cast("timestamp")).withWatermark(by, delay)
-    timed = timed.where(F.col("device_id").isNotNull() | F.col(by).isNull())
     windows = timed.groupBy("device_id", tumble(by, size).alias("window")).agg(
-        F.count(F.lit(1)).alias("cnt_points"),
+        F.count("device_id").alias("cnt_points"),
         _ones(_over()).alias("cnt_anomalies"),
         _ones(_spike()).alias("cnt_vib_spikes"),
         F.avg("temperature").alias("avg_temperature"),
@@ -96,4 +94,5 @@ def health_stream(
         F.max("location_id").alias("location_id"),
         F.max("model").alias("model"),
     )
+    windows = windows.where("cnt_points > 0")
     return _gold_columns(windows)

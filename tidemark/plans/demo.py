@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,14 +15,16 @@ from tidemark.sources.tiered import TieredTable
 from tidemark.streaming.jobs import CATCH_UP, Lakehouse, finish
 
 _built: dict[tuple[str, str], Lakehouse] = {}
+_building = threading.Lock()
 
 
 def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
     """Both drops landed, enriched and windowed; only the first one flushed. Built once a session."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _built:
-        _built[key] = _build(spark, sf_dir)
-    return _built[key]
+    with _building:
+        if key not in _built:
+            _built[key] = _build(spark, sf_dir)
+        return _built[key]
 
 
 def _build(spark: SparkSession, sf_dir: str) -> Lakehouse:
@@ -49,7 +52,7 @@ def _build(spark: SparkSession, sf_dir: str) -> Lakehouse:
             last = house.silver.read("union").agg((F.max("ingest_time") + F.expr("INTERVAL 1 HOUR")).alias("ingest_time"))
             last.coalesce(1).write.mode("append").parquet(ticks)
         clock = spark.readStream.schema("ingest_time TIMESTAMP_NTZ").parquet(ticks)
-        finish([house.start_health(CATCH_UP, clock)])
+        finish([house.start_health(CATCH_UP, "ingest_time", clock)])
         if drop == 1:
             finish(house.start_tiering(CATCH_UP))
     return house

@@ -85,6 +85,15 @@ class DeviceDimension:
         )
         return log.where(F.col("version") <= (self.version() or 0)).drop("version")
 
+    def vacuum(self, keep: int = 10) -> list[int]:
+        """Delete all but the newest ``keep`` versions (at least two); the change log stays whole."""
+        versions = sorted(r.version for r in self._commits().select("version").collect())
+        old = versions[: -max(keep, 2)]
+        for version in old:
+            storage.delete(self.spark, f"{self.path}/commits/version={version}")
+            storage.delete(self.spark, f"{self.path}/versions/version={version}")
+        return old
+
     def live(self, broadcast: bool = True) -> DataFrame:
         """The dimension for a stream-static join, read again by every micro-batch.
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import urllib.parse
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -122,12 +123,14 @@ class TieredTable:
         return self.spark.readStream.schema(self.spec.schema).parquet(parts).unionByName(hot)
 
     def hot_files(self) -> list[str]:
-        return self.spark.read.schema(self.spec.schema).parquet(self.hot).inputFiles()
+        """Paths of the committed hot files; Spark names them as URIs, its readers want plain paths."""
+        found = self.spark.read.schema(self.spec.schema).parquet(self.hot).inputFiles()
+        return [urllib.parse.unquote(path) for path in found]
 
     # ---- snapshots ----
 
     def history(self) -> DataFrame:
-        """Every committed snapshot, oldest first by id within its operation."""
+        """Every committed snapshot that has not expired."""
         return self.spark.read.schema(_RECORD).parquet(self.records)
 
     def live(self) -> DataFrame:
@@ -227,10 +230,7 @@ class TieredTable:
 
     def _flush_batch(self, batch: DataFrame, snapshot_id: int, before_commit) -> None:
         spark = batch.sparkSession
-        done = self.history().where(F.col("snapshot_id") == snapshot_id).first()
-        if done:  # a replay of a flush that was committed before the restart
-            if batch.count() != done.row_count:
-                raise RuntimeError(f"flush {snapshot_id} exists with other rows: wrong flush checkpoint?")
+        if self._already_flushed(batch, snapshot_id):
             return
         seen = Observation()
         target = f"{self.data}/snapshot_id={snapshot_id}"
@@ -256,6 +256,20 @@ class TieredTable:
             snapshot_id, "append", found["n"], found["min_time"], found["max_time"], [], found["files"]
         )
 
+    def _already_flushed(self, batch: DataFrame, snapshot_id: int) -> bool:
+        """Whether this is a replay of the last flush, committed just before a restart.
+
+        Flushes commit in order and a rewrite carries the number of the newest
+        flush in it, so this holds after that flush was compacted and expired too.
+        """
+        records = {r.snapshot_id: r.row_count for r in self.history().select("snapshot_id", "row_count").collect()}
+        newest = max((i % REWRITE_IDS for i in records), default=0)
+        if snapshot_id > newest:
+            return False
+        if snapshot_id < newest or batch.count() != records.get(snapshot_id, batch.count()):
+            raise RuntimeError(f"{self.spec.name}: flush {snapshot_id} is another's, is the flush checkpoint lost?")
+        return True
+
     def commit(
         self, snapshot_id, operation, row_count, min_time, max_time, replaces, hot_files
     ) -> None:

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark import schemas
 from tidemark.functions import decode as wire
 from tidemark.functions.sizing import BROADCAST_ROWS, at_most
+from tidemark.functions.times import now_millis
 from tidemark.operators.enrich import silver
 from tidemark.operators.health import health_stream
 from tidemark.sources.dimension import DeviceDimension
@@ -21,6 +22,9 @@ from tidemark.sources.tiered import TieredTable
 
 CATCH_UP = {"availableNow": True}
 
+EVENT_TIME_DELAY = "5 seconds"
+CLOCK_SLACK = "5 seconds"
+
 
 @dataclass
 class Lakehouse:
@@ -100,24 +104,36 @@ class Lakehouse:
         return self._append(self.silver, rows, trigger)
 
     def start_health(
-        self, trigger: dict, ticks: DataFrame | None = None, event_time: bool = False
+        self, trigger: dict, over: str = "arrival", ticks: DataFrame | None = None, size: str = "1 minute"
     ) -> StreamingQuery:
-        """Silver into one-minute health windows over arrival time, or over event time.
-
-        ``ticks`` is a stream with an ``ingest_time`` column that says how late
-        it is, so arrival windows close while no reading arrives. A standing job
-        gets one tick a second unless it is given others. Event-time windows
-        wait five seconds for late readings and close on readings alone.
+        """Silver into health windows.
+
+        ``over="arrival"``: a reading counts in the minute this job met it. A
+        standing job also meets a clock tick a second, stamped the same way, so
+        windows close while no reading arrives and no reading can come late.
+        ``"ingest_time"``: the minute silver stamped it, the same in any replay;
+        windows close on later readings, or on ``ticks``, a stream of
+        ``ingest_time`` that must never run ahead of the silver job.
+        ``"event_time"``: the reading's own time, five seconds late at most.
         """
         readings = self.silver.stream()
-        if event_time:
-            return self._append(self.gold, health_stream(readings, "event_time", "5 seconds"), trigger)
-        if ticks is None and "processingTime" in trigger:
-            beat = self.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-            ticks = beat.select(F.col("timestamp").cast("timestamp_ntz").alias("ingest_time"))
-        if ticks is not None:
-            readings = readings.unionByName(ticks.select("ingest_time"), allowMissingColumns=True)
-        return self._append(self.gold, health_stream(readings), trigger)
+        if over == "arrival":
+            if "processingTime" in trigger:
+                beat = self.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+                beat = beat.select(F.lit(None).cast("string").alias("device_id"))
+                readings = readings.unionByName(beat, allowMissingColumns=True)
+            # The watermark stays a little behind the clock, which may be set back or move hosts.
+            readings = readings.withColumn("arrival", now_millis())
+            windows = health_stream(readings, "arrival", CLOCK_SLACK, size)
+        elif over == "ingest_time":
+            if ticks is not None:
+                readings = readings.unionByName(ticks.select("ingest_time"), allowMissingColumns=True)
+            windows = health_stream(readings, "ingest_time", size=size)
+        elif over == "event_time":
+            windows = health_stream(readings, "event_time", EVENT_TIME_DELAY, size)
+        else:
+            raise ValueError(f"no such time: {over}")
+        return self._append(self.gold, windows, trigger)
 
     def start_tiering(self, trigger: dict | None = None) -> list[StreamingQuery]:
         """One flush job per tiered table, by default at each table's own freshness."""
