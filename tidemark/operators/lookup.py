@@ -45,10 +45,9 @@ def lookup_as_of(
     valid_from. A small history is broadcast; any other is swept in time order.
     """
     versions = versions.select(KEY, "valid_from", *columns)
-    if at_most(versions, BROADCAST_ROWS):
-        busiest = versions.groupBy(KEY).count().agg(F.max("count")).first()[0] or 0
-        if busiest <= VERSIONS_PER_DEVICE:
-            return _as_of_broadcast(readings, versions, at, columns)
+    total, busiest = versions.groupBy(KEY).count().agg(F.sum("count"), F.max("count")).first()
+    if (total or 0) <= BROADCAST_ROWS and (busiest or 0) <= VERSIONS_PER_DEVICE:
+        return _as_of_broadcast(readings, versions, at, columns)
     return _as_of_sweep(readings, versions, at, columns, slices)
 
 

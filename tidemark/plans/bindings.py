@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidemark import schemas
 from tidemark.sources.dimension import seed_rows
 
 # Readings before this instant are the first drop (flushed to the cold tier), the rest the second.
@@ -25,7 +26,7 @@ def _device() -> Column:
     return F.concat(F.lit("device_"), (F.col("user_id") % 12 + 1).cast("string"))
 
 
-def _pick(number: Column, *values: str) -> Column:
+def _pick(number: Column, values: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (number % len(values) + 1).cast("int"))
 
 
@@ -58,14 +59,14 @@ def iot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         _device().alias("device_id"),
         F.col("ts").alias("event_time"),
         F.col("_kind").alias("event_type"),
-        _pick(k, "low", "medium", "high").alias("severity"),
+        _pick(k, schemas.SEVERITIES).alias("severity"),
         only("failure", F.concat(F.lit("ERR"), (k + 1000).cast("string"))).alias("error_code"),
-        only("failure", _pick(k, "motor", "bearing", "sensor", "battery")).alias("component"),
-        only("failure", _pick(k, "overheating", "wear", "power_surge")).alias("root_cause"),
+        only("failure", _pick(k, schemas.COMPONENTS)).alias("component"),
+        only("failure", _pick(F.floor(k / 4), schemas.ROOT_CAUSES)).alias("root_cause"),
         only("maintenance", F.concat(F.lit("tech-"), (k % 20 + 1).cast("string"))).alias("technician"),
         only("maintenance", k + 15).alias("duration_min"),
-        only("maintenance", _pick(k, "bearing", "filter", "battery")).alias("parts_replaced"),
-        only("inspection", _pick(k, "passed", "passed", "failed")).alias("status"),
+        only("maintenance", _pick(k, schemas.PARTS)).alias("parts_replaced"),
+        only("inspection", _pick(k, schemas.STATUSES)).alias("status"),
         only("inspection", k % 24 + 7).alias("next_inspection_days"),
     )
 
@@ -83,8 +84,8 @@ def device_changes(spark: SparkSession, sf_dir: str, device: Column | None = Non
         .select(
             (device if device is not None else _device()).alias("device_id"),
             (F.lit(24.0) + (k % 11) * F.lit(0.5)).alias("temp_threshold"),
-            _pick(k, "plant_a", "plant_b", "plant_c").alias("location_id"),
-            _pick(k, "Model-A", "Model-B", "Model-C", "Model-D").alias("model"),
+            _pick(k, schemas.LOCATIONS).alias("location_id"),
+            _pick(k, schemas.MODELS).alias("model"),
             F.lit("active").alias("status"),
             F.col("ts").alias("valid_from"),
         )

@@ -30,31 +30,44 @@ def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
 def _build(spark: SparkSession, sf_dir: str) -> Lakehouse:
     root = shared_dir(spark, "lakehouse")
     house = Lakehouse(spark, root)
-    house.dimension.seed()
-    telemetry, events = bindings.telemetry(spark, sf_dir), bindings.iot_events(spark, sf_dir)
     ticks = f"{root}/ticks"
     storage.make_dir(spark, ticks)
-
-    for drop, part in enumerate((F.col("event_time") < bindings.CUT, F.col("event_time") >= bindings.CUT), 1):
-        bindings.as_messages(telemetry.where(part)).write.text(f"{root}/inbox/telemetry/{drop}")
-        bindings.as_messages(events.where(part)).write.text(f"{root}/inbox/events/{drop}")
-        finish(
-            house.start_landing(
-                messages.from_folder(spark, f"{root}/inbox/telemetry/*"),
-                messages.from_folder(spark, f"{root}/inbox/events/*"),
-                CATCH_UP,
-                quarantine=False,
-            )
+    first, second = F.col("event_time") < bindings.CUT, F.col("event_time") >= bindings.CUT
+
+    def drop(number, part):
+        for topic, rows in (("telemetry", bindings.telemetry), ("events", bindings.iot_events)):
+            lines = bindings.as_messages(rows(spark, sf_dir).where(part))
+            lines.write.text(f"{root}/inbox/{topic}/{number}")
+
+    def land():
+        return house.start_landing(
+            messages.from_folder(spark, f"{root}/inbox/telemetry/*"),
+            messages.from_folder(spark, f"{root}/inbox/events/*"),
+            CATCH_UP,
+            quarantine=False,
         )
-        finish([house.start_enrichment(CATCH_UP, bindings.arrival())])
-        if drop == 2:
-            # A late tick closes every window, as an hour without readings would.
-            last = house.silver.read("union").agg((F.max("ingest_time") + F.expr("INTERVAL 1 HOUR")).alias("ingest_time"))
-            last.coalesce(1).write.mode("append").parquet(ticks)
+
+    def enrich():
+        return house.start_enrichment(CATCH_UP, bindings.arrival())
+
+    def windows():
         clock = spark.readStream.schema("ingest_time TIMESTAMP_NTZ").parquet(ticks)
-        finish([house.start_health(CATCH_UP, "ingest_time", clock)])
-        if drop == 1:
-            finish(house.start_tiering(CATCH_UP))
+        return house.start_health(CATCH_UP, "ingest_time", clock)
+
+    # Each step runs side by side what does not depend on the others in it.
+    drop(1, first)
+    running = land()
+    house.dimension.seed()
+    finish(running)
+    running = [enrich(), house.telemetry.flush(CATCH_UP), house.events.flush(CATCH_UP)]
+    drop(2, second)
+    finish(running)
+    finish([windows(), house.silver.flush(CATCH_UP), *land()])
+    finish([house.gold.flush(CATCH_UP), enrich()])
+    # A late tick closes every window, as an hour without readings would.
+    last = house.silver.read().agg((F.max("ingest_time") + F.expr("INTERVAL 1 HOUR")).alias("ingest_time"))
+    last.coalesce(1).write.mode("append").parquet(ticks)
+    finish([windows()])
     return house
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.schemas import DEVICE_SEED
+from tidemark.schemas import (
+    COMPONENTS, DEVICE_SEED, LOCATIONS, MODELS, PARTS, ROOT_CAUSES, SEVERITIES, STATUSES,
+)
 
 _K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 _DEVICE = "'device_' || CAST(user_id % 12 + 1 AS VARCHAR)"
@@ -11,6 +13,12 @@ _CUT = "TIMESTAMP '2024-01-25 00:00:00'"
 _WEEK = {n: f"TIMESTAMP '2024-01-{1 + 7 * n:02d} 00:00:00'" for n in (1, 2, 3)}
 
 
+def _pick(number: str, values: list[str]) -> str:
+    """The SQL of values[number % len(values)]."""
+    cases = " ".join(f"WHEN {i} THEN '{value}'" for i, value in enumerate(values))
+    return f"CASE ({number}) % {len(values)} {cases} END"
+
+
 def _telemetry(at: str) -> str:
     return f"""telemetry AS (
   SELECT event_id AS reading_id, {_DEVICE} AS device_id, {at} AS event_time,
@@ -23,18 +31,14 @@ def _events(at: str) -> str:
     return f"""iot_events AS (
   SELECT {_DEVICE} AS device_id, {at} AS event_time,
     CASE event_type WHEN 'error' THEN 'failure' WHEN 'purchase' THEN 'maintenance' ELSE 'inspection' END AS event_type,
-    CASE {_K} % 3 WHEN 0 THEN 'low' WHEN 1 THEN 'medium' ELSE 'high' END AS severity,
+    {_pick(_K, SEVERITIES)} AS severity,
     CASE WHEN event_type = 'error' THEN 'ERR' || CAST(1000 + {_K} AS VARCHAR) END AS error_code,
-    CASE WHEN event_type = 'error' THEN
-      CASE {_K} % 4 WHEN 0 THEN 'motor' WHEN 1 THEN 'bearing' WHEN 2 THEN 'sensor' ELSE 'battery' END END AS component,
-    CASE WHEN event_type = 'error' THEN
-      CASE {_K} % 3 WHEN 0 THEN 'overheating' WHEN 1 THEN 'wear' ELSE 'power_surge' END END AS root_cause,
+    CASE WHEN event_type = 'error' THEN {_pick(_K, COMPONENTS)} END AS component,
+    CASE WHEN event_type = 'error' THEN {_pick(f'{_K} // 4', ROOT_CAUSES)} END AS root_cause,
     CASE WHEN event_type = 'purchase' THEN 'tech-' || CAST({_K} % 20 + 1 AS VARCHAR) END AS technician,
     CASE WHEN event_type = 'purchase' THEN 15 + {_K} END AS duration_min,
-    CASE WHEN event_type = 'purchase' THEN
-      CASE {_K} % 3 WHEN 0 THEN 'bearing' WHEN 1 THEN 'filter' ELSE 'battery' END END AS parts_replaced,
-    CASE WHEN event_type NOT IN ('error', 'purchase') THEN
-      CASE {_K} % 3 WHEN 2 THEN 'failed' ELSE 'passed' END END AS status,
+    CASE WHEN event_type = 'purchase' THEN {_pick(_K, PARTS)} END AS parts_replaced,
+    CASE WHEN event_type NOT IN ('error', 'purchase') THEN {_pick(_K, STATUSES)} END AS status,
     CASE WHEN event_type NOT IN ('error', 'purchase') THEN 7 + {_K} % 24 END AS next_inspection_days
   FROM events)"""
 
@@ -109,8 +113,7 @@ WHERE e.event_type = 'failure' AND {where}"""
 _CHANGES = f"""changes AS (
   SELECT {_DEVICE} AS device_id, 'user_' || CAST(user_id AS VARCHAR) AS user_device,
     CAST(24 AS DOUBLE) + ({_K} % 11) * CAST(0.5 AS DOUBLE) AS temp_threshold,
-    CASE {_K} % 3 WHEN 0 THEN 'plant_a' WHEN 1 THEN 'plant_b' ELSE 'plant_c' END AS location_id,
-    CASE {_K} % 4 WHEN 0 THEN 'Model-A' WHEN 1 THEN 'Model-B' WHEN 2 THEN 'Model-C' ELSE 'Model-D' END AS model,
+    {_pick(_K, LOCATIONS)} AS location_id, {_pick(_K, MODELS)} AS model,
     ts AS valid_from
   FROM events WHERE event_type = 'signup')"""
 

@@ -68,6 +68,12 @@ VIBRATION_LIMIT = 3.0
 TEMPERATURE_RANGE = (18.0, 30.0)
 READING_ID_RANGE = (1, 100_000_000)
 SEVERITIES = ["low", "medium", "high"]
+COMPONENTS = ["motor", "bearing", "sensor", "battery"]
+ROOT_CAUSES = ["overheating", "wear", "power_surge", "unknown"]
+PARTS = ["bearing", "filter", "battery"]
+STATUSES = ["passed", "passed", "failed"]  # two passes to one failure
+LOCATIONS = ["plant_a", "plant_b", "plant_c"]
+MODELS = ["Model-A", "Model-B", "Model-C", "Model-D"]
 
 # The columns each event type carries; every other type's columns are NULL.
 EVENT_FIELDS = {
