@@ -292,6 +292,14 @@ def test_stream_opens_with_what_is_there_and_then_climbs(feed, spark, root):
     assert _streamed(spark, root, feed.table.stream()) == list(range(20))
 
 
+def test_peek_at_a_stream_gives_a_few_rows_and_no_more(feed, spark, root):
+    feed.land(10)
+    peek = lambda: analytics.peek(analytics.hotter_than(feed.table.stream(), 19.0))
+    assert len(_streamed(spark, root, peek())) == 5
+    feed.land(10)
+    assert len(_streamed(spark, root, peek())) == 5
+
+
 def test_stream_takes_purged_rows_from_the_cold_tier(feed, spark, root):
     for _ in range(2):
         feed.land(10).flush()

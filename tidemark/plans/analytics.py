@@ -27,19 +27,19 @@ def anomaly_feed(silver: DataFrame) -> DataFrame:
     )
 
 
-def since(table: DataFrame, time_column: str, as_of: dt.datetime | Column | None, back: str) -> DataFrame:
-    """Rows newer than ``as_of`` minus ``back``; the bound is a constant, so it reaches the scan."""
+def _back_from(as_of: dt.datetime | Column | None, back: str) -> Column:
+    """``as_of`` (the clock, unless given) minus ``back``: a constant, so a filter on it reaches the scan."""
     if as_of is None:
         as_of = F.localtimestamp()
     elif isinstance(as_of, dt.datetime):
         as_of = F.lit(as_of).cast("timestamp_ntz")
-    return table.where(F.col(time_column) > as_of - F.expr(f"INTERVAL {back}"))
+    return as_of - F.expr(f"INTERVAL {back}")
 
 
 def lag_histogram(silver: DataFrame, as_of=None, back: str = "1 MINUTE") -> DataFrame:
     """Whole seconds from sensor to silver, counted, for the most recent readings."""
     return (
-        since(silver, "event_time", as_of, back)
+        silver.where(F.col("event_time") > _back_from(as_of, back))
         .groupBy(whole_seconds_between("event_time", "ingest_time").alias("lag_s"))
         .agg(F.count(F.lit(1)).alias("readings"))
         .orderBy("lag_s")
@@ -147,11 +147,7 @@ def failure_context(events: DataFrame, gold: DataFrame, size: str = "1 minute",
 
 def recent_windows(gold: DataFrame, as_of=None, back: str = "120 MINUTE") -> DataFrame:
     """Health windows that started within ``back`` of ``as_of``, the bound included."""
-    if as_of is None:
-        as_of = F.localtimestamp()
-    elif isinstance(as_of, dt.datetime):
-        as_of = F.lit(as_of).cast("timestamp_ntz")
-    return gold.where(F.col("window_start") >= as_of - F.expr(f"INTERVAL {back}"))
+    return gold.where(F.col("window_start") >= _back_from(as_of, back))
 
 
 # ---- ad hoc ----

@@ -61,11 +61,13 @@ class DeviceDimension:
         """
         if "valid_from" not in changes.columns:
             changes = changes.withColumn("valid_from", F.localtimestamp())
-        last = latest_per_device(changes, order or ["valid_from"]).select(*DEVICE.names)
+        order = order or ["valid_from"]
         old = self.version() or 0
-        merged = last
+        rows = changes.withColumn("_new", F.lit(1))
         if old:
-            merged = self.current().join(last, "device_id", "left_anti").unionByName(last)
+            # What is there now ranks below any change; one aggregation merges both.
+            rows = rows.unionByName(self.current().withColumn("_new", F.lit(0)), allowMissingColumns=True)
+        merged = latest_per_device(rows, ["_new", *order]).select(*DEVICE.names)
         new = old + 1
         target = f"{self.path}/versions/version={new}"
         merged.repartition(self.slices, "device_id").write.mode("overwrite").parquet(target)

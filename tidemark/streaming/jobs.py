@@ -66,7 +66,10 @@ class Lakehouse:
     def start_landing(
         self, telemetry: DataFrame, events: DataFrame, trigger: dict, quarantine: bool = True
     ) -> list[StreamingQuery]:
-        """Both message streams into bronze unchanged, and what cannot be decoded aside."""
+        """Both message streams into bronze unchanged, and what cannot be decoded aside.
+
+        A sink has its own query, so ``quarantine`` reads and parses the messages a second time.
+        """
         started = []
         for messages, table in ((telemetry, self.telemetry), (events, self.events)):
             decoded = wire.decode(messages, table.spec.schema)
