@@ -61,6 +61,15 @@ def test_failure_context_joins_on_equality_and_keeps_twenty(spark, tables):
     assert "EqualTo(event_type,failure)" in text
 
 
+def test_anti_join_scans_one_cold_column_and_shuffles_neither_tier(spark, tables):
+    silver_rows = tables("silver")
+    text = plan(analytics.only_in_hot(silver_rows.where("reading_id > 500"), silver_rows))
+    assert "LeftAnti, BuildRight" in text and "LeftSemi, BuildRight" in text and "SortMergeJoin" not in text
+    assert "ReadSchema: struct<reading_id:bigint>" in text
+    # the one exchange is of cold ids that were found among the hot ones
+    assert text.count("hashpartitioning") == 1
+
+
 def test_lookup_does_not_shuffle_readings(spark, sf):
     text = plan(registry.queries()["lookup_join"](spark, sf))
     assert "BroadcastHashJoin" in text and "hashpartitioning" not in text

@@ -92,23 +92,52 @@ def test_crash_between_data_and_record_loses_and_doubles_nothing(feed):
     assert feed.gap() == (29, 29, 0)
 
 
-def _replay(feed, rows, snapshot_id):
-    feed.table._flush_batch(rows.selectExpr("*", "'x' AS _hot_file"), snapshot_id, None)
-
-
-def test_replay_of_a_committed_flush_is_skipped(feed):
+def test_replay_of_a_committed_flush_is_recognised(feed):
     feed.land(10).flush().land(10).flush()
     rows = feed.table.read("cold")
-    _replay(feed, rows.limit(10), 2)
-    assert feed.gap() == (20, 20, 0)
+    assert feed.table._already_flushed(rows.limit(10), 2)
+    assert not feed.table._already_flushed(rows.limit(10), 3)
     for wrong in ((rows.limit(3), 2), (rows.limit(10), 1)):
         with pytest.raises(RuntimeError, match="checkpoint lost"):
-            _replay(feed, *wrong)
-    # still recognised once the flush has been rewritten and has expired
+            feed.table._already_flushed(*wrong)
+    # still so once the flush has been rewritten and has expired
     maintenance.compact(feed.table)
     maintenance.expire(feed.table, older_than_s=0)
-    _replay(feed, rows.limit(0), 2)
-    assert feed.gap() == (20, 20, 0)
+    assert feed.table._already_flushed(rows.limit(0), 2)
+
+
+def test_crash_after_the_record_and_before_the_checkpoint(feed, monkeypatch):
+    feed.land(10)
+    real = feed.table._flush_batch
+
+    def crash_late(*args):
+        real(*args)
+        raise RuntimeError("lost the driver")
+
+    monkeypatch.setattr(feed.table, "_flush_batch", crash_late)
+    with pytest.raises(StreamingQueryException):
+        feed.flush()
+    monkeypatch.setattr(feed.table, "_flush_batch", real)
+    assert feed.gap() == (10, 10, 0)
+    feed.land(5)
+    assert feed.flush().gap() == (15, 15, 0)
+    rows = feed.table.snapshots().orderBy("snapshot_id").collect()
+    assert [r.row_count for r in rows] == [10, 5]
+
+
+def test_a_flush_in_the_middle_of_a_pin(feed, monkeypatch):
+    feed.land(10).flush().land(5)
+    real = feed.table.hot_files
+
+    def then_flush():
+        found = real()
+        feed.flush()
+        return found
+
+    monkeypatch.setattr(feed.table, "hot_files", then_flush)
+    version = feed.table.pin()
+    monkeypatch.setattr(feed.table, "hot_files", real)
+    assert sorted(r.reading_id for r in feed.table.read(version=version).collect()) == list(range(15))
 
 
 def test_a_root_with_odd_characters(spark, root):

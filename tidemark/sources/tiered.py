@@ -220,18 +220,23 @@ class TieredTable:
         arrivals = self.stream(maxFilesPerTrigger=str(FILES_PER_FLUSH)).select(
             "*", F.col("_metadata.file_name").alias("_hot_file")
         )
+        started = []
+
+        def one(batch: DataFrame, batch_id: int) -> None:
+            # Only the first micro-batch after a start can be a replay.
+            if started or not self._already_flushed(batch, batch_id + 1):
+                self._flush_batch(batch, batch_id + 1, before_commit)
+            started.append(batch_id)
+
         return (
             arrivals.writeStream.queryName(f"flush-{self.spec.name}-{id(arrivals)}")
             .option("checkpointLocation", f"{self.checkpoints}/flush")
             .trigger(**trigger)
-            .foreachBatch(lambda batch, batch_id: self._flush_batch(batch, batch_id + 1, before_commit))
+            .foreachBatch(one)
             .start()
         )
 
     def _flush_batch(self, batch: DataFrame, snapshot_id: int, before_commit) -> None:
-        spark = batch.sparkSession
-        if self._already_flushed(batch, snapshot_id):
-            return
         seen = Observation()
         target = f"{self.data}/snapshot_id={snapshot_id}"
         time = F.col(self.spec.time_column)
