@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.sizing import at_most
-from tidemark.functions.times import whole_seconds_between
+from tidemark.functions.times import naive, whole_seconds_between
 
 # Hot rows whose ids fit a broadcast; a 30-second remainder is normally far below it.
 HOT_IDS = 2_000_000
@@ -32,7 +32,7 @@ def _back_from(as_of: dt.datetime | Column | None, back: str) -> Column:
     if as_of is None:
         as_of = F.localtimestamp()
     elif isinstance(as_of, dt.datetime):
-        as_of = F.lit(as_of).cast("timestamp_ntz")
+        as_of = naive(as_of)
     return as_of - F.expr(f"INTERVAL {back}")
 
 

@@ -8,6 +8,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import schemas
+from tidemark.functions.times import naive
 from tidemark.plans import bindings
 from tidemark.session import shared_dir
 from tidemark.sources import messages, storage
@@ -32,7 +33,7 @@ def _build(spark: SparkSession, sf_dir: str) -> Lakehouse:
     house = Lakehouse(spark, root)
     ticks = f"{root}/ticks"
     storage.make_dir(spark, ticks)
-    first, second = F.col("event_time") < bindings.CUT, F.col("event_time") >= bindings.CUT
+    first, second = F.col("event_time") < naive(bindings.CUT), F.col("event_time") >= naive(bindings.CUT)
 
     def drop(number, part):
         for topic, rows in (("telemetry", bindings.telemetry), ("events", bindings.iot_events)):
@@ -90,9 +91,9 @@ class StagedTable:
         low, high = self.bounds[self.landed : self.landed + 2]
         rows: DataFrame = self.readings
         if low is not None:
-            rows = rows.where(F.col("event_time") >= low)
+            rows = rows.where(F.col("event_time") >= naive(low))
         if high is not None:
-            rows = rows.where(F.col("event_time") < high)
+            rows = rows.where(F.col("event_time") < naive(high))
         self.landed += 1
         rows.write.parquet(f"{self.root}/inbox/{self.landed}")
         arriving = self.spark.readStream.schema(self.table.spec.schema).parquet(f"{self.root}/inbox/*")

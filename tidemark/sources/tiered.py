@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.times import naive
 from tidemark.schemas import TableSpec, columns
 from tidemark.sources import storage
 
@@ -200,7 +201,7 @@ class TieredTable:
         else:
             rows = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
         if since is not None:
-            rows = rows.where(F.col(self.spec.time_column) >= F.lit(since).cast("timestamp_ntz"))
+            rows = rows.where(F.col(self.spec.time_column) >= naive(since))
         return rows
 
     def _files(self, paths: list[str], tag: str | None) -> DataFrame:
