@@ -10,8 +10,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.plans import oracles, registry
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +25,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
