@@ -6,19 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup
+from tidemark.llm import decontaminate, exact_dedup
 from tidemark.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """Whole texts go to Python workers, so batches are counted in hundreds of rows, not the default 10,000."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    return configure(spark)
+
+
 def _configured(run: Query) -> Query:
-    return lambda spark, sf_dir: run(configure(spark), sf_dir)
+    return lambda spark, sf_dir: run(prepared(spark), sf_dir)
 
 
 def queries() -> dict[str, Query]:
     listed = [
         exact_dedup.op4_exact_dedup,
+        decontaminate.op6_decontaminate,
     ]
     return {run.__name__: _configured(run) for run in listed}
 
@@ -26,4 +33,5 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_exact_dedup": exact_dedup.ORACLE,
+        "op6_decontaminate": decontaminate.ORACLE,
     }
