@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup
+from tidemark.llm import decontaminate, exact_dedup, simhash
 from tidemark.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,7 @@ def queries() -> dict[str, Query]:
     listed = [
         exact_dedup.op4_exact_dedup,
         decontaminate.op6_decontaminate,
+        simhash.op9_simhash,
     ]
     return {run.__name__: _configured(run) for run in listed}
 
