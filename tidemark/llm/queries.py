@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, simhash
+from tidemark.llm import decontaminate, exact_dedup, mixing, simhash
 from tidemark.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,7 @@ def _configured(run: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     listed = [
+        mixing.op3_mix_sources,
         exact_dedup.op4_exact_dedup,
         decontaminate.op6_decontaminate,
         simhash.op9_simhash,
@@ -33,6 +34,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_mix_sources": mixing.ORACLE,
         "op4_exact_dedup": exact_dedup.ORACLE,
         "op6_decontaminate": decontaminate.ORACLE,
     }
