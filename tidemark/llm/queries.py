@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, mixing, simhash
+from tidemark.llm import decontaminate, exact_dedup, language, mixing, simhash
 from tidemark.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,7 @@ def queries() -> dict[str, Query]:
     listed = [
         mixing.op3_mix_sources,
         exact_dedup.op4_exact_dedup,
+        language.op5_language_id,
         decontaminate.op6_decontaminate,
         simhash.op9_simhash,
     ]
