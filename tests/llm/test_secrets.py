@@ -1,0 +1,133 @@
+"""Base spans against a plain reading of the patterns, models on held-out strings."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import string
+
+import numpy as np
+
+from tidemark.llm import secrets
+
+NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey")
+VALUE = set(string.ascii_letters + string.digits + "+/_.=-")
+
+
+def plain_assign(text):
+    """A scanner by hand: leftmost name, optional quote, spaces, separator, spaces, quote, longest value."""
+    out, at, low = [], 0, "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    while at < len(text):
+        for name in NAMES:
+            if low.startswith(name, at):
+                end = _value_end(text, at + len(name))
+                if end:
+                    if end[1] - end[0] >= 8:
+                        out.append(("assign", at, end[1]))
+                    at = end[1] - 1
+                    break
+        at += 1
+    return out
+
+
+def _value_end(text, i):
+    for quoted in (True, False) if text[i : i + 1] in "\"'" and text[i : i + 1] else (False,):
+        j = i + quoted
+        while text[j : j + 1] == " ":
+            j += 1
+        if text[j : j + 1] not in (":", "="):
+            continue
+        j += 1
+        while text[j : j + 1] == " ":
+            j += 1
+        if text[j : j + 1] and text[j] in "\"'":
+            j += 1
+        k = j
+        while k < len(text) and text[k] in VALUE:
+            k += 1
+        if k > j:
+            return j, k
+    return None
+
+
+def plain(text):
+    out = plain_assign(text)
+    for m in re.finditer(r"AKIA[A-Z0-9]+", text):
+        if len(m[0]) >= 16:
+            out.append(("access", *m.span()))
+    for m in re.finditer(r"[0-9a-f]+", text):
+        if len(m[0]) >= 32:
+            out.append(("hex", *m.span()))
+    return sorted(out, key=lambda s: (s[1], secrets.KINDS.index(s[0])))
+
+
+def corpus(seed):
+    draw = random.Random(seed)
+    some = lambda alphabet, n: "".join(draw.choices(alphabet, k=n))
+    pieces = [
+        lambda: draw.choice(NAMES + ("PassWord", "API_KEY", "toKen", "ſecret"))
+        + draw.choice(["", '"', "'"]) + draw.choice(["=", ":", " = ", ": '", "==", " "]) + some("ab1+/_.=-", draw.randint(1, 14)),
+        lambda: "AKIA" + some("ABZ09", draw.randint(1, 20)),
+        lambda: some("0123456789abcdef", draw.choice([5, 31, 32, 40, 64])),
+        lambda: draw.choice(["the", "größe", "日本", "𝒳", "handler_name", "x" * 30, "\n", '"']),
+        lambda: some(string.ascii_letters + string.digits, 32),
+    ]
+    return [" ".join(draw.choice(pieces)() for _ in range(draw.randint(0, 12))) for _ in range(150)] + [
+        "secret=token = abcdefghijk", "password==abcdefgh", "AKIA" * 8, "a" * 100_000, "password = " * 3000, "", "=",
+    ]
+
+
+def test_base_spans():
+    for seed in range(4):
+        for text in corpus(seed):
+            got = [(secrets.KINDS[k], s, e) for s, k, e in secrets.base_spans(text)]
+            assert got == plain(text), text[:200]
+
+
+def labelled_samples():
+    draw = random.Random(7)
+    words = ["get", "user", "address", "handler", "config", "file", "count", "name", "list", "value", "index", "cache"]
+    ordinary = ["_".join(draw.choices(words, k=3)) + str(draw.randint(1, 9)) for _ in range(1200)]
+    chance = ["".join(draw.choices(string.ascii_letters + string.digits, k=32)) for _ in range(1200)]
+    return ordinary, chance
+
+
+def test_models_tell_random_strings_from_identifiers(spark):
+    ordinary, chance = labelled_samples()
+    samples = [(v, False) for v in ordinary[:800]] + [(v, True) for v in chance[:800]] + [("", True)]
+    ratio = secrets.train(spark.createDataFrame(samples, "value string, random boolean"))
+    assert secrets.random_looking(chance[800:], ratio).mean() >= 0.98
+    assert secrets.random_looking(ordinary[800:], ratio).mean() <= 0.02
+    none = secrets.train(spark.createDataFrame([], "value string, random boolean"))
+    assert not none.any() and not secrets.random_looking(chance, none).any()
+
+
+def test_scan(spark):
+    texts = corpus(9)
+    rows = [(i, t, "c", 1) for i, t in enumerate(texts)] + [(None, None, "c", 1), (0, texts[0], "c", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, base string, runs int")
+    found = secrets.search(df)
+    labels = secrets.labelled(found).collect()
+    assert {r.value for r in labels if r.random} == {v for t in texts for v in secrets._values(t, secrets.base_spans(t))}
+    assert any(not r.random for r in labels)
+    ordinary, chance = labelled_samples()
+    samples = [(v, False) for v in ordinary] + [(v, True) for v in chance]
+    ratio = secrets.train(spark.createDataFrame(samples, "value string, random boolean"))
+    got = secrets.judged(found, ratio).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        text = "" if r.doc_id is None else texts[r.doc_id]
+        base = plain(text)
+        own = [(s["kind"], s["start"], s["end"]) for s in r.spans]
+        assert [s for s in own if s[0] != "markov"] == base
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert r.written == ",".join(f"{k}:{a}:{b}" for k, a, b in own)
+        for kind, a, b in own:
+            if kind == "markov":
+                assert re.fullmatch(r"[A-Za-z0-9+/_=-]{16,}", text[a:b])
+                assert secrets.random_looking([text[a:b]], ratio).all()
+                assert all(b <= s or e <= a for _, s, e in base)
+    assert any(s["kind"] == "markov" for r in got for s in r.spans)
+    assert secrets.judged(secrets.search(df.limit(0)), np.zeros(65 * 64)).count() == 0
