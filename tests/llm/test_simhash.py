@@ -49,6 +49,16 @@ def test_fingerprints():
         assert simhash.fingerprint(text.encode() if text is not None else None) == plain_fingerprint(text)
 
 
+def test_keys_are_two_balls_of_radius_one(spark):
+    fps = [0, 1, (1 << 64) - 1, 0x0123456789ABCDEF, 0xFEDCBA9876543210]
+    df = spark.createDataFrame([(signed(x),) for x in fps], "fp long")
+    for r in df.select("fp", simhash._keys(df["fp"]).alias("keys")).collect():
+        x = r.fp % (1 << 64)
+        flips = [0] + [1 << b for b in range(32)]
+        want = [(x >> 32) ^ m for m in flips] + [(x & 0xFFFFFFFF | 1 << 40) ^ m for m in flips]
+        assert sorted(r["keys"]) == sorted(want)
+
+
 def planted(draw: random.Random, centres: int, each: int) -> list[int]:
     out = []
     for _ in range(centres):

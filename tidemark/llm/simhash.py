@@ -97,7 +97,7 @@ def _keys(fp: Column) -> Column:
     masks = F.array(*[F.lit(m).cast("long") for m in [0, *(1 << b for b in range(32))]])
     upper = F.shiftrightunsigned(fp, 32)
     lower = fp.bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(1 << 40))
-    return F.concat(*[F.transform(masks, lambda m, half=half: half.bitwiseXOR(m)) for half in (upper, lower)])
+    return F.concat(F.transform(masks, upper.bitwiseXOR), F.transform(masks, lower.bitwiseXOR))
 
 
 def _met(crowded: int):
