@@ -277,6 +277,19 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return rows.mapInArrow(scan, "doc_id long, lang_pred string, score double, rejected boolean")
 
 
+def recognised(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not rejected, whole; they pass the workers once and are not joined again."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        for batch in batches:
+            named, score = model.predict(batch.column(text_col).to_pylist())
+            yield batch.filter(pa.array([n != UNKNOWN and s >= model.threshold for n, s in zip(named, score)], pa.bool_()))
+
+    return docs.mapInArrow(scan, docs.schema)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = identify(docs, train(docs))

@@ -84,7 +84,7 @@ def mix(
     most: int = MOST_EPOCHS,
     seed: int = SEED,
 ) -> DataFrame:
-    """doc_id, size, source_size, target, epochs (times the document is taken), taken.
+    """doc_id, source, size, source_size, target, epochs (times the document is taken), taken.
 
     ``docs`` has doc_id, text and source. ``quality`` has doc_id and quality; other documents get ``UNLABELLED``.
     """
@@ -104,7 +104,7 @@ def mix(
     )
     named = rows.join(
         sources.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name"))
-    ).drop("source", "name")
+    ).drop("name")
     order = ["number", "key", "doc_id"]
     # Written, so that a row's partition is a fact of the data and not of one run of the sort.
     dealt = scratch(
@@ -128,7 +128,7 @@ def mix(
     epochs = F.least(whole + extra.cast("long"), F.lit(most).cast("long"))
     return (
         placed.withColumn("epochs", epochs)
-        .select("doc_id", "size", "source_size", "target", "epochs", (F.col("epochs") * F.col("size")).alias("taken"))
+        .select("doc_id", "source", "size", "source_size", "target", "epochs", (F.col("epochs") * F.col("size")).alias("taken"))
     )
 
 
@@ -140,7 +140,7 @@ def label_quality(labels: DataFrame) -> DataFrame:
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix(docs, label_quality(table(spark, sf_dir, "labels"))).drop("epochs")
+    return mix(docs, label_quality(table(spark, sf_dir, "labels"))).drop("source", "epochs")
 
 
 ORACLE = r"""

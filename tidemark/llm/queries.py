@@ -31,7 +31,9 @@ def queries() -> dict[str, Query]:
         decontaminate.op6_decontaminate,
         simhash.op9_simhash,
     ]
-    return {run.__name__: _configured(run) for run in listed}
+    import corpus_pipeline  # it is made of the operators above and uses ``prepared``
+
+    return {run.__name__: _configured(run) for run in listed} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
