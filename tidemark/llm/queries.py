@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, language, mixing, secrets, simhash
+from tidemark.llm import decontaminate, exact_dedup, language, mixing, pii, secrets, simhash
 from tidemark.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,7 @@ def queries() -> dict[str, Query]:
         exact_dedup.op4_exact_dedup,
         language.op5_language_id,
         decontaminate.op6_decontaminate,
+        pii.op8_pii,
         simhash.op9_simhash,
     ]
     import corpus_pipeline  # it is made of the operators above and uses ``prepared``
