@@ -1,0 +1,105 @@
+"""Known texts, rules in their order, and a plain version of the whole on random documents."""
+
+from __future__ import annotations
+
+import random
+
+import regex as re
+
+from tidemark.llm import licences as lic
+
+
+def plain_sequence(text, stop):
+    known = lic.known_sentences()
+    own = re.sub(stop, "\x01", text.lower()).split("\x01")
+    names = "".join(f"<{known[k]}>" if (k := re.sub(r"[\W_]+", " ", s).strip()) in known else "." for s in own)
+    return re.sub(r"[.]{%d,}" % (lic.GAP + 1), "|", names).replace(".", "")
+
+
+def plain_rules(rest):
+    out = []
+    for name, own in lic.RULES:
+        sequence = "".join(f"<{s}>" for s in own)
+        if sequence in rest:
+            out += [name] * (name not in out)
+            rest = rest.replace(sequence, "|")
+    return out, rest
+
+
+def plain(text):
+    text = text or ""
+    wrapped, lined = plain_sequence(text, lic._STOP), plain_sequence(text, lic._STOP_OR_LINE)
+    found = set(plain_rules(wrapped)[0]) | set(plain_rules(lined)[0])
+    best = lined if lined.count("<") > wrapped.count("<") else wrapped
+    names = lambda s: re.findall("<([^>]+)>", s)
+    return sorted(found), names(best), names(plain_rules(best)[1])
+
+
+def scan(spark, texts):
+    df = spark.createDataFrame([(i, t, "w", ["x"]) for i, t in enumerate(texts)],
+                               "doc_id long, text string, wrapped string, licences array<string>")
+    got = {r.doc_id: (r.licences, r.sentences, r.left_over) for r in lic.licences(df).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_tables_are_sound():
+    known = lic.known_sentences()
+    assert len(known) == sum(map(len, lic.SENTENCES.values()))
+    cue = re.compile(lic._CUE)
+    for own in lic.SENTENCES.values():
+        assert all(cue.search(s) for s in own)
+    assert {s for _, own in lic.RULES for s in own} <= set(lic.SENTENCES)
+
+
+def test_known_texts(spark):
+    apache = (
+        '/* Licensed under the Apache License, Version 2.0 (the "License");\n * you may not use this file except in\n'
+        " * compliance with the License.  You may obtain a copy of the License at\n *\n"
+        " *     http://www.apache.org/licenses/LICENSE-2.0\n *\n"
+        " * Unless required by applicable law or agreed to in writing, software\n"
+        ' * distributed under the License is distributed on an "AS IS" BASIS,\n'
+        " * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\n */\n"
+    )
+    gpl = (
+        "# This program is free software; you can redistribute it and/or modify it under the\n# terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the\n# License, or (at your option) "
+        "any later version.\n"
+    )
+    got = scan(spark, [
+        apache, gpl, "Some title\nReleased under the MIT License.\nand more", "Nothing to see. Software is nice.", None, "",
+        "Licensed under CC BY-NC 4.0.", "All rights reserved.", apache + "word. " * 9 + gpl,
+        "Released under the MIT License. Released under the MIT License.", "SPDX-License-Identifier: MIT",
+        "This work is licensed under the GNU General Public License, version 3.",
+    ])
+    assert [g[0] for g in got] == [
+        ["Apache-2.0"], ["GPL-2.0-or-later"], ["MIT"], [], [], [], ["CC-BY-NC-4.0"], [],
+        ["Apache-2.0", "GPL-2.0-or-later"], ["MIT"], ["MIT"], ["GPL-3.0-only"],
+    ]
+    assert got[0][1] == ["ApacheRef2", "ApacheUse", "ApacheCopy", "ApacheAsIs"] and not got[0][2]
+    assert got[7][2] == ["Reserved"]
+
+
+def test_random_documents(spark):
+    draw = random.Random(3)
+    every = [s for own in lic.SENTENCES.values() for s in own]
+    texts = []
+    for _ in range(300):
+        parts = []
+        for _ in range(draw.randint(0, 6)):
+            kind = draw.random()
+            if kind < 0.4:
+                s = draw.choice(every)
+                parts.append(draw.choice([s, s.upper(), s.replace(" ", "\n// ", 2)]) + draw.choice([".", ";", "", ":\n", "!"]))
+            elif kind < 0.7:
+                own = draw.choice(lic.RULES)[1]
+                parts += [draw.choice(lic.SENTENCES[n]) + "." + draw.choice(["", " Filler here.", " a. b. c."]) for n in own]
+            else:
+                parts.append("Plain words é " * draw.randint(0, 5) + draw.choice([".", "", "?"]))
+        texts.append(draw.choice([" ", "\n", "\n\n"]).join(parts))
+    texts.append("x. " * 30_000 + "MIT License. " * 2000)
+    for got, text in zip(scan(spark, texts), texts):
+        assert got == plain(text), text[:300]
+
+
+def test_empty(spark):
+    assert lic.licences(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, language, mixing, pii, secrets, simhash
+from tidemark.llm import decontaminate, exact_dedup, language, licences, mixing, pii, secrets, simhash
 from tidemark.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,7 @@ def queries() -> dict[str, Query]:
         exact_dedup.op4_exact_dedup,
         language.op5_language_id,
         decontaminate.op6_decontaminate,
+        licences.op7_licences,
         pii.op8_pii,
         simhash.op9_simhash,
     ]
@@ -42,4 +43,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_mix_sources": mixing.ORACLE,
         "op4_exact_dedup": exact_dedup.ORACLE,
         "op6_decontaminate": decontaminate.ORACLE,
+        "op7_licences": licences.ORACLE,
     }
