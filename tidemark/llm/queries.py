@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, language, licences, mixing, pii, secrets, simhash
+from tidemark.llm import decontaminate, exact_dedup, language, licences, mixing, pii, secrets, simhash, token_counts
 from tidemark.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,7 @@ def _configured(run: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     listed = [
+        token_counts.op1_token_counts,
         secrets.op2_secrets,
         mixing.op3_mix_sources,
         exact_dedup.op4_exact_dedup,
