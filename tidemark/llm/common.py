@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -35,6 +37,32 @@ def scratch(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, buckets: int, column: str, purpose: str) -> DataFrame:
+    """``scratch`` as a table bucketed by ``column``, so that joins on it move only their other side."""
+    spark = df.sparkSession
+    path = shared_dir(spark, purpose)
+    if not _made:
+        atexit.register(drop_scratch)
+    _made.append((spark, path))
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.bucketBy(buckets, column).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+@contextmanager
+def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """Session settings (dots as ``__``) for the jobs run inside."""
+    names = {k.replace("__", "."): v for k, v in conf.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def drop_scratch() -> None:
     """Remove every scratch table made so far. Frames that read them stop working."""
     while _made:

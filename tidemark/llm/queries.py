@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, language, licences, mixing, pii, secrets, simhash, token_counts
+from tidemark.llm import decontaminate, exact_dedup, language, licences, mixing, pii, repeats, secrets, simhash, token_counts
 from tidemark.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,7 @@ def queries() -> dict[str, Query]:
         licences.op7_licences,
         pii.op8_pii,
         simhash.op9_simhash,
+        repeats.op10_suffix_dedup,
     ]
     import corpus_pipeline  # it is made of the operators above and uses ``prepared``
 
