@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -243,20 +244,28 @@ def test_changelog_may_not_enter_a_log_table(spark, feed):
         feed.table.append(counts, CATCH_UP)
 
 
-def test_files_per_batch_and_retention(spark, root, monkeypatch):
+def test_files_per_batch(spark, root):
     feed = Feed(spark, root)
     drop_rows(readings(spark, [{"reading_id": i} for i in range(9)]), f"{root}/in/1")
-    stream = lambda: spark.readStream.schema(schemas.TELEMETRY).parquet(f"{root}/in/*")
-    finish([feed.table.append(stream(), CATCH_UP, files=3, retention_days=28)])
+    finish([feed.table.append(spark.readStream.schema(schemas.TELEMETRY).parquet(f"{root}/in/*"), CATCH_UP, files=3)])
     assert len(feed.table.hot_files()) == 3
-    import time
 
-    later = time.time() + 20 * 86_400
-    monkeypatch.setattr("tidemark.sources.tiered.time.time", lambda: later)
-    with pytest.raises(RuntimeError, match="flush it first"):
-        feed.table.append(stream(), CATCH_UP, retention_days=28)
+
+def test_a_backlog_of_any_number_of_files_is_one_snapshot(feed):
+    for _ in range(4):
+        feed.land(3)
     feed.flush()
-    finish([feed.table.append(stream(), CATCH_UP, retention_days=28)])
+    assert feed.table.pin().snapshots == (1,)
+    assert feed.table.taken([1]).count() == len(feed.table.hot_files())
+    assert feed.gap() == (12, 12, 0)
+
+
+def test_a_flush_with_a_missing_hot_file_raises(feed):
+    feed.land(10).land(10)
+    maintenance.storage.delete(feed.table.spark, feed.table.hot_files()[0])
+    with pytest.raises(StreamingQueryException):
+        feed.flush()
+    assert feed.table.snapshots().count() == 0
 
 
 def test_empty_hot_files_leave_the_union_at_compaction(feed):
@@ -295,6 +304,66 @@ def test_ttl_finishes_what_a_crash_left(feed, monkeypatch):
     assert feed.gap() == (20, 20, 0)
 
 
+def _named(feed, name):
+    """A standing reader that catches up and stops; what it has read so far."""
+    checkpoint, out = f"{feed.root}/{name}-cp", f"{feed.root}/{name}-out"
+
+    def run():
+        rows = feed.table.stream(name, checkpoint)
+        writer = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(**CATCH_UP)
+        finish([writer.start(out)])
+        return sorted(r.reading_id for r in feed.spark.read.schema(schemas.TELEMETRY).parquet(out).collect())
+
+    return run
+
+
+def test_purging_waits_for_standing_readers(feed):
+    feed.land(10).flush()
+    read = _named(feed, "slow")
+    assert read() == list(range(10))
+    feed.land(10).flush().land(5)
+    assert maintenance.purge(feed.table, older_than_s=0) == 1  # the second flush is unread
+    assert maintenance.purge(feed.table, older_than_s=0) == 0
+    assert read() == list(range(25))
+    feed.flush()
+    assert maintenance.purge(feed.table, older_than_s=0) == 2
+    assert feed.gap() == (25, 25, 0)
+    feed.land(5)
+    assert read() == list(range(30))
+
+
+def test_a_reader_that_has_not_started_holds_everything(feed):
+    feed.land(10).flush()
+    feed.table.stream("late", f"{feed.root}/late-cp")
+    assert maintenance.purge(feed.table, older_than_s=0) == 0
+    assert _named(feed, "late")() == list(range(10))
+    feed.table.leave("late")
+    assert maintenance.purge(feed.table, older_than_s=0) == 1
+
+
+def test_a_reader_that_begins_after_a_purge_gets_all_rows_and_restarts_alike(feed):
+    for _ in range(2):
+        feed.land(10).flush()
+    maintenance.purge(feed.table, older_than_s=0)
+    feed.land(5)
+    feed.table.stream("new", f"{feed.root}/new-cp")  # entered, not yet run
+    maintenance.compact(feed.table)
+    assert maintenance.expire(feed.table, older_than_s=0) == []  # it still has to read both
+    read = _named(feed, "new")
+    assert read() == list(range(25))
+    assert maintenance.expire(feed.table, older_than_s=0) == [1, 2]
+    feed.land(5).flush()
+    assert read() == list(range(30))
+
+
+def test_a_reader_keeps_its_checkpoint(feed):
+    feed.table.stream("one", "a")
+    with pytest.raises(RuntimeError, match="another checkpoint"):
+        feed.table.stream("one", "b")
+    with pytest.raises(ValueError):
+        feed.table.stream("two")
+
+
 def test_untiered_log_just_ages_out(spark, root):
     import dataclasses
 
@@ -335,10 +404,9 @@ def test_stream_takes_purged_rows_from_the_cold_tier(feed, spark, root):
     maintenance.purge(feed.table, older_than_s=0)
     feed.land(10).flush().land(5)
     maintenance.compact(feed.table)  # purged and unpurged snapshots stay apart
-    pinned = feed.table.pin()
-    assert len(pinned.snapshots) == 2
+    assert len(feed.table.pin().snapshots) == 2
     assert feed.gap() == (35, 30, 5)
-    assert _streamed(spark, root, feed.table.stream(history=pinned)) == list(range(35))
+    assert _streamed(spark, root, feed.table.stream()) == list(range(35))
 
 
 def test_anti_join_names_what_only_hot_has(spark):
@@ -371,3 +439,21 @@ def test_lake_lag_and_flush_intervals(feed):
     feed.flush()
     rows = maintenance.flush_intervals(feed.table).orderBy("snapshot_id").collect()
     assert rows[0].interval_s is None and rows[1].interval_s >= 0
+    maintenance.compact(feed.table)
+    maintenance.expire(feed.table, older_than_s=0)
+    kept = maintenance.flush_intervals(feed.table).orderBy("snapshot_id").collect()
+    assert kept == rows
+
+
+@pytest.mark.parametrize("target,missed", [("30 seconds", False), ("1 minute", False), ("1 second", True)])
+def test_flush_lag_reads_its_target_as_an_interval(feed, target, missed):
+    import dataclasses
+
+    feed.table.spec = dataclasses.replace(feed.table.spec, freshness=target)
+    feed.land(3).flush()
+    time.sleep(1.2)
+    row = maintenance.flush_lag(feed.land(3).flush().table).first()
+    assert (row.flushes, row.intervals, row.missed) == (2, 1, int(missed))
+    assert row.target_s == maintenance.seconds_of(target) and row.longest_s >= 1.2
+    with pytest.raises(ValueError):
+        maintenance.seconds_of("soon")

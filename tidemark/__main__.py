@@ -34,7 +34,6 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--every", default="10 seconds", help="trigger of the land and enrich jobs")
     parser.add_argument("--windows", choices=["arrival", "ingest_time", "event_time"], default="arrival")
     parser.add_argument("--files-per-batch", type=int, help="files one micro-batch may write to a table")
-    parser.add_argument("--retention-days", type=int, help="how long the hot log remembers its files")
     parser.add_argument("--slices", type=int, default=1, help="files the device dimension is hashed into")
     parser.add_argument("--rounds", type=int, default=6)
     parser.add_argument("--pause", type=float, default=15.0)
@@ -44,7 +43,7 @@ def _arguments() -> argparse.Namespace:
 def main() -> None:
     args = _arguments()
     spark = build_session(args.master, f"tidemark-{args.command}")
-    house = Lakehouse(spark, args.root, args.slices, args.files_per_batch, args.retention_days)
+    house = Lakehouse(spark, args.root, args.slices, args.files_per_batch)
     every = {"processingTime": args.every}
 
     def source(name: str):

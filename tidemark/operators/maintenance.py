@@ -7,7 +7,7 @@ import time
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.sources import storage
+from tidemark.sources import progress, storage
 from tidemark.sources.tiered import REWRITE_IDS, TieredTable, file_name
 
 
@@ -25,13 +25,12 @@ def compact(table: TieredTable, rows_per_file: int = 5_000_000) -> list[int]:
     existing = {r.snapshot_id for r in table.history().select("snapshot_id").collect()}
     gone = table.purged_ids()
     empty = _empty_hot_files(table)
-    listed = {file_name(path) for path in table.hot_files()}
     made = []
     for purged in (True, False):
         group = [r for r in records if (r.snapshot_id in gone) == purged and _is_small(r, rows_per_file)]
-        names = {name for r in group for name in r.hot_files} & listed
-        if not purged:
-            names |= empty
+        names = table.taken([r.snapshot_id for r in group]).select("name")
+        if not purged and empty:
+            names = names.unionByName(table.spark.createDataFrame([(name,) for name in empty], "name STRING"))
         if len(group) > 1 or (group and not purged and empty):
             made.append(_rewrite(table, group, rows_per_file, names, existing, purged))
     return made
@@ -41,7 +40,7 @@ def _is_small(record, rows_per_file: int) -> bool:
     return record.row_count < rows_per_file or record.row_count < record.file_count * rows_per_file // 2
 
 
-def _rewrite(table, group, rows_per_file, hot_files, existing, purged) -> int:
+def _rewrite(table, group, rows_per_file, names, existing, purged) -> int:
     ids = [r.snapshot_id for r in group]
     new_id = REWRITE_IDS + max(i % REWRITE_IDS for i in ids)
     while new_id in existing:
@@ -69,7 +68,7 @@ def _rewrite(table, group, rows_per_file, hot_files, existing, purged) -> int:
     starts = [r.min_time for r in group if r.min_time is not None]
     ends = [r.max_time for r in group if r.max_time is not None]
     table.commit(
-        new_id, "replace", rows, min(starts, default=None), max(ends, default=None), replaces, hot_files
+        new_id, "replace", rows, min(starts, default=None), max(ends, default=None), replaces, names
     )
     return new_id
 
@@ -91,9 +90,10 @@ def _empty_hot_files(table: TieredTable) -> set[str]:
 def expire(table: TieredTable, older_than_s: float = 3600.0) -> list[int]:
     """Delete snapshots that were replaced more than ``older_than_s`` ago.
 
-    The age protects readers that pinned a version before the rewrite. Data
+    The age protects readers that pinned a version before the rewrite; a
+    snapshot that a standing reader began with stays until it has read it. Data
     goes before its record, so a crash leaves a replaced snapshot behind, never
-    a live one without data.
+    a live one without data. When a flush was committed is kept.
     """
     cutoff = dt.datetime.now(dt.timezone.utc) - dt.timedelta(seconds=older_than_s)
     records = table.history()
@@ -101,37 +101,58 @@ def expire(table: TieredTable, older_than_s: float = 3600.0) -> list[int]:
         F.explode("replaces").alias("snapshot_id")
     )
     due = records.join(replaced, "snapshot_id", "left_semi").select("snapshot_id").collect()
-    ids = sorted(r.snapshot_id for r in due)
+    awaited = {i for reader in table.consumers() for i in reader.opening if not _has_read(table, reader, i)}
+    ids = sorted({r.snapshot_id for r in due} - awaited)
+    if ids:
+        flushes = records.where(F.col("snapshot_id").isin(ids) & (F.col("operation") == "append"))
+        flushes.select("snapshot_id", "committed_at", "row_count").coalesce(1).write.mode("append").parquet(
+            f"{table.path}/lake/expired"
+        )
     for i in ids:
         storage.delete(table.spark, f"{table.data}/snapshot_id={i}")
         storage.delete(table.spark, f"{table.records}/id={i}")
+        storage.delete(table.spark, f"{table.names}/id={i}")
         storage.delete(table.spark, f"{table.purged}/id={i}")
     return ids
 
 
+def _has_read(table: TieredTable, reader, snapshot_id: int) -> bool:
+    """Whether a reader that began with this purged snapshot is through with its files."""
+    if not storage.exists(table.spark, f"{table.data}/snapshot_id={snapshot_id}"):
+        return True
+    files = table.spark.read.schema(table.spec.schema).parquet(f"{table.data}/snapshot_id={snapshot_id}").inputFiles()
+    names = table.spark.createDataFrame([(file_name(f),) for f in files], "name STRING")
+    return names.join(progress.done(table.spark, reader.checkpoint), "name", "left_anti").isEmpty()
+
+
 def purge(table: TieredTable, older_than_s: float | None = None) -> int:
     """Remove hot files past the log's TTL; returns how many went.
 
     On a tiered table only files a live snapshot names are removed, a whole
-    snapshot at a time, and the snapshot is marked before its first file goes.
-    An untiered table loses what has aged out.
+    snapshot at a time, once it is older than the TTL and every standing reader
+    of the table is through with its files; the snapshot is marked before the
+    first file goes. An untiered table loses what has aged out.
     """
     if older_than_s is None:
         older_than_s = table.spec.log_ttl_days * 86_400.0
-    cutoff = (time.time() - older_than_s) * 1000
-    paths = {file_name(path): path for path in table.hot_files()}
     if not table.spec.tiered:
-        return sum(_remove_aged(table, path, cutoff) for path in paths.values())
+        cutoff = (time.time() - older_than_s) * 1000
+        return sum(_remove_aged(table, path, cutoff) for path in table.hot_files())
+    cutoff = dt.datetime.now(dt.timezone.utc) - dt.timedelta(seconds=older_than_s)
+    gone = {i for i in table.purged_ids() if storage.exists(table.spark, f"{table.purged}/id={i}/done")}
+    old = table.live().where(F.col("committed_at") <= F.lit(cutoff)).select("snapshot_id").collect()
+    ids = [r.snapshot_id for r in old if r.snapshot_id not in gone]
+    taken = table.taken(ids)
+    for reader in table.consumers():
+        unread = taken.join(progress.done(table.spark, reader.checkpoint), "name", "left_anti")
+        waiting = {r.snapshot_id for r in unread.select("snapshot_id").distinct().collect()}
+        ids = [i for i in ids if i not in waiting]
     removed = 0
-    for record in table.live().select("snapshot_id", "hot_files").collect():
-        mark = f"{table.purged}/id={record.snapshot_id}"
-        if storage.exists(table.spark, f"{mark}/done"):
-            continue
-        mine = [paths[name] for name in record.hot_files if name in paths]
-        if any(_age(table, path) > cutoff for path in mine):
-            continue
+    for i in sorted(ids):
+        mark = f"{table.purged}/id={i}"
         storage.make_dir(table.spark, mark)
-        removed += sum(_remove_aged(table, path, cutoff) for path in mine)
+        for r in taken.where(F.col("snapshot_id") == i).select("name").toLocalIterator():
+            removed += storage.delete(table.spark, f"{table.hot}/{r.name}")
         storage.make_dir(table.spark, f"{mark}/done")
     return removed
 
@@ -157,14 +178,43 @@ def lake_lag(table: TieredTable) -> DataFrame:
     )
 
 
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}
+
+
+def seconds_of(interval: str) -> float:
+    """"30 seconds", "1 minute 30 seconds" and the like, in seconds."""
+    words = interval.split()
+    if not words or len(words) % 2:
+        raise ValueError(f"not an interval: {interval!r}")
+    return sum(float(n) * _SECONDS[unit.lower().removesuffix("s")] for n, unit in zip(words[::2], words[1::2]))
+
+
 def flush_intervals(table: TieredTable) -> DataFrame:
-    """Seconds since the previous commit, per flush, and whether it missed the freshness target."""
-    target = int(table.spec.freshness.split()[0])
-    # Live and unexpired records only: a bounded, table-sized log, not table data.
-    in_order = Window.partitionBy("operation").orderBy("committed_at")
-    return (
-        table.history()
-        .where("operation = 'append'")
-        .withColumn("interval_s", F.timestamp_diff("SECOND", F.lag("committed_at").over(in_order), F.col("committed_at")))
-        .select("snapshot_id", "committed_at", "interval_s", (F.col("interval_s") > target).alias("missed_target"))
+    """Seconds since the previous commit, per flush, and whether it missed the freshness target.
+
+    Flushes whose snapshots were rewritten and have expired are in it.
+    """
+    flushes = table.history().where("operation = 'append'").select("snapshot_id", "committed_at", "row_count")
+    if storage.exists(table.spark, f"{table.path}/lake/expired"):
+        expired = table.spark.read.schema(flushes.schema).parquet(f"{table.path}/lake/expired")
+        flushes = flushes.unionByName(expired).dropDuplicates(["snapshot_id"])
+    # One row per flush of one table, a few thousand a day at the default freshness.
+    in_order = Window.partitionBy(F.lit(table.spec.name)).orderBy("committed_at", "snapshot_id")
+    interval = F.col("committed_at").cast("double") - F.lag(F.col("committed_at").cast("double")).over(in_order)
+    target = seconds_of(table.spec.freshness)
+    return flushes.withColumn("interval_s", interval).select(
+        "snapshot_id", "committed_at", "row_count", "interval_s", F.lit(target).alias("target_s"),
+        (F.col("interval_s") > target).alias("missed_target"),
+    )
+
+
+def flush_lag(table: TieredTable) -> DataFrame:
+    """Freshness against target, one row: flushes, intervals between them, and how many missed it."""
+    return flush_intervals(table).agg(
+        F.lit(table.spec.name).alias("table_name"),
+        F.lit(seconds_of(table.spec.freshness)).alias("target_s"),
+        F.count(F.lit(1)).alias("flushes"),
+        F.count("interval_s").alias("intervals"),
+        F.count_if("missed_target").alias("missed"),
+        F.max("interval_s").alias("longest_s"),
     )

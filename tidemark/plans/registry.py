@@ -88,7 +88,7 @@ def _mangled(spark, sf_dir) -> DataFrame:
         F.when(way == 1, F.replace(good, at, F.replace(at, F.lit("T"), F.lit(" "))))
         .when(way == 2, F.replace(good, at, F.concat(at, F.lit("+00:00"))))
         .when(way == 3, F.regexp_replace(good, '"temperature":[^,]+,', ""))
-        .when(way == 4, F.substring(good, 2, 1000))
+        .when(way == 4, good.substr(F.lit(2), F.length(good)))
         .when(way == 5, F.regexp_replace(good, '"signal_strength":\\d+', '"signal_strength":"weak"'))
         .when(way == 6, F.regexp_replace(good, '"(temperature|vibration)":[^,]+,', '"$1":"x",'))
         .when(way == 7, F.lit(None))
@@ -472,7 +472,7 @@ def log_ttl(spark, sf_dir):
     table = staged.land().table
     out = shared_dir(spark, "after-ttl")
     query = (
-        table.stream(history=table.pin())
+        table.stream()
         .writeStream.format("parquet")
         .option("checkpointLocation", f"{out}/checkpoint")
         .trigger(**CATCH_UP)

@@ -4,8 +4,10 @@ Layout of a table under its root:
 
     hot/                       appended by Spark's own file sink, whose log is the commit point
     lake/data/snapshot_id=K/   what flush K moved, as plain Parquet
+    lake/files/id=K/           the names of the hot files it took, a row each
     lake/snapshots/id=K/       one row, written last; snapshot K exists once it is there
     lake/purged/id=K           a folder that says K's hot files are being removed
+    consumers/NAME/            a standing reader: its checkpoint, and what was purged when it began
     checkpoints/
 
 Cold is the rows of the live snapshots. Hot plus cold is the same rows and the
@@ -16,7 +18,6 @@ shuffle. Hot files are never rewritten.
 from __future__ import annotations
 
 import datetime as dt
-import time
 import urllib.parse
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -26,19 +27,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.times import naive
 from tidemark.schemas import TableSpec, columns
-from tidemark.sources import storage
+from tidemark.sources import progress, storage
 
 # A rewrite of snapshots up to m gets this id plus m, so it cannot meet a flush id.
 REWRITE_IDS = 1_000_000_000_000
 
-# Names one flush may record; a longer backlog becomes several snapshots.
-FILES_PER_FLUSH = 10_000
-
 _RECORD = columns(
     "snapshot_id BIGINT, operation STRING, committed_at TIMESTAMP, row_count BIGINT, file_count BIGINT, "
-    "min_time TIMESTAMP_NTZ, max_time TIMESTAMP_NTZ, replaces ARRAY<BIGINT>, "
-    "hot_files ARRAY<STRING>"
+    "min_time TIMESTAMP_NTZ, max_time TIMESTAMP_NTZ, replaces ARRAY<BIGINT>"
 )
+_CONSUMER = columns("checkpoint STRING, opening ARRAY<BIGINT>")
 
 
 class NoSnapshotYet(RuntimeError):
@@ -60,68 +58,96 @@ class TieredTable:
         self.path = f"{root.rstrip('/')}/{spec.name}"
         self.hot = f"{self.path}/hot"
         self.data = f"{self.path}/lake/data"
+        self.names = f"{self.path}/lake/files"
         self.records = f"{self.path}/lake/snapshots"
         self.purged = f"{self.path}/lake/purged"
+        self.readers = f"{self.path}/consumers"
         self.checkpoints = f"{self.path}/checkpoints"
 
     def create(self) -> "TieredTable":
         """Make the table readable, with no rows and an empty cold twin."""
-        for path in (self.hot, self.records, self.purged):
+        for path in (self.hot, self.records, self.purged, self.readers):
             storage.make_dir(self.spark, path)
         return self
 
     # ---- hot ----
 
-    def append(
-        self, rows: DataFrame, trigger: dict, files: int | None = None, retention_days: int | None = None
-    ) -> StreamingQuery:
+    def append(self, rows: DataFrame, trigger: dict, files: int | None = None) -> StreamingQuery:
         """Append a stream to the hot log, exactly once.
 
         ``files`` bounds the files a micro-batch writes, for sources with many
-        partitions. ``retention_days`` lets the sink's log forget files older
-        than that, which keeps the log short; a table with rows that are still
-        unflushed at half that age is refused, as they would drop out of sight.
+        partitions.
         """
         if files:
             rows = rows.repartition(files)
-        writer = (
+        return (
             rows.select(*self.spec.schema.names)
             .writeStream.format("parquet")
             .outputMode("append")
             .queryName(f"append-{self.spec.name}-{id(rows)}")
-            .option("checkpointLocation", f"{self.checkpoints}/append")
+            .option("checkpointLocation", self.append_checkpoint)
             .trigger(**trigger)
+            .start(self.hot)
         )
-        if retention_days:
-            self._refuse_stale(retention_days / 2)
-            writer = writer.option("retention", f"{retention_days}d")
-        return writer.start(self.hot)
-
-    def _refuse_stale(self, days: float) -> None:
-        oldest = (time.time() - days * 86_400) * 1000
-        for path in self.pin().hot_paths:
-            written = storage.modified_millis(self.spark, path)
-            if written is not None and written < oldest:
-                raise RuntimeError(f"{self.spec.name} has unflushed rows over {days} days old; flush it first")
-
-    def stream(self, history: Version | None = None, **options: str) -> DataFrame:
+
+    @property
+    def append_checkpoint(self) -> str:
+        return f"{self.checkpoints}/append"
+
+    def stream(self, consumer: str | None = None, checkpoint: str | None = None) -> DataFrame:
         """The table as an unending stream: what is there first, then rows as they land.
 
-        With ``history``, a pinned version, rows whose hot files were removed
-        since are taken from the cold tier. A restart from a checkpoint has to
-        be given the same ``history``.
+        Rows whose hot files were purged before come from the cold tier. A
+        standing reader gives its name and the ``checkpoint`` it will write:
+        from then on nothing it has not read is purged, however long it stops,
+        and every restart gets the same stream. Without a name the stream is
+        for one run, and must not fall behind the log's TTL.
         """
-        hot = (
-            self.spark.readStream.schema(self.spec.schema)
-            .option("ignoreMissingFiles", "true")
-            .options(**options)
-            .parquet(self.hot)
-        )
-        gone = sorted(set(history.snapshots) & self.purged_ids()) if history else []
-        if not gone:
-            return hot
-        parts = f"{self.data}/snapshot_id={{{','.join(map(str, gone))}}}"
-        return self.spark.readStream.schema(self.spec.schema).parquet(parts).unionByName(hot)
+        opening = self._enter(consumer, checkpoint) if consumer else self._only_cold()
+        reader = self.spark.readStream.schema(self.spec.schema)
+        if opening:
+            # The log still lists what was purged before this reader began; cold has those rows.
+            # Nothing else can be missing, as purging waits for this reader.
+            hot = reader.option("ignoreMissingFiles", "true").parquet(self.hot)
+            parts = f"{self.data}/snapshot_id={{{','.join(map(str, opening))}}}"
+            return self.spark.readStream.schema(self.spec.schema).parquet(parts).unionByName(hot)
+        if not self.spec.tiered:  # its log ages out under readers
+            reader = reader.option("ignoreMissingFiles", "true")
+        return reader.parquet(self.hot)
+
+    def _only_cold(self) -> list[int]:
+        """The live snapshots whose rows no hot file has any more."""
+        purged = self.purged_ids()
+        live = self.live().select("snapshot_id").collect() if purged else []
+        return sorted(r.snapshot_id for r in live if r.snapshot_id in purged)
+
+    def _enter(self, consumer: str, checkpoint: str | None) -> list[int]:
+        if checkpoint is None:
+            raise ValueError(f"the checkpoint of {consumer} tells what it has read")
+        path = f"{self.readers}/{consumer}"
+        if not storage.exists(self.spark, f"{path}/_SUCCESS"):
+            # Entered before the purges are listed: one that starts now already waits for this reader.
+            self._write_consumer(path, checkpoint, [])
+            self._write_consumer(path, checkpoint, self._only_cold())
+        known = self.spark.read.schema(_CONSUMER).parquet(path).first()
+        if known.checkpoint != checkpoint:
+            raise RuntimeError(f"{self.spec.name} knows {consumer} by another checkpoint, {known.checkpoint}")
+        return known.opening
+
+    def _write_consumer(self, path: str, checkpoint: str, opening: list[int]) -> None:
+        row = self.spark.createDataFrame([(checkpoint, opening)], _CONSUMER)
+        row.coalesce(1).write.mode("overwrite").parquet(path)
+
+    def consumers(self) -> list:
+        """checkpoint and opening of every standing reader."""
+        found = storage.names(self.spark, self.readers)
+        if not found:
+            return []
+        return self.spark.read.schema(_CONSUMER).parquet(*[f"{self.readers}/{name}" for name in found]).collect()
+
+    def leave(self, consumer: str) -> None:
+        """Forget a reader that will not come back, so that purging no longer waits for it."""
+        storage.delete(self.spark, f"{self.readers}/{consumer}")
 
     def hot_files(self) -> list[str]:
         """Paths of the committed hot files; Spark names them as URIs, its readers want plain paths."""
@@ -148,6 +174,14 @@ class TieredTable:
         """One row per flush or rewrite: what the table's snapshot history shows."""
         return self.history().select("snapshot_id", "operation", "committed_at", "row_count")
 
+    def taken(self, ids: list[int]) -> DataFrame:
+        """snapshot_id and name of the hot files that snapshots ``ids`` hold the rows of."""
+        schema = "name STRING, id BIGINT"
+        if not ids:
+            return self.spark.createDataFrame([], schema).withColumnRenamed("id", "snapshot_id")
+        reader = self.spark.read.schema(schema).option("basePath", self.names)
+        return reader.parquet(*[f"{self.names}/id={k}" for k in ids]).withColumnRenamed("id", "snapshot_id")
+
     def pin(self, strict: bool = False, since: dt.datetime | None = None) -> Version:
         """Fix what a read will see.
 
@@ -158,14 +192,21 @@ class TieredTable:
         """
         hot = self.hot_files()
         records = self._live_records(strict)
-        flushed = {name for record in records for name in record.hot_files}
         return Version(
             tuple(r.snapshot_id for r in records if _reaches(r, since)),
-            tuple(path for path in hot if file_name(path) not in flushed),
+            tuple(self._not_taken(hot, [r.snapshot_id for r in records])),
         )
 
+    def _not_taken(self, paths: list[str], ids: list[int]) -> list[str]:
+        """The paths no snapshot names. Names of flushed files grow with the table and stay rows; what is left does not."""
+        if not paths or not ids:
+            return paths
+        listed = self.spark.createDataFrame([(path, file_name(path)) for path in paths], "path STRING, name STRING")
+        left = listed.join(self.taken(ids), "name", "left_anti").select("path").collect()
+        return sorted(r.path for r in left)
+
     def _live_records(self, strict: bool = False, since: dt.datetime | None = None) -> list:
-        records = self.live().select("snapshot_id", "max_time", "hot_files").collect()
+        records = self.live().select("snapshot_id", "max_time").collect()
         if strict and not records:
             raise NoSnapshotYet(f"{self.spec.name}: a batch read needs one lake snapshot")
         return sorted((r for r in records if _reaches(r, since)), key=lambda r: r.snapshot_id)
@@ -217,10 +258,13 @@ class TieredTable:
     # ---- flush ----
 
     def flush(self, trigger: dict, before_commit: Callable[[], None] | None = None) -> StreamingQuery:
-        """Move newly arrived hot rows to the cold tier, one snapshot per micro-batch."""
-        arrivals = self.stream(maxFilesPerTrigger=str(FILES_PER_FLUSH)).select(
-            "*", F.col("_metadata.file_name").alias("_hot_file")
-        )
+        """Move newly arrived hot rows to the cold tier, one snapshot per micro-batch.
+
+        However long tiering was paused, what has landed since is one micro-batch.
+        A hot file that is missing fails it: only files a snapshot names may go, and
+        what was not read is not to be recorded as moved.
+        """
+        arrivals = self.spark.readStream.schema(self.spec.schema).parquet(self.hot)
         started = []
 
         def one(batch: DataFrame, batch_id: int) -> None:
@@ -231,12 +275,16 @@ class TieredTable:
 
         return (
             arrivals.writeStream.queryName(f"flush-{self.spec.name}-{id(arrivals)}")
-            .option("checkpointLocation", f"{self.checkpoints}/flush")
+            .option("checkpointLocation", self._flush_checkpoint)
             .trigger(**trigger)
             .foreachBatch(one)
             .start()
         )
 
+    @property
+    def _flush_checkpoint(self) -> str:
+        return f"{self.checkpoints}/flush"
+
     def _flush_batch(self, batch: DataFrame, snapshot_id: int, before_commit) -> None:
         seen = Observation()
         target = f"{self.data}/snapshot_id={snapshot_id}"
@@ -247,21 +295,28 @@ class TieredTable:
                 F.count(F.lit(1)).alias("n"),
                 F.min(time).alias("min_time"),
                 F.max(time).alias("max_time"),
-                F.collect_set("_hot_file").alias("files"),
             )
-            .drop("_hot_file")
             .write.mode("overwrite")
             .parquet(target)
         )
         found = seen.get
+        files = progress.handed(self.spark, self._flush_checkpoint, snapshot_id - 1)
+        self._refuse_missing(files)
         if not found["n"]:
             return
         if before_commit:
             before_commit()
         self.commit(
-            snapshot_id, "append", found["n"], found["min_time"], found["max_time"], [], found["files"]
+            snapshot_id, "append", found["n"], found["min_time"], found["max_time"], [], files.select("name")
         )
 
+    def _refuse_missing(self, files: DataFrame) -> None:
+        """Spark passes over a file that is gone before it is read; what is there now was there then."""
+        there = self.spark.createDataFrame([(n,) for n in storage.names(self.spark, self.hot)], "name STRING")
+        missing = files.join(there, "name", "left_anti").select("name").take(3)
+        if missing:
+            raise RuntimeError(f"{self.spec.name}: hot files are missing: {[r.name for r in missing]}")
+
     def _already_flushed(self, batch: DataFrame, snapshot_id: int) -> bool:
         """Whether this is a replay of the last flush, committed just before a restart.
 
@@ -277,19 +332,22 @@ class TieredTable:
         return True
 
     def commit(
-        self, snapshot_id, operation, row_count, min_time, max_time, replaces, hot_files
+        self, snapshot_id, operation, row_count, min_time, max_time, replaces, names: DataFrame
     ) -> None:
         """Check the data that was written and add the one-row record that makes it a snapshot.
 
+        ``names`` has the names of the hot files whose rows it holds.
+
         The record is one file, so it appears whole or not at all.
         """
         written = self.spark.read.schema(self.spec.schema).parquet(f"{self.data}/snapshot_id={snapshot_id}")
         rows = written.count()
         if rows != row_count:
             raise RuntimeError(f"{self.spec.name} snapshot {snapshot_id} has {rows} of {row_count} rows")
+        names.write.mode("overwrite").parquet(f"{self.names}/id={snapshot_id}")
         record = (
             snapshot_id, operation, dt.datetime.now(dt.timezone.utc), row_count, len(written.inputFiles()),
-            min_time, max_time, sorted(replaces), sorted(hot_files),
+            min_time, max_time, sorted(replaces),
         )
         self.spark.createDataFrame([record], _RECORD).coalesce(1).write.mode("overwrite").parquet(
             f"{self.records}/id={snapshot_id}"

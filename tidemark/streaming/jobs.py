@@ -34,7 +34,6 @@ class Lakehouse:
     root: str
     dimension_slices: int = 1
     files_per_batch: int | None = None
-    retention_days: int | None = None
     tables: dict[str, TieredTable] = field(default_factory=dict)
 
     def __post_init__(self):
@@ -79,7 +78,7 @@ class Lakehouse:
         return started
 
     def _append(self, table: TieredTable, rows: DataFrame, trigger: dict) -> StreamingQuery:
-        return table.append(rows, trigger, self.files_per_batch, self.retention_days)
+        return table.append(rows, trigger, self.files_per_batch)
 
     def _quarantine(self, rows: DataFrame, table: TieredTable, trigger: dict) -> StreamingQuery:
         return (
@@ -103,7 +102,8 @@ class Lakehouse:
         """
         if broadcast is None:
             broadcast = at_most(self.dimension.current(), BROADCAST_ROWS)
-        rows = silver(self.telemetry.stream(), self.dimension.live(broadcast), arrival, broadcast)
+        readings = self.telemetry.stream("enrichment", self.silver.append_checkpoint)
+        rows = silver(readings, self.dimension.live(broadcast), arrival, broadcast)
         return self._append(self.silver, rows, trigger)
 
     def start_health(
@@ -119,7 +119,7 @@ class Lakehouse:
         ``ingest_time`` that must never run ahead of the silver job.
         ``"event_time"``: the reading's own time, five seconds late at most.
         """
-        readings = self.silver.stream()
+        readings = self.silver.stream("health", self.gold.append_checkpoint)
         if over == "arrival":
             if "processingTime" in trigger:
                 beat = self.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
