@@ -8,6 +8,7 @@ from tidemark import schemas
 from tidemark.operators.enrich import enriched
 from tidemark.sources import dimension
 from tidemark.sources.dimension import DeviceDimension
+from tidemark.streaming.jobs import CATCH_UP, Lakehouse, finish
 
 
 def device(spark, *rows):
@@ -31,6 +32,7 @@ def test_vacuum_keeps_the_newest_versions_and_every_change(spark, root):
     for threshold in range(4):
         dim.upsert(device(spark, ("device_1", float(threshold), "p", "m", "active")))
     assert dim.vacuum(keep=2) == [1, 2]
+    assert dim.version() == 4
     assert dim.current().first().temp_threshold == dim.live().first().temp_threshold == 3.0
     assert dim.history().count() == 4
     assert dim.seed() == 5
@@ -56,6 +58,25 @@ def test_uncommitted_version_is_invisible(spark, root):
     assert dim.current().count() == dim.live().count() == 12
 
 
+def test_two_upserts_at_a_time_lose_no_change(spark, root, monkeypatch):
+    dim, other = DeviceDimension(spark, root), DeviceDimension(spark, root)
+    dim.seed()
+    real, inside = dimension.latest_per_device, []
+
+    def while_another_commits(*args):
+        if not inside:
+            inside.append(True)
+            other.upsert(device(spark, ("b", 2.0, "p", "m", "active")))
+        return real(*args)
+
+    monkeypatch.setattr(dimension, "latest_per_device", while_another_commits)
+    with pytest.raises(RuntimeError, match="repeat this one"):
+        dim.upsert(device(spark, ("a", 1.0, "p", "m", "active")))
+    assert dim.current().count() == 12 and dim.history().count() == 12
+    dim.upsert(device(spark, ("a", 1.0, "p", "m", "active")))
+    assert dim.current().count() == 13 and dim.history().count() == 13
+
+
 def test_live_source_serves_every_slice_once(spark, root):
     dim = DeviceDimension(spark, root, slices=4)
     dim.seed()
@@ -106,3 +127,24 @@ def test_broadcast_bound_is_checked_by_every_read(spark, root, monkeypatch):
         query.processAllAvailable()
     query.stop()
     assert dim.live(broadcast=False).count() == 11
+
+
+def test_a_stream_outlives_a_dimension_past_the_broadcast_bound(spark, root, monkeypatch):
+    house = Lakehouse(spark, root)
+    house.dimension.seed()
+    drop_rows(readings(spark, [{"reading_id": 1}]), f"{root}/in/1")
+    land = lambda: finish([house.telemetry.append(
+        spark.readStream.schema(schemas.TELEMETRY).parquet(f"{root}/in/*"), CATCH_UP)])
+    land()
+    query = house.start_enrichment({"processingTime": "100 milliseconds"})
+    try:
+        query.processAllAvailable()
+        monkeypatch.setattr(dimension, "BROADCAST_ROWS", 20)
+        house.dimension.upsert(device(spark, *[(f"x{i}", 1.0, "p", "m", "active") for i in range(50)]))
+        drop_rows(readings(spark, [{"reading_id": 2, "device_id": "x49"}]), f"{root}/in/2")
+        land()
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    got = {r.reading_id: r.temp_threshold for r in house.silver.read().collect()}
+    assert got == {1: 24.0, 2: 1.0}

@@ -37,19 +37,18 @@ def _expected(probes, versions):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("way", ["sweep", "broadcast", "measured"])
-def test_as_of_matches_brute_force(spark, monkeypatch, seed, way):
+@pytest.mark.parametrize("slices", [1, 7])
+def test_as_of_matches_brute_force(spark, seed, slices):
     probes, versions = _skewed(seed)
     left = readings(spark, probes)
     right = spark.createDataFrame(
         [(d, since, *v) for (d, since), v in versions.items()],
         "device_id string, valid_from timestamp_ntz, temp_threshold double, model string",
     )
-    if way == "sweep":
-        monkeypatch.setattr(lookups, "VERSIONS_PER_DEVICE", 0)
-    if way == "broadcast":
-        monkeypatch.setattr(lookups, "VERSIONS_PER_DEVICE", 10_000)
-    out = lookups.lookup_as_of(left, right, "event_time", COLUMNS, slices=7).collect()
+    # Versions without a device or a time are never in force.
+    never = spark.createDataFrame([("hot", None, -1.0, "x"), (None, at(0), -1.0, "x"), (None, None, -1.0, "x")], right.schema)
+    right = right.unionByName(never)
+    out = lookups.lookup_as_of(left, right, "event_time", COLUMNS, slices=slices).collect()
     got = {r.reading_id: (r.valid_from, r.temp_threshold, r.model) for r in out}
     assert len(out) == len(probes)
     assert got == _expected(probes, versions)
@@ -67,20 +66,28 @@ def test_salted_lookup_equals_the_broadcast_one(spark):
     left = readings(spark, probes)
     dim = spark.createDataFrame([("hot", 1.0, "a"), ("d1", 2.0, "b")], "device_id string, temp_threshold double, model string")
     a = lookups.lookup(left, dim, COLUMNS, broadcast=True)
-    b = lookups.lookup(left, dim, COLUMNS, broadcast=False, salts=5)
+    b = lookups.lookup(left, dim, COLUMNS, broadcast=False, tasks=5)
     assert b.count() == left.count()
     assert a.select(sorted(a.columns)).exceptAll(b.select(sorted(b.columns))).count() == 0
 
 
-def test_dimension_over_the_bound_is_not_broadcast(spark, monkeypatch):
-    left = readings(spark, [{"device_id": f"d{i}"} for i in range(20)])
-    dim = spark.range(50).select(
+def test_a_shuffled_lookup_repeats_only_what_is_busy(spark):
+    left = readings(spark, [{"reading_id": i, "device_id": "hot" if i % 3 == 0 else f"d{i}"} for i in range(300)])
+    dim = spark.range(300).select(
         F.concat(F.lit("d"), "id").alias("device_id"), F.col("id").cast("double").alias("temp_threshold"), F.lit("m").alias("model")
-    )
-    plan = lambda: lookups.lookup(left, dim, COLUMNS)._jdf.queryExecution().analyzed().toString()
-    assert "strategy=broadcast" in plan()
-    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 10)
-    assert "strategy=broadcast" not in plan()
+    ).union(spark.createDataFrame([("hot", -1.0, "h")], "device_id string, temp_threshold double, model string"))
+    out = lookups.lookup(left, dim, COLUMNS, broadcast=False, tasks=4)
+    rows = {r.reading_id: r.temp_threshold for r in out.collect()}
+    assert rows == {i: -1.0 if i % 3 == 0 else float(i) for i in range(300)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan[plan.index("Final Plan"):] if "Final Plan" in plan else plan
+    assert "SortMergeJoin" in final or "ShuffledHashJoin" in final
+
+
+def test_an_unforced_lookup_leaves_the_join_to_spark(spark):
+    left = readings(spark, [{"device_id": f"d{i}"} for i in range(20)])
+    dim = spark.createDataFrame([("d1", 1.0, "m")], "device_id string, temp_threshold double, model string")
+    assert "strategy=broadcast" not in lookups.lookup(left, dim, COLUMNS)._jdf.queryExecution().analyzed().toString()
 
 
 def test_latest_per_device(spark):

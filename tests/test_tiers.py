@@ -223,9 +223,11 @@ def test_lake_is_readable_without_the_tables(spark, feed):
 
     lake = Lake(spark.newSession(), feed.root)
     feed.land(10)
-    assert lake.tables() == []
+    assert lake.tables() == ["iot_telemetry"]
+    assert lake.read("iot_telemetry").count() == 0
+    assert lake.read("iot_telemetry").columns == schemas.TELEMETRY.names
     with pytest.raises(LookupError):
-        lake.read("iot_telemetry")
+        lake.read("no_such_table")
     feed.flush().land(5)
     assert lake.tables() == ["iot_telemetry"]
     assert lake.read("iot_telemetry").count() == 10

@@ -34,7 +34,7 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--every", default="10 seconds", help="trigger of the land and enrich jobs")
     parser.add_argument("--windows", choices=["arrival", "ingest_time", "event_time"], default="arrival")
     parser.add_argument("--files-per-batch", type=int, help="files one micro-batch may write to a table")
-    parser.add_argument("--slices", type=int, default=1, help="files the device dimension is hashed into")
+    parser.add_argument("--slices", type=int, default=8, help="files the device dimension is hashed into")
     parser.add_argument("--rounds", type=int, default=6)
     parser.add_argument("--pause", type=float, default=15.0)
     return parser.parse_args()

@@ -10,6 +10,11 @@ ISO_MILLIS_WIDTH = 23
 
 _BROKEN = "_broken"
 
+# A JSON object with something after it; objects inside it may be one deep, as in any message of ours.
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+_INNER = rf'\{{(?:[^"{{}}]++|{_STRING})*+\}}'
+_GOES_ON = rf'(?s)^\s*+\{{(?:[^"{{}}]++|{_STRING}|{_INNER})*+\}}\s*+\S'
+
 
 def iso_timestamp(text: Column) -> Column:
     """Naive ISO-8601 text to TIMESTAMP_NTZ at millisecond precision, NULL for any other form."""
@@ -17,6 +22,16 @@ def iso_timestamp(text: Column) -> Column:
     return F.when(text.rlike(ISO_NAIVE), kept.try_cast("timestamp_ntz"))
 
 
+def _finite(number: Column) -> Column:
+    """NULL for NaN, which Spark takes to be over every threshold, and for infinities."""
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
+def _goes_on() -> Column:
+    """Whether text follows the object that was parsed; most messages need no more than a look for a brace."""
+    return (F.instr("value", "}") < F.length(F.rtrim("value"))) & F.col("value").rlike(_GOES_ON)
+
+
 def _is_time(field: T.StructField) -> bool:
     return isinstance(field.dataType, T.TimestampNTZType)
 
@@ -34,7 +49,8 @@ def _field(field: T.StructField) -> Column:
         return iso_timestamp(text)
     if isinstance(field.dataType, T.StringType):
         return text
-    return F.when(F.col(_BROKEN).isNull(), F.col(field.name)).otherwise(retried.try_cast(field.dataType))
+    value = F.when(F.col(_BROKEN).isNull(), F.col(field.name)).otherwise(retried.try_cast(field.dataType))
+    return _finite(value) if isinstance(field.dataType, T.DoubleType) else value
 
 
 def decode(
@@ -44,8 +60,9 @@ def decode(
 
     A message that fits the types is parsed once. Any other is parsed again
     with every field as text and cast field by field, so a bad or absent field
-    is NULL and its neighbours survive. A message that is not a JSON object, or
-    that has no ``key``, gets a reason and is to be kept out of the tables.
+    is NULL and its neighbours survive; a number that is not finite is bad. A
+    message that is not one JSON object and no more, or that has no ``key``,
+    gets a reason and is to be kept out of the tables.
     """
     # inline() keeps the parsed struct as one step; as a plain column the optimizer would repeat
     # the parse in every filter and projection above it.
@@ -55,6 +72,7 @@ def decode(
     reason = (
         F.when(F.col("value").isNull(), "null_message")
         .when(F.col(f"_text.{_BROKEN}").isNotNull(), "not_json")
+        .when(_goes_on(), "goes_on")
         .when(F.coalesce(F.col(f"_text.{key}"), F.col(key)).isNull(), "no_" + key)
     )
     return parsed.select(

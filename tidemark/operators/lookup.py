@@ -4,36 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.functions.sizing import BROADCAST_ROWS, at_most
-from tidemark.session import shared_dir
+from tidemark.sources.scratch import scratch
 
 KEY = "device_id"
 
-# A broadcast as-of join compares a reading with every version of its device.
-VERSIONS_PER_DEVICE = 256
+# A device with more readings than this share of a task's part is spread over several tasks.
+PER_TASK = 4
 
 
 def lookup(
-    readings: DataFrame,
-    dim: DataFrame,
-    columns: list[str],
-    broadcast: bool | None = None,
-    salts: int = 16,
+    readings: DataFrame, dim: DataFrame, columns: list[str], broadcast: bool | None = None, tasks: int | None = None
 ) -> DataFrame:
     """Left equi-join on ``device_id``; ``dim`` holds one row per device.
 
-    ``broadcast=None`` measures ``dim`` first and broadcasts it only when it is
-    small. Otherwise both sides shuffle on (device, salt): a busy device's
-    readings spread over ``salts`` tasks and each of them gets the device's row.
+    ``broadcast=None`` leaves the choice to Spark, which broadcasts ``dim`` when
+    its size allows and splits skewed partitions otherwise. ``False`` shuffles
+    both sides, a busy device's readings over several tasks: devices with more
+    than a ``PER_TASK``-th of a task's share are counted out (there are at most
+    ``PER_TASK`` times ``tasks`` of them), and only their rows are repeated, as
+    often as their counts ask for. On a stream nothing can be counted ahead; a
+    micro-batch shuffles by device.
     """
     dim = dim.select(KEY, *columns)
     if broadcast is None:
-        broadcast = at_most(dim, BROADCAST_ROWS)
+        return readings.join(dim, KEY, "left")
     if broadcast:
         return readings.join(F.broadcast(dim), KEY, "left")
-    salted = readings.withColumn("_salt", F.pmod(F.xxhash64(*readings.columns), F.lit(salts)))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
-    return salted.join(copies, [KEY, "_salt"], "left").drop("_salt")
+    if readings.isStreaming:
+        return readings.join(dim.hint("merge"), KEY, "left")
+    tasks = tasks or int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = readings.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
+    share = counts.agg(F.sum("_n")).scalar() / F.lit(PER_TASK * tasks)
+    busy = counts.where(F.col("_n") > share).select(KEY, F.ceil(F.col("_n") / share).cast("int").alias("_salts"))
+    busy = F.broadcast(busy)
+    salts = F.coalesce("_salts", F.lit(1))
+    salted = readings.join(busy, KEY, "left").withColumn("_salt", F.pmod(F.xxhash64(*readings.columns), salts).cast("int"))
+    copies = dim.join(busy, KEY, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return salted.join(copies.hint("merge"), [KEY, "_salt"], "left").drop("_salt", "_salts")
 
 
 def lookup_as_of(
@@ -42,71 +49,59 @@ def lookup_as_of(
     """Left join each reading to the device version valid at its ``at`` time.
 
     ``versions`` has (device_id, valid_from, *columns), one row per device and
-    valid_from. A small history is broadcast; any other is swept in time order.
-    """
-    versions = versions.select(KEY, "valid_from", *columns)
-    total, busiest = versions.groupBy(KEY).count().agg(F.sum("count"), F.max("count")).first()
-    if (total or 0) <= BROADCAST_ROWS and (busiest or 0) <= VERSIONS_PER_DEVICE:
-        return _as_of_broadcast(readings, versions, at, columns)
-    return _as_of_sweep(readings, versions, at, columns, slices)
-
-
-def _as_of_broadcast(readings, versions, at, columns):
-    in_order = Window.partitionBy(KEY).orderBy("valid_from")
-    spans = versions.withColumn("_until", F.lead("valid_from").over(in_order))
-    spans = F.broadcast(spans.withColumnRenamed(KEY, "_device"))
-    held = (
-        (F.col(KEY) == F.col("_device"))
-        & (F.col(at) >= F.col("valid_from"))
-        & (F.col("_until").isNull() | (F.col(at) < F.col("_until")))
-    )
-    return readings.join(spans, held, "left").select(*readings.columns, "valid_from", *columns)
-
+    valid_from; a version without a device or a ``valid_from`` was never in force.
 
-def _as_of_sweep(readings, versions, at, columns, slices):
-    """Forward-fill versions along (device, time), a device split over many slices.
-
-    Only distinct (device, time) pairs are swept, so equal stamps cost one row.
-    A range partitioning cuts the sorted pairs into even slices; the last
-    version before each slice is carried into it, so slices fill independently.
+    Readings and versions are swept together along (device, time), whatever the
+    size of either. A range partitioning cuts the sorted rows into even slices,
+    through a device or a single stamp if need be; the last version before each
+    slice is carried into it, so slices fill independently. Readings without a
+    device or a time have no version and are not moved.
     """
     spark = readings.sparkSession
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    version = F.struct("valid_from", *columns)
-
-    asked = readings.where(F.col(at).isNotNull() & F.col(KEY).isNotNull())
-    asked = asked.select(KEY, F.col(at).alias("_t")).distinct()
-    none = F.lit(None).cast(versions.select(version.alias("v")).schema["v"].dataType)
-    marks = versions.select(KEY, F.col("valid_from").alias("_t"), F.lit(0).alias("_kind"), version.alias("_v"))
-    marks = marks.unionByName(asked.select(KEY, "_t", F.lit(1).alias("_kind"), none.alias("_v")))
-
+    versions = versions.select(KEY, "valid_from", *columns).where(f"{KEY} IS NOT NULL AND valid_from IS NOT NULL")
+    timed = F.col(at).isNotNull() & F.col(KEY).isNotNull()
+    version, reading = F.struct("valid_from", *columns), F.struct(*readings.columns)
+    kinds = {
+        "_v": versions.select(version.alias("_")).schema["_"].dataType,
+        "_r": readings.select(reading.alias("_")).schema["_"].dataType,
+    }
+    none = {name: F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()}
+    marks = versions.select(
+        F.col(KEY).alias("_d"), F.col("valid_from").alias("_t"), F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_tie"),
+        version.alias("_v"), none["_r"],
+    ).unionByName(
+        readings.where(timed).select(
+            F.col(KEY).alias("_d"), F.col(at).alias("_t"), F.lit(1).alias("_kind"), F.xxhash64(*readings.columns).alias("_tie"),
+            none["_v"], reading.alias("_r"),
+        )
+    )
     # The slice number comes from a sampled partitioning, so it is written once and read twice.
-    path = shared_dir(spark, "as-of")
-    (
-        marks.repartitionByRange(slices, KEY, "_t", "_kind")
-        .withColumn("_slice", F.spark_partition_id())
-        .write.parquet(path)
+    marks = scratch(
+        marks.repartitionByRange(slices, "_d", "_t", "_kind", "_tie").withColumn("_slice", F.spark_partition_id()), "as-of"
     )
-    marks = spark.read.parquet(path)
 
     # One row per (device, slice) touched: at most ``slices`` rows for any device.
-    earlier = Window.partitionBy(KEY).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_d").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    touched = marks.groupBy("_d", "_slice").agg(F.max(F.when(F.col("_kind") == 0, F.col("_t"))).alias("_t"))
+    last = marks.where("_kind = 0").select("_d", "_slice", "_t", "_v")
     carried = (
-        marks.groupBy(KEY, "_slice")
-        .agg(F.max("_v").alias("_last"))
-        .withColumn("_v", F.last("_last", ignorenulls=True).over(earlier))
+        touched.join(last, ["_d", "_slice", "_t"], "left")
+        .withColumn("_v", F.last("_v", ignorenulls=True).over(earlier))
         .where(F.col("_v").isNotNull())
-        .select(KEY, F.lit(None).cast("timestamp_ntz").alias("_t"), F.lit(0).alias("_kind"), "_v", "_slice")
+        .select(
+            "_d", F.lit(None).cast("timestamp_ntz").alias("_t"), F.lit(0).alias("_kind"), "_v", none["_r"], "_slice"
+        )
     )
-    along = Window.partitionBy(KEY, "_slice").orderBy(F.col("_t").asc_nulls_first(), "_kind")
+    along = Window.partitionBy("_d", "_slice").orderBy(F.col("_t").asc_nulls_first(), "_kind")
     resolved = (
-        marks.unionByName(carried)
+        marks.drop("_tie").unionByName(carried)
         .withColumn("_v", F.last("_v", ignorenulls=True).over(along))
         .where("_kind = 1")
-        .select(F.col(KEY).alias("_device"), F.col("_t"), "_v.*")
+        .select("_r.*", "_v.*")
     )
-    same = (F.col(KEY) == F.col("_device")) & (F.col(at) == F.col("_t"))
-    return readings.join(resolved, same, "left").select(*readings.columns, "valid_from", *columns)
+    unknown = [F.lit(None).cast(f.dataType).alias(f.name) for f in kinds["_v"].fields]
+    return resolved.unionByName(readings.where(~timed).select(*readings.columns, *unknown))
 
 
 def latest_per_device(changes: DataFrame, order: list[str]) -> DataFrame:

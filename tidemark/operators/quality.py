@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.sizing import BROADCAST_ROWS, at_most
 from tidemark.schemas import EVENT_FIELDS, READING_ID_RANGE, SEVERITIES, TEMPERATURE_RANGE
 
 
@@ -74,10 +73,7 @@ def landing_health(silver: DataFrame, gold: DataFrame) -> DataFrame:
 def unmatched_devices(readings: DataFrame, dim: DataFrame) -> DataFrame:
     """Devices that send readings but are not in the dimension, with their reading counts."""
     counts = readings.groupBy("device_id").agg(F.count(F.lit(1)).alias("readings"))
-    known = dim.select("device_id")
-    if at_most(known, BROADCAST_ROWS):
-        known = F.broadcast(known)
-    return counts.join(known, "device_id", "left_anti")
+    return counts.join(dim.select("device_id"), "device_id", "left_anti")
 
 
 def device_coverage(readings: DataFrame, dim: DataFrame) -> DataFrame:

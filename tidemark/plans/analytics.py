@@ -64,8 +64,9 @@ def only_in_hot(hot: DataFrame, cold: DataFrame) -> DataFrame:
     """Readings of hot plus cold whose ``reading_id`` the cold tier does not hold.
 
     A cold row always finds itself, unless its id is NULL, so only the hot
-    remainder needs the anti-join. When the hot ids fit a broadcast, the cold
-    tier is scanned for those ids alone (one column, no shuffle).
+    remainder needs the anti-join. When the hot ids fit a broadcast (tasks count
+    them, nothing else is sent), the cold tier is scanned for those ids alone
+    (one column, no shuffle).
     """
     columns = [F.col("reading_id").alias("reading_only_in_hot"), "device_id", "temperature", "anomaly_flag"]
     hot_ids = hot.select("reading_id").where("reading_id IS NOT NULL")

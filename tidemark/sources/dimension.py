@@ -30,11 +30,12 @@ class DeviceDimension:
     change with the time it took effect, for lookups as of an earlier time.
     """
 
-    def __init__(self, spark: SparkSession, root: str, slices: int = 1):
+    def __init__(self, spark: SparkSession, root: str, slices: int = 8):
         self.spark = spark
         self.path = f"{root}/{DIM_DEVICE}"
         self.slices = slices
         storage.make_dir(spark, f"{self.path}/commits")
+        storage.make_dir(spark, f"{self.path}/claims")
 
     def _commits(self) -> DataFrame:
         return self.spark.read.schema(_COMMIT + ", version BIGINT").parquet(f"{self.path}/commits")
@@ -57,7 +58,8 @@ class DeviceDimension:
 
         ``changes`` may carry ``valid_from``, the time each change took effect;
         without it they take effect now. Without ``order`` a device's changes
-        are ranked by ``valid_from``.
+        are ranked by ``valid_from``. Of two upserts at a time, the one that
+        finishes last raises and is to be repeated.
         """
         if "valid_from" not in changes.columns:
             changes = changes.withColumn("valid_from", F.localtimestamp())
@@ -69,23 +71,36 @@ class DeviceDimension:
             rows = rows.unionByName(self.current().withColumn("_new", F.lit(0)), allowMissingColumns=True)
         merged = latest_per_device(rows, ["_new", *order]).select(*DEVICE.names)
         new = old + 1
+        while not storage.claim(self.spark, f"{self.path}/claims/{new}"):
+            new += 1  # taken by another upsert, running or broken off
         target = f"{self.path}/versions/version={new}"
         merged.repartition(self.slices, "device_id").write.mode("overwrite").parquet(target)
         log = changes.select(*DEVICE.names, "valid_from")
         log.write.mode("overwrite").parquet(f"{self.path}/changes/version={new}")
         rows = self.spark.read.schema(DEVICE).parquet(target).agg(F.count(F.lit(1)).alias("row_count"))
+        if (self.version() or 0) != old:
+            raise RuntimeError(f"another upsert was committed meanwhile; repeat this one, it was not version {new}")
         rows.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("overwrite").parquet(
             f"{self.path}/commits/version={new}"
         )
+        storage.claim(self.spark, f"{self.path}/claims/{new}.done")
+        self.vacuum()
         return new
 
+    def _ever_committed(self) -> DataFrame:
+        """version of every upsert that was committed, those vacuumed since included."""
+        marks = storage.names(self.spark, f"{self.path}/claims")
+        done = [(int(name.removesuffix(".done")),) for name in marks if name.endswith(".done")]
+        return self.spark.createDataFrame(done, "version BIGINT").union(self._commits().select("version")).distinct()
+
     def history(self) -> DataFrame:
         """Every committed change: the device row and ``valid_from``."""
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in DEVICE)
         log = self.spark.read.schema(f"{schema}, valid_from TIMESTAMP_NTZ, version BIGINT").parquet(
             f"{self.path}/changes"
         )
-        return log.where(F.col("version") <= (self.version() or 0)).drop("version")
+        # Versions that were never committed are numbered below later ones that were.
+        return log.join(self._ever_committed(), "version", "left_semi").drop("version")
 
     def vacuum(self, keep: int = 10) -> list[int]:
         """Delete all but the newest ``keep`` versions (at least two); the change log stays whole."""

@@ -17,15 +17,17 @@ class Lake:
         self.root = root.rstrip("/")
 
     def tables(self) -> list[str]:
-        """Tables with at least one committed snapshot."""
+        """Tables that have a cold tier, be it empty."""
         found = storage.names(self.spark, self.root)
-        return sorted(name for name in found if storage.names(self.spark, f"{self.root}/{name}/lake/snapshots"))
+        return sorted(name for name in found if storage.exists(self.spark, f"{self.root}/{name}/lake/snapshots"))
 
     def read(self, name: str) -> DataFrame:
-        """The rows of the live snapshots of ``name``."""
+        """The rows of the live snapshots of ``name``; none before its first flush."""
         lake = f"{self.root}/{name}/lake"
-        if not storage.names(self.spark, f"{lake}/snapshots"):
+        if not storage.exists(self.spark, f"{lake}/snapshots"):
             raise LookupError(f"no tiered table {name} under {self.root}")
+        if not storage.names(self.spark, f"{lake}/snapshots"):
+            return self.spark.read.parquet(f"{lake}/schema")
         records = self.spark.read.parquet(f"{lake}/snapshots").select("snapshot_id", "replaces")
         replaced = records.select(F.explode("replaces").alias("snapshot_id"))
         live = records.join(replaced, "snapshot_id", "left_anti").select("snapshot_id").collect()

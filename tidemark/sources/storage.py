@@ -20,6 +20,12 @@ def make_dir(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Make an empty file; False when somebody else has made it."""
+    fs, p = _path(spark, path)
+    return fs.createNewFile(p)
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _path(spark, path)
     return fs.delete(p, True)

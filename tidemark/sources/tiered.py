@@ -3,6 +3,7 @@
 Layout of a table under its root:
 
     hot/                       appended by Spark's own file sink, whose log is the commit point
+    lake/schema/               an empty file with the table's columns
     lake/data/snapshot_id=K/   what flush K moved, as plain Parquet
     lake/files/id=K/           the names of the hot files it took, a row each
     lake/snapshots/id=K/       one row, written last; snapshot K exists once it is there
@@ -68,6 +69,10 @@ class TieredTable:
         """Make the table readable, with no rows and an empty cold twin."""
         for path in (self.hot, self.records, self.purged, self.readers):
             storage.make_dir(self.spark, path)
+        # The columns of the cold twin, for readers that know nothing of the table but its folder.
+        if self.spec.tiered and not storage.exists(self.spark, f"{self.path}/lake/schema/_SUCCESS"):
+            none = self.spark.createDataFrame([], self.spec.schema)
+            none.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/lake/schema")
         return self
 
     # ---- hot ----

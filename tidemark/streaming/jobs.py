@@ -13,7 +13,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
 from tidemark.functions import decode as wire
-from tidemark.functions.sizing import BROADCAST_ROWS, at_most
 from tidemark.functions.times import now_millis
 from tidemark.operators.enrich import silver
 from tidemark.operators.health import health_stream
@@ -32,7 +31,7 @@ class Lakehouse:
 
     spark: SparkSession
     root: str
-    dimension_slices: int = 1
+    dimension_slices: int = 8
     files_per_batch: int | None = None
     tables: dict[str, TieredTable] = field(default_factory=dict)
 
@@ -93,15 +92,14 @@ class Lakehouse:
         return self.spark.read.schema("value STRING, reason STRING").json(f"{table.path}/quarantine")
 
     def start_enrichment(
-        self, trigger: dict, arrival: Column | None = None, broadcast: bool | None = None
+        self, trigger: dict, arrival: Column | None = None, broadcast: bool = False
     ) -> StreamingQuery:
         """Bronze readings into silver, each with the threshold in force as its micro-batch runs.
 
-        The dimension is broadcast when it is small as the job starts; should it
-        outgrow the bound later, the job stops and says so, and a restart shuffles.
+        A micro-batch shuffles by device, so the dimension may grow to any size
+        while the job runs. ``broadcast=True`` is for a dimension known to stay
+        small; every read checks that it did, and the job stops if not.
         """
-        if broadcast is None:
-            broadcast = at_most(self.dimension.current(), BROADCAST_ROWS)
         readings = self.telemetry.stream("enrichment", self.silver.append_checkpoint)
         rows = silver(readings, self.dimension.live(broadcast), arrival, broadcast)
         return self._append(self.silver, rows, trigger)

@@ -6,15 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans import analytics
+from tidemark.sources.scratch import folder
 
 
-def running_count(table: DataFrame, name: str, view: str, trigger: dict) -> StreamingQuery:
-    """A count(*) that updates in place in the in-memory table ``view`` (one row)."""
+def running_count(
+    table: DataFrame, name: str, view: str, trigger: dict, checkpoint: str | None = None
+) -> StreamingQuery:
+    """A count(*) that updates in place in the in-memory table ``view`` (one row).
+
+    The count is state that executors write to ``checkpoint`` and read again;
+    without one it goes to a new folder under ``spark.checkpoint.dir``.
+    """
     return (
         analytics.row_count(table, name)
         .writeStream.outputMode("complete")
         .format("memory")
         .queryName(view)
+        .option("checkpointLocation", checkpoint or folder(table.sparkSession, "running-count"))
         .trigger(**trigger)
         .start()
     )
