@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark import schemas
 from tidemark.functions.times import naive
 from tidemark.plans import bindings
-from tidemark.session import shared_dir
 from tidemark.sources import messages, storage
+from tidemark.sources.scratch import folder as shared_dir
 from tidemark.sources.tiered import TieredTable
 from tidemark.streaming.jobs import CATCH_UP, Lakehouse, finish
 

@@ -229,10 +229,22 @@ FROM telemetry t ASOF LEFT JOIN versions c ON t.device_id = c.device_id AND t.ev
         "silver_enriched": f"WITH {silver} SELECT * FROM silver",
         "gold_health": f"WITH {gold} SELECT * FROM gold",
         "gold_health_hourly": f"WITH {gold_hour} SELECT * FROM gold",
+        "gold_health_daily": f"WITH {_gold('ts', unit='day')} SELECT * FROM gold",
         "gold_health_event_time": f"WITH {_gold('ts', 'event_time')} SELECT * FROM gold",
         "stream_silver": f"WITH {silver_ms} SELECT * FROM silver",
         "stream_gold": f"WITH {gold_ms} SELECT * FROM gold",
         "stream_gold_event_time": f"WITH {_gold(_MS, 'event_time')} SELECT * FROM gold",
+        "late_readings": f"WITH {_gold('ts', 'event_time')} SELECT * FROM gold WHERE window_start >= {_CUT}",
+        "stream_gold_arrival": f"""WITH {silver}
+SELECT device_id, count(*) AS points, count(*) FILTER (WHERE anomaly_flag) AS anomalies,
+       count(*) FILTER (WHERE vibration_spike) AS spikes, max(temperature) AS max_temperature,
+       bool_or(anomaly_flag) AS anomaly_flag, CAST(0 AS BIGINT) AS doubled, CAST(0 AS BIGINT) AS not_a_second
+FROM silver GROUP BY 1""",
+        "landing_quarantine": f"""WITH {telemetry}
+SELECT CASE {way} WHEN 4 THEN 'not_json' ELSE 'landed' END AS outcome, count(*) AS messages
+FROM telemetry WHERE {way} <> 7 GROUP BY 1 UNION ALL SELECT 'events', count(*) FROM events""",
+        "peek_hot": f"""WITH {telemetry}
+SELECT least(count(*), 5) AS rows, count(*) AS hot_readings FROM telemetry WHERE temperature > 29""",
         "anomaly_feed": f"WITH {silver} {_FEED}",
         "hot_devices": f"WITH {silver} {_HOT_DEVICES}",
         "lag_histogram": f"""WITH {silver}
@@ -312,6 +324,13 @@ SELECT event_type, severity, count(*) AS n FROM iot_events WHERE event_time < {_
         ),
         "log_ttl": f"""SELECT CASE WHEN ts < {_WEEK[2]} THEN 'cold' ELSE 'hot' END AS source, event_id AS reading_id
 FROM events UNION ALL SELECT 'stream' AS source, event_id AS reading_id FROM events""",
+        "stream_after_ttl": f"WITH {telemetry} SELECT reading_id, device_id, event_time, temperature FROM telemetry",
+        "silver_after_ttl": f"WITH {silver} SELECT * FROM silver",
+        "flush_lag": f"""WITH w AS (
+  SELECT CASE WHEN ts < {_WEEK[2]} THEN 1 WHEN ts < {_WEEK[3]} THEN 2 ELSE 3 END AS k FROM events)
+SELECT CAST(k AS BIGINT) AS snapshot_id, count(*) AS row_count, CAST(30 AS DOUBLE) AS target_s, k > 1 AS has_interval,
+       CASE WHEN k > 1 THEN TRUE END AS judged_by_target
+FROM w GROUP BY k""",
         "compaction": f"""SELECT CASE WHEN ts < {_WEEK[3]} THEN 'cold' ELSE 'hot' END AS tier, event_id AS reading_id,
        {_DEVICE} AS device_id, ts AS event_time, value AS temperature, CAST(1 AS BIGINT) AS live_snapshots FROM events""",
     }

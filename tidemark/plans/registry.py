@@ -3,21 +3,25 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import schemas
 from tidemark.functions import decode as wire
+from tidemark.functions.times import naive
 from tidemark.operators import lookup as lookups, maintenance, quality
 from tidemark.operators.enrich import DIM_COLUMNS, enriched, silver
 from tidemark.operators.health import health, health_stream
 from tidemark.plans import analytics, bindings, demo
-from tidemark.session import configure, shared_dir
+from tidemark.session import configure
+from tidemark.sources import messages
 from tidemark.sources.dimension import DeviceDimension
 from tidemark.sources.lake import Lake
+from tidemark.sources.scratch import folder as shared_dir
 from tidemark.streaming import live
-from tidemark.streaming.jobs import CATCH_UP, finish
+from tidemark.streaming.jobs import CATCH_UP, Lakehouse, finish
 from tidemark.streaming.monitor import FreshnessMonitor
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,6 +207,12 @@ def gold_health_hourly(spark, sf_dir):
     return _steady(_gold(spark, sf_dir, "1 hour"))
 
 
+@_query
+def gold_health_daily(spark, sf_dir):
+    """Windows dense enough that most of the work is done before the shuffle."""
+    return _steady(_gold(spark, sf_dir, "1 day"))
+
+
 @_query
 def gold_health_event_time(spark, sf_dir):
     return _steady(health(_silver(spark, sf_dir), "event_time"))
@@ -240,6 +250,80 @@ def stream_gold_event_time(spark, sf_dir):
     return _steady(spark.read.schema(schemas.GOLD).parquet(f"{out}/gold"))
 
 
+@_query
+def late_readings(spark, sf_dir):
+    """Event-time windows when the older readings come after the newer ones: windows long closed stay as they were."""
+    out = shared_dir(spark, "late")
+    rows = _silver(spark, sf_dir)
+    newer = F.col("event_time") >= naive(bindings.CUT)
+
+    def run():
+        readings = spark.readStream.schema(schemas.SILVER).parquet(f"{out}/in/*")
+        return (
+            health_stream(readings, "event_time", "5 seconds")
+            .writeStream.format("parquet")
+            .option("checkpointLocation", f"{out}/checkpoint")
+            .trigger(**CATCH_UP)
+            .start(f"{out}/gold")
+        )
+
+    rows.where(newer).write.parquet(f"{out}/in/1")
+    finish([run()])
+    rows.where(~newer).write.parquet(f"{out}/in/2")
+    tick = rows.agg((F.max("event_time") + F.expr("INTERVAL 1 HOUR")).alias("event_time"))
+    tick = spark.createDataFrame([], schemas.SILVER).unionByName(tick, allowMissingColumns=True)
+    tick.coalesce(1).write.parquet(f"{out}/in/3")
+    finish([run()])
+    return _steady(spark.read.schema(schemas.GOLD).parquet(f"{out}/gold"))
+
+
+@_query
+def stream_gold_arrival(spark, sf_dir):
+    """Windows over arrival by the clock, of one second: what must hold whenever the job ran, by device."""
+    house = Lakehouse(spark, shared_dir(spark, "arrival"))
+    _silver(spark, sf_dir).write.parquet(f"{house.root}/inbox/1")
+    arriving = spark.readStream.schema(schemas.SILVER).parquet(f"{house.root}/inbox/*")
+    finish([house.silver.append(arriving, CATCH_UP)])
+    landed = house.silver.read().count()
+    query = house.start_health({"processingTime": "500 milliseconds"}, "arrival", size="1 second")
+    try:
+        closed, waited = 0, 0
+        while closed < landed and waited < 120 and query.isActive:
+            time.sleep(1)
+            waited += 1
+            closed = house.gold.read().agg(F.sum("cnt_points")).first()[0] or 0
+    finally:
+        query.stop()
+    gold = house.gold.read()
+    over = (F.col("window_end") - F.col("window_start")) != F.expr("INTERVAL 1 SECOND")
+    return gold.groupBy("device_id").agg(
+        F.sum("cnt_points").alias("points"), F.sum("cnt_anomalies").alias("anomalies"),
+        F.sum("cnt_vib_spikes").alias("spikes"), F.max("max_temperature").alias("max_temperature"),
+        F.max("anomaly_flag").alias("anomaly_flag"),
+        (F.count(F.lit(1)) - F.count_distinct("window_start")).alias("doubled"), F.count_if(over).alias("not_a_second"),
+    )
+
+
+@_query
+def landing_quarantine(spark, sf_dir):
+    """Two drops of spoiled messages through both sinks, the jobs restarted between them: where each ended up."""
+    house = Lakehouse(spark, shared_dir(spark, "quarantine"))
+    inbox = f"{house.root}/inbox"
+    mangled = _mangled(spark, sf_dir).where("value IS NOT NULL")
+    events = bindings.as_messages(bindings.iot_events(spark, sf_dir))
+    for drop, part in ((1, "message_id % 3 = 0"), (2, "message_id % 3 <> 0")):
+        mangled.where(part).select("value").write.text(f"{inbox}/telemetry/{drop}")
+        if drop == 1:
+            events.write.text(f"{inbox}/events/{drop}")
+        finish(house.start_landing(
+            messages.from_folder(spark, f"{inbox}/telemetry/*"), messages.from_folder(spark, f"{inbox}/events/*"), CATCH_UP
+        ))
+    landed = house.telemetry.read().agg(F.lit("landed").alias("outcome"), F.count(F.lit(1)).alias("messages"))
+    aside = house.quarantined(house.telemetry).groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("messages"))
+    other = house.events.read().agg(F.lit("events").alias("outcome"), F.count(F.lit(1)).alias("messages"))
+    return landed.unionByName(aside).unionByName(other)
+
+
 # ---- operational queries over whole batch tables ----
 
 
@@ -485,6 +569,70 @@ def log_ttl(spark, sf_dir):
     )
 
 
+@_query
+def stream_after_ttl(spark, sf_dir):
+    """A standing reader that begins after a purge and is restarted after another: every reading once."""
+    staged = demo.staged_table(spark, sf_dir, [_week(1), _week(2), _week(3)])
+    table, out = staged.land().flush().table, shared_dir(spark, "standing")
+
+    def run():
+        return (
+            table.stream("standing", f"{out}/checkpoint")
+            .writeStream.format("parquet")
+            .option("checkpointLocation", f"{out}/checkpoint")
+            .trigger(**CATCH_UP)
+            .start(f"{out}/rows")
+        )
+
+    maintenance.purge(table, older_than_s=0)
+    staged.land()
+    finish([run()])
+    staged.flush().land().flush()
+    maintenance.purge(table, older_than_s=0)  # takes the second drop, which was read, and leaves the third
+    staged.land()
+    finish([run()])
+    rows = spark.read.schema(table.spec.schema).parquet(f"{out}/rows")
+    return rows.select("reading_id", "device_id", "event_time", "temperature")
+
+
+@_query
+def silver_after_ttl(spark, sf_dir):
+    """Silver when bronze was flushed and purged before enrichment first ran."""
+    house = Lakehouse(spark, shared_dir(spark, "late-start"))
+    house.dimension.seed()
+    bindings.telemetry(spark, sf_dir).write.parquet(f"{house.root}/inbox/1")
+    arriving = spark.readStream.schema(schemas.TELEMETRY).parquet(f"{house.root}/inbox/*")
+    finish([house.telemetry.append(arriving, CATCH_UP)])
+    finish([house.telemetry.flush(CATCH_UP)])
+    maintenance.purge(house.telemetry, older_than_s=0)
+    finish([house.start_enrichment(CATCH_UP, bindings.arrival())])
+    return house.silver.read()
+
+
+@_query
+def flush_lag(spark, sf_dir):
+    """Every flush of a table against its freshness target, those whose snapshots have expired included."""
+    staged = demo.staged_table(spark, sf_dir, [_week(2), _week(3)])
+    for _ in range(3):
+        staged.land().flush()
+    maintenance.compact(staged.table)
+    maintenance.expire(staged.table, older_than_s=0)
+    flushes = maintenance.flush_intervals(staged.table)
+    return flushes.select(
+        "snapshot_id", "row_count", "target_s", F.col("interval_s").isNotNull().alias("has_interval"),
+        (F.col("missed_target") == (F.col("interval_s") > F.col("target_s"))).alias("judged_by_target"),
+    )
+
+
+@_query
+def peek_hot(spark, sf_dir):
+    """A few of the hot readings, whichever they are: how many there were, and whether all are among the rest."""
+    hot = analytics.hotter_than(bindings.telemetry(spark, sf_dir), 29.0)
+    few = analytics.peek(hot).select("reading_id").withColumn("looked", F.lit(1))
+    both = hot.select("reading_id").join(few, "reading_id", "full")
+    return both.agg(F.sum("looked").alias("rows"), F.count(F.lit(1)).alias("hot_readings"))
+
+
 @_query
 def compaction(spark, sf_dir):
     """Hot plus cold after the flushes were rewritten as one snapshot and expired."""
