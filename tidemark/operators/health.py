@@ -31,16 +31,10 @@ def _gold_columns(df: DataFrame) -> DataFrame:
     ).select(*GOLD.names)
 
 
-def health(readings: DataFrame, by: str = "ingest_time", size: str = "1 minute") -> DataFrame:
-    """Tumbling health windows over ``by``, for batch frames.
-
-    Spark sorts its input to aggregate strings with max(), so the readings are
-    first hash-aggregated with location and model as keys (one combination per
-    device unless the dimension changed mid-window), and only those few partial
-    rows take the string max.
-    """
-    partial = readings.groupBy("device_id", tumble(by, size).alias("window"), "location_id", "model").agg(
-        F.count(F.lit(1)).alias("cnt_points"),
+def _partial(readings: DataFrame, window: Column, points: Column) -> DataFrame:
+    """Sums and extremes by device, window, location and model: fixed-width state, which Spark hashes."""
+    return readings.groupBy("device_id", window.alias("window"), "location_id", "model").agg(
+        points.alias("cnt_points"),
         _ones(_over()).alias("cnt_anomalies"),
         _ones(_spike()).alias("cnt_vib_spikes"),
         F.sum("temperature").alias("_t_sum"),
@@ -53,7 +47,11 @@ def health(readings: DataFrame, by: str = "ingest_time", size: str = "1 minute")
         F.min("signal_strength").alias("min_signal"),
         F.max("temp_threshold").alias("threshold_used"),
     )
-    whole = partial.groupBy("device_id", "window").agg(
+
+
+def _whole(partial: DataFrame, window: Column) -> DataFrame:
+    """The few partial rows of a device and window as one; only here strings are compared."""
+    return partial.groupBy("device_id", window.alias("window")).agg(
         F.sum("cnt_points").alias("cnt_points"),
         F.sum("cnt_anomalies").alias("cnt_anomalies"),
         F.sum("cnt_vib_spikes").alias("cnt_vib_spikes"),
@@ -67,7 +65,17 @@ def health(readings: DataFrame, by: str = "ingest_time", size: str = "1 minute")
         F.max("location_id").alias("location_id"),
         F.max("model").alias("model"),
     )
-    return _gold_columns(whole)
+
+
+def health(readings: DataFrame, by: str = "ingest_time", size: str = "1 minute") -> DataFrame:
+    """Tumbling health windows over ``by``, for batch frames.
+
+    Spark sorts its input to aggregate strings with max(), so the readings are
+    first hash-aggregated with location and model as keys (one combination per
+    device unless the dimension changed mid-window), and only those few partial
+    rows take the string max.
+    """
+    return _gold_columns(_whole(_partial(readings, tumble(by, size), F.count(F.lit(1))), F.col("window")))
 
 
 def health_stream(
@@ -75,24 +83,13 @@ def health_stream(
 ) -> DataFrame:
     """The same windows over a stream, append-only: a row appears once its window has closed.
 
-    ``readings`` may carry clock ticks, rows with a NULL device: they move the
-    watermark while no reading arrives. They form groups of their own that count
-    no device and are dropped by that count, after the watermark has seen them.
+    Two windowed aggregations in a chain, for the same reason as in batch: the
+    first closes a window's partial rows, the second puts them together in the
+    same micro-batch. ``readings`` may carry clock ticks, rows with a NULL
+    device: they move the watermark while no reading arrives. They form groups
+    of their own that count no device and are dropped by that count, after the
+    watermark has seen them.
     """
     timed = readings.withColumn(by, F.col(by).cast("timestamp")).withWatermark(by, delay)
-    windows = timed.groupBy("device_id", tumble(by, size).alias("window")).agg(
-        F.count("device_id").alias("cnt_points"),
-        _ones(_over()).alias("cnt_anomalies"),
-        _ones(_spike()).alias("cnt_vib_spikes"),
-        F.avg("temperature").alias("avg_temperature"),
-        F.min("temperature").alias("min_temperature"),
-        F.max("temperature").alias("max_temperature"),
-        F.avg("energy_usage").alias("avg_energy_usage"),
-        F.max("vibration").alias("max_vibration"),
-        F.min("signal_strength").alias("min_signal"),
-        F.max("temp_threshold").alias("threshold_used"),
-        F.max("location_id").alias("location_id"),
-        F.max("model").alias("model"),
-    )
-    windows = windows.where("cnt_points > 0")
-    return _gold_columns(windows)
+    partial = _partial(timed, tumble(by, size), F.count("device_id")).where("cnt_points > 0")
+    return _gold_columns(_whole(partial, F.window(F.window_time("window"), size)))
