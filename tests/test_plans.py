@@ -78,3 +78,37 @@ def test_lookup_does_not_shuffle_readings(spark, sf):
 def test_schemas_match_what_the_operators_write(tables):
     assert tables("silver").schema.names == SILVER.names
     assert tables("gold").schema.names == GOLD.names
+
+
+def test_streaming_windows_hash_raw_readings(spark, tables, tmp_path):
+    from tidemark.operators.health import health_stream
+
+    rows = spark.readStream.schema(SILVER).parquet(tables("silver").inputFiles()[0].rsplit("/", 1)[0])
+    query = (
+        health_stream(rows, "event_time", "5 seconds").writeStream.format("noop")
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    text = query._jsq.explainInternal(False)
+    scan_side = text[text.rindex("cnt_points"):] if "cnt_points" in text else text
+    assert "SortAggregate" not in scan_side[scan_side.rindex("HashAggregate"):]
+    assert text.count("StateStoreSave") == 2
+
+
+def test_the_shuffled_lookup_shuffles(spark):
+    text = plan(registry.queries()["lookup_join_shuffled"](spark, "/root/testdata/sf0.001"))
+    join = next(line for line in text.splitlines() if "_salt" in line and "Join" in line)
+    assert "SortMergeJoin" in join
+
+
+def test_sizes_are_counted_where_the_rows_are(spark):
+    from tidemark.functions.sizing import at_most
+
+    df = spark.range(1000).repartition(4)
+    assert at_most(df, 1000) and not at_most(df, 999)
+
+
+def test_gold_of_dense_windows_combines_before_the_shuffle(spark, tables):
+    text = plan(health(tables("silver"), size="1 day"))
+    first = text[: text.rindex("Exchange hashpartitioning")]
+    assert "partial_count(1)" in text[len(first):]
