@@ -338,9 +338,12 @@ class Repeats:
         windows = scratch(
             self._contexts(places).mapInArrow(_digested, "digest binary, doc long, row long, first long"), "hot-windows"
         )
-        # The window's document and place as one number each, so that partial sums stay a hash aggregation.
-        firsts = windows.groupBy("digest").agg(F.min("doc").alias("doc"), F.count("*").alias("n")).where("n > 1")
-        least = windows.join(firsts, ["digest", "doc"]).groupBy("digest").agg(F.min(F.struct("row", "first")).alias("f"))
+        # Written, so that the join below shuffles both sides for itself and can split what is skewed.
+        least = scratch(
+            windows.groupBy("digest").agg(F.min(F.struct("doc", "row", "first")).alias("f"), F.count("*").alias("n"))
+            .where("n > 1"),
+            "hot-firsts",
+        )
         later = windows.join(least, "digest").where("row <> f.row OR first <> f.first")
         return scratch(later.select("row", "first", (F.col("first") + 1).alias("end")), "hot-marks")
 
