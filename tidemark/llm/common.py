@@ -2,48 +2,26 @@
 
 from __future__ import annotations
 
-import atexit
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.session import shared_dir
-from tidemark.sources import storage
+from tidemark.sources.scratch import folder, scratch
+
+__all__ = ["bucketed", "folder", "hex_lower", "partitions", "scratch", "settings", "sha256", "table"]
 
 #: White space of the contracts: space, and tab to carriage return.
 WHITE = r"[\x20\x09-\x0D]"
 
-_made: list[tuple[SparkSession, str]] = []
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written once to the folder all executors share, and read from there.
-
-    It cuts lineage (a lost executor costs no more than the tasks it ran), and Spark then knows the table's
-    true size, so it broadcasts it by its own threshold or not at all. Removed when the process ends, or by
-    ``drop_scratch``.
-    """
-    spark = df.sparkSession
-    path = shared_dir(spark, purpose)
-    if not _made:
-        atexit.register(drop_scratch)
-    _made.append((spark, path))
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def bucketed(df: DataFrame, buckets: int, column: str, purpose: str) -> DataFrame:
     """``scratch`` as a table bucketed by ``column``, so that joins on it move only their other side."""
     spark = df.sparkSession
-    path = shared_dir(spark, purpose)
-    if not _made:
-        atexit.register(drop_scratch)
-    _made.append((spark, path))
+    path = folder(spark, purpose)
     name = path.rsplit("/", 1)[1].replace("-", "_")
     df.write.bucketBy(buckets, column).option("path", path).saveAsTable(name)
     return spark.table(name)
@@ -63,14 +41,6 @@ def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def drop_scratch() -> None:
-    """Remove every scratch table made so far. Frames that read them stop working."""
-    while _made:
-        spark, path = _made.pop()
-        if spark.sparkContext._jsc is not None:
-            storage.delete(spark, path)
-
-
 def sha256(text: Column) -> Column:
     """The 32 bytes of a text's SHA-256, half the size of its hex digits."""
     return F.unhex(F.sha2(text, 256))

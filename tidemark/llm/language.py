@@ -164,7 +164,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(rows: list[tuple[str, list[int], list[int], bool]]) -> Model:
+def fit(rows: list[tuple[str, np.ndarray, np.ndarray, bool]]) -> Model:
     """Rows are language, buckets, counts, and whether the row calibrates instead of trains."""
     languages = sorted({r[0] for r in rows})
     if not languages:
@@ -175,7 +175,7 @@ def fit(rows: list[tuple[str, list[int], list[int], bool]]) -> Model:
     def dense(some: list) -> tuple[np.ndarray, np.ndarray]:
         x = np.zeros((len(some), BUCKETS), np.float32)
         for i, (_, where, count, _) in enumerate(some):
-            x[i, where] = np.asarray(count, np.float32) / max(1, sum(count))
+            x[i, where] = count / max(1, count.sum())
         return x, np.array([number[r[0]] for r in some])
 
     train = [r for r in rows if not r[3]] or rows
@@ -243,11 +243,10 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
             for text in batch.column("text").to_pylist():
                 c = counts(text)
                 own = np.flatnonzero(c)
-                where.append(own.astype(np.int32))
-                often.append(c[own].astype(np.int32))
+                where.append(own.astype(np.uint16).tobytes())
+                often.append(c[own].astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("lang"), pa.array(where, pa.list_(pa.int32())), pa.array(often, pa.list_(pa.int32())),
-                 batch.column("calibrates")],
+                [batch.column("lang"), pa.array(where, pa.binary()), pa.array(often, pa.binary()), batch.column("calibrates")],
                 names=["lang", "buckets", "counts", "calibrates"],
             )
 
@@ -255,8 +254,12 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
         "lang", "text",
         (F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(1000)) < F.lit(int(1000 * CALIBRATE_SHARE))).alias("calibrates"),
     )
-    rows = chosen.mapInArrow(count, "lang string, buckets array<int>, counts array<int>, calibrates boolean")
-    return fit([tuple(r) for r in rows.orderBy("lang", F.xxhash64("buckets", "counts")).collect()])
+    rows = chosen.mapInArrow(count, "lang string, buckets binary, counts binary, calibrates boolean")
+    # Numbers stay packed on the driver; a list of them would take ten times the room.
+    return fit([
+        (r.lang, np.frombuffer(r.buckets, np.uint16), np.frombuffer(r["counts"], np.uint32), r.calibrates)
+        for r in rows.orderBy("lang", F.xxhash64("buckets", "counts")).toLocalIterator()
+    ])
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

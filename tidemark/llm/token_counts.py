@@ -27,8 +27,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import scratch, table
-from tidemark.session import shared_dir
+from tidemark.llm.common import folder as new_folder, scratch, table
 from tidemark.sources import storage
 
 TOKENIZERS = "/opt/tokenizers"
@@ -151,7 +150,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str, folder: str = TOKENIZERS)
         return rows.select(F.lit(kind).alias("kind"), before.alias("before"), after.alias("after"))
 
     load = batch("insert", no_image(), first, counted)
-    rollup = TokenRollup(spark, shared_dir(spark, "token-rollup"))
+    rollup = TokenRollup(spark, new_folder(spark, "token-rollup"))
     rollup.commit("load", load)
     rollup.commit("recount", batch("revise", first, second, counted.where(foreign)))
     rollup.commit("load", load)
