@@ -25,7 +25,14 @@ def scratch(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once, and read from there: it cuts lineage, and Spark then knows the table's true size."""
     path = folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    made._scratch_path = path
+    return made
+
+
+def discard(made: DataFrame) -> None:
+    """Remove what ``scratch`` wrote, once nothing will read it any more."""
+    storage.delete(made.sparkSession, made._scratch_path)
 
 
 def drop_scratch() -> None:
