@@ -7,9 +7,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.sources.scratch import folder, scratch
+from tidemark.sources.scratch import discard, folder, scratch
 
-__all__ = ["bucketed", "folder", "hex_lower", "partitions", "scratch", "settings", "sha256", "table"]
+__all__ = ["bucketed", "discard", "folder", "hex_lower", "partitions", "scratch", "settings", "sha256", "table"]
 
 #: White space of the contracts: space, and tab to carriage return.
 WHITE = r"[\x20\x09-\x0D]"

@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import bucketed, scratch, settings, table
+from tidemark.llm.common import bucketed, discard, scratch, settings, table
 from tidemark.llm.suffixes import deep_shallow
 
 LENGTH = 100
@@ -44,7 +44,7 @@ HOT = 20_000
 #: Anchors on which hot ones are looked for.
 SAMPLE = 200_000
 #: Contexts sorted together; a larger group is sorted alone.
-TOGETHER = 50_000
+TOGETHER = 20_000
 
 _PIECE = 1 << 20
 _POSITION = np.uint64((1 << 21) - 1)
@@ -291,12 +291,14 @@ class Repeats:
         bound = max(self.hot, n / 1000) * rate
         return scratch(some.groupBy("hash").count().where(F.col("count") > bound).select("hash"), "hot-anchors")
 
-    def _contexts(self, chosen: DataFrame) -> DataFrame:
+    def _contexts(
+        self, chosen: DataFrame, run=_context, kind: str = "hash long, doc long, row long, place long, context binary"
+    ) -> DataFrame:
         own = self._by_part(chosen).groupBy("part", "row").agg(F.collect_list(F.struct("hash", "place")).alias("own"))
         return (
             self.texts.select("part", "row", "doc", "text").join(own.hint("shuffle_hash"), ["part", "row"])
             .select("doc", "row", "text", "own")
-            .mapInArrow(_context, "hash long, doc long, row long, place long, context binary")
+            .mapInArrow(run, kind)
         )
 
     def marks(self) -> DataFrame:
@@ -330,13 +332,19 @@ class Repeats:
                 .mapInArrow(_sorted_together, "row long, first long, end long"),
                 "marks",
             )
+            discard(repeated)
             if any_hot:
                 marks = marks.unionByName(self._hot_marks(found.join(F.broadcast(hot), "hash", "left_semi")))
+            discard(found)
         return marks.unionByName(copies)
 
     def _hot_marks(self, places: DataFrame) -> DataFrame:
         windows = scratch(
-            self._contexts(places).mapInArrow(_digested, "digest binary, doc long, row long, first long"), "hot-windows"
+            # One worker does both steps.
+            self._contexts(
+                places, lambda batches: _digested(_context(batches)), "digest binary, doc long, row long, first long"
+            ),
+            "hot-windows",
         )
         # Written, so that the join below shuffles both sides for itself and can split what is skewed.
         least = scratch(
@@ -345,7 +353,9 @@ class Repeats:
             "hot-firsts",
         )
         later = windows.join(least, "digest").where("row <> f.row OR first <> f.first")
-        return scratch(later.select("row", "first", (F.col("first") + 1).alias("end")), "hot-marks")
+        marks = scratch(later.select("row", "first", (F.col("first") + 1).alias("end")), "hot-marks")
+        discard(windows)
+        return marks
 
     def described(self, kept: bool = True) -> DataFrame:
         """doc_id, n_bytes, n_removed, removed (maximal runs, end exclusive), kept_digest (SHA-256), kept (bytes, if asked)."""
