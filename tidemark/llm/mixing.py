@@ -12,7 +12,7 @@ sizes are summed up in that order; the sample is the documents before the remain
 crosses it included when that comes nearer.
 
 No source is sorted in one task. The rows (id, source number, size, key; no text) are range-partitioned by source and
-key and written with their partition's number; sums within a partition plus the sums of the source's partitions before
+key and written with their partition's number (only the sums, a row per source, are ranked in one task); sums within a partition plus the sums of the source's partitions before
 it give each row its place. A source with a third of all rows spreads over a third of the partitions.
 
 Null text has no words and is never drawn for a fraction, but counts in complete epochs. A null source is a

@@ -13,8 +13,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """Whole texts go to Python workers, so batches are counted in hundreds of rows, not the default 10,000."""
+    """Whole texts go to Python workers, so batches are bounded by hundreds of rows and by bytes, not by 10,000 rows."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     return configure(spark)
 
 
