@@ -184,6 +184,15 @@ def test_discovery(spark, seed):
     assert "555-1212" in cut
 
 
+@pytest.mark.parametrize("elsewhere, reported", [(0, 2), (400, 0)])
+def test_words_of_documents_without_a_mention_count(spark, elsewhere, reported):
+    """The words come before 22 mentions; when they are in 400 other places as well, they announce nothing."""
+    texts = [f"order number 10.0.0.{i}" for i in range(20)] + [f"order number 5550{i}1234" for i in range(2)]
+    texts += ["an order number that is not here"] * elsewhere
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sum(len(r["context"]) for r in pii.personal_data(df).collect()) == reported
+
+
 def test_query_and_empty_table(spark, sf):
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = pii.op8_pii(spark, sf).collect()

@@ -10,8 +10,8 @@ The method, on the entities found:
 1. Seeds are the base matches. Candidates are tokens of their shapes that no base match covers: ``address`` (with an
    ``@``) and ``number`` (digits and ``().+-``, at least ``DIGITS`` digits).
 2. Lexical patterns are a mention's shape with the two words before it, or with one that ends in a cue (``: = #``).
-   Only those with ``SUPPORT`` different instances count whose words, wherever they occur in documents with a
-   mention, are followed by one at least ``SELECTIVE`` of the time: "of the" is no sign of personal data.
+   Only those with ``SUPPORT`` different instances count whose words, wherever they occur in any document, are
+   followed by a mention at least ``SELECTIVE`` of the time: "of the" is no sign of personal data.
 3. The graph links each pattern to each different instance it precedes. A seed's score is 1. In each of ``ROUNDS``
    rounds a pattern's score is the mean score of its instances (with ``PRIOR`` unknown ones added), patterns that
    reach ``CONFIDENT`` with ``SUPPORT`` or more believed instances are kept, and an instance's score is the chance that not all of its
@@ -20,6 +20,7 @@ The method, on the entities found:
 
 Scoring shuffles (pattern, instance) once per different pair, combined map-side, so neither a common context nor a
 common number weighs on one task; skewed joins are left to adaptive execution. Every round's tables are written.
+The words of all texts are read once more for step 2, only those of supported patterns leave their task, as counts.
 
 Spans are in code points with the end exclusive, by kind (email, ip, card, phone, context) and start. Null texts count
 as empty; rows that repeat an id get a row each.
@@ -143,10 +144,9 @@ def contexts(hit: Column, before: Column) -> Column:
 
 
 def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The one pass over the texts: row, doc_id, a column of places per kind, and mentions.
+    """row, doc_id, a column of places per kind, and mentions.
 
-    mentions: start, end, instance (lower case), seed (whether it is a base match) and patterns. ``lowered`` is the
-    text of rows with a mention, in lower case and with single spaces, to count words in.
+    mentions: start, end, instance (lower case), seed (whether it is a base match) and patterns.
     """
     # The text is a column of its own, so that what the lambdas below refer to is never computed again.
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -169,15 +169,22 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
     rows = rows.withColumn("all_seeds", seeds)
     mentions = F.concat(F.transform("all_seeds", mention(True)), F.transform(free, mention(False)))
-    lowered = F.lower(F.regexp_replace("text", r"\s+", " "))
-    some = (F.size("all_seeds") > 0) | (F.size("others") > 0)
-    return scratch(
-        rows.select("row", "doc_id", *KINDS, mentions.alias("mentions"), F.when(some, lowered).alias("lowered")), "pii"
+    return scratch(rows.select("row", "doc_id", *KINDS, mentions.alias("mentions")), "pii")
+
+
+def _read_contexts(texts: DataFrame) -> DataFrame:
+    """context: every two neighbouring words, and every word that ends in a cue, of each text of ``texts`` (text)."""
+    split = F.split(F.lower(F.regexp_replace("text", r"\s+", " ")), " ")
+    pairs = texts.where("text IS NOT NULL").select(split.alias("words")).select(
+        F.explode(F.arrays_zip(F.col("words").alias("a"), F.slice("words", 2, F.size("words")).alias("b"))).alias("w")
     )
+    two = F.when((F.col("w.a") != "") & (F.col("w.b") != ""), F.concat_ws(" ", "w.a", "w.b"))
+    cue = F.when(F.right("w.a", F.lit(1)).isin(":", "=", "#") & F.col("w.a").rlike(CUE), F.col("w.a"))
+    return pairs.select(F.explode(F.array(two, cue)).alias("context")).where("context IS NOT NULL")
 
 
-def _usable(links: DataFrame, lowered: DataFrame, support: int, selective: float) -> DataFrame:
-    """pattern: those of ``links`` with enough instances, and words that mostly announce a mention."""
+def _usable(links: DataFrame, texts: DataFrame, support: int, selective: float) -> DataFrame:
+    """pattern: those of ``links`` with enough instances, and words that mostly announce a mention in ``texts``."""
     words = F.substring_index("pattern", " ", 1)
     some = scratch(
         links.groupBy("pattern").agg(F.count("*").alias("instances"), F.sum("times").alias("times"))
@@ -185,24 +192,21 @@ def _usable(links: DataFrame, lowered: DataFrame, support: int, selective: float
         .select("pattern", "times", F.substr("pattern", F.length(words) + 2).alias("context")),
         "pii-supported",
     )
-    split = F.split("lowered", " ")
-    pairs = lowered.select(F.explode(F.arrays_zip(split.alias("a"), F.slice(split, 2, F.size(split)).alias("b"))).alias("w"))
-    read = pairs.where("w.b <> '' AND w.a <> ''").select(F.concat_ws(" ", "w.a", "w.b").alias("context")).unionAll(
-        pairs.select(F.col("w.a").alias("context")).where(F.col("context").rlike(CUE))
-    )
-    seen = read.join(some.select("context").distinct(), "context", "left_semi").groupBy("context").agg(
-        F.count("*").alias("seen")
-    )
+    wanted = scratch(some.select("context").distinct(), "pii-contexts")
+    seen = _read_contexts(texts).join(wanted, "context", "left_semi").groupBy("context").agg(F.count("*").alias("seen"))
     return some.join(seen, "context", "left").where(
         F.col("times") >= selective * F.coalesce("seen", "times")
     ).select("pattern")
 
 
 def kept_patterns(
-    found: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT, support: int = SUPPORT,
+    found: DataFrame, texts: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT, support: int = SUPPORT,
     selective: float = SELECTIVE,
 ) -> tuple[DataFrame, DataFrame]:
-    """Patterns that are kept after the last round, and the instances they make believed (with their scores)."""
+    """Patterns that are kept after the last round, and the instances they make believed (with their scores).
+
+    ``texts`` has the text of every document, with a mention or without.
+    """
     links = scratch(
         found.select(F.explode("mentions").alias("m"))
         .select(F.explode("m.patterns").alias("pattern"), "m.instance", F.col("m.seed").cast("double").alias("seed"))
@@ -210,7 +214,7 @@ def kept_patterns(
         .agg(F.max("seed").alias("seed"), F.count("*").alias("times")),
         "pii-links",
     )
-    usable = _usable(links, found.where("lowered IS NOT NULL").select("lowered"), support, selective)
+    usable = _usable(links, texts, support, selective)
     graph = scratch(links.join(scratch(usable, "pii-usable"), "pattern", "left_semi").drop("times"), "pii-graph")
     scored = graph.withColumn("score", F.col("seed"))
     for _ in range(rounds):
@@ -239,9 +243,9 @@ def kept_patterns(
     return patterns, instances.where(F.col("chance") >= confident)
 
 
-def discovered(found: DataFrame, **how) -> DataFrame:
+def discovered(found: DataFrame, texts: DataFrame, **how) -> DataFrame:
     """row and context (places of the discovered mentions, in order) for rows that have any."""
-    patterns, instances = kept_patterns(found, **how)
+    patterns, instances = kept_patterns(found, texts, **how)
     mentions = found.select("row", F.explode("mentions").alias("m")).select("row", "m.*")
     return (
         mentions.where("not seed")
@@ -262,7 +266,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = entities(docs, id_col, text_col)
     all_kinds = [F.transform(k, lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"))).alias(k) for k in KINDS]
     none = F.array().cast("array<struct<start:int,end:int>>")
-    return found.join(discovered(found), "row", "left").select("doc_id", *all_kinds, F.coalesce(CONTEXT, none).alias(CONTEXT))
+    texts = docs.select(F.col(text_col).alias("text"))
+    return found.join(discovered(found, texts), "row", "left").select("doc_id", *all_kinds, F.coalesce(CONTEXT, none).alias(CONTEXT))
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
