@@ -70,5 +70,18 @@ def test_a_one_word_item_and_no_items(spark):
     assert occurrences(df.limit(0), one).count() == 0
 
 
+def test_repeated_and_null_ids_in_several_blocks(spark):
+    docs, items = corpus(0)
+    passage = items[2][1]
+    docs = docs[:8] + [
+        (1, passage), (1, "clean words only " * 300), (1, passage), (None, None), (None, "clean " * 30), (None, passage),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = judged(occurrences(df, bench, per_block=40)).collect()
+    rows = [(r.doc_id, r.n_words, r.n_hit, ",".join(r["items"]), r.contaminated) for r in got]
+    assert sorted(rows, key=str) == expected(docs, items)
+
+
 def test_runs_that_touch_are_one():
     assert decontaminate._united([(5, 8), (1, 3), (2, 4), (8, 9)]) == [(1, 4), (5, 9)]

@@ -6,11 +6,12 @@ far the next place is at which a test string could end with that block, so most
 the shift is zero, the strings filed under that suffix block and their own first block are compared word by word.
 
 Documents are never shuffled: the windows go to every task. They are counted first and sent in blocks of at most
-``WINDOWS_PER_BLOCK``; each block is one pass over the documents, and the passes are united per document.
+``WINDOWS_PER_BLOCK``; each block is one pass over the documents. With several, the documents are written once with
+a row number, by which the passes are united.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are lower-cased. Null and empty texts have no words,
-and an item without words has no window. A null ``item_id`` is listed as ``null``. With one block, each input row
-gives a row; with several, rows that repeat a ``doc_id`` are united.
+and an item without words has no window. A null ``item_id`` is listed as ``null``. Each input row
+gives a row, also where a ``doc_id`` repeats or is null.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import scratch, table
 
 WINDOW = 13
 #: Bound on what one pass sends to every task, about 50 MB of Python objects.
@@ -90,9 +91,9 @@ def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 _HITS = "array<struct<first:int,end:int>>"
-_FOUND = f"doc_id long, n_words long, hits {_HITS}, items array<string>"
+_FOUND = f"row long, doc_id long, n_words long, hits {_HITS}, items array<string>"
 _ARROW = pa.schema([
-    ("doc_id", pa.int64()), ("n_words", pa.int64()),
+    ("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()),
     ("hits", pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))), ("items", pa.list_(pa.string())),
 ])
 
@@ -111,7 +112,11 @@ def _pass(docs: DataFrame, windows: list[tuple[str, list[str]]]) -> DataFrame:
                 hits.append([{"first": a, "end": b} for a, b in _united([x[:2] for x in found])])
                 items.append(sorted({item for x in found for item in x[2]}))
             yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch.column("doc_id"), "n_words": counts, "hits": hits, "items": items}, schema=_ARROW
+                {
+                    "row": batch.column("row"), "doc_id": batch.column("doc_id"),
+                    "n_words": counts, "hits": hits, "items": items,
+                },
+                schema=_ARROW,
             )
 
     return docs.mapInArrow(scan, _FOUND)
@@ -140,10 +145,12 @@ def occurrences(
 ) -> DataFrame:
     """doc_id, n_words, hits (maximal runs of hit words, end exclusive) and items (sorted) of every document."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
     windows = benchmark_windows(benchmark)
     blocks = max(1, -(-windows.count() // per_block))
     if blocks == 1:
-        return _pass(rows, [tuple(r) for r in windows.collect()])
+        return _pass(rows, [tuple(r) for r in windows.collect()]).drop("row")
+    rows = scratch(rows, "decontaminate")  # every pass must see the same numbers
     dealt = windows.withColumn("block", F.pmod(F.hash("window"), F.lit(blocks)))
     passes = [
         _pass(rows, [tuple(r) for r in dealt.where(F.col("block") == k).select("window", "items").collect()])
@@ -168,12 +175,13 @@ def occurrences(
         ).otherwise(F.concat(out, F.array(x))),
     )
     return (
-        every.groupBy("doc_id")
+        every.groupBy("row", "doc_id")
         .agg(
             F.max("n_words").alias("n_words"), together.alias("hits"),
             F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         )
         .withColumn("hits", merged)
+        .drop("row")
     )
 
 
