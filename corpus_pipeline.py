@@ -1,14 +1,11 @@
 """From documents to a training mix: language, exact copies, near copies, benchmark passages, source weights.
 
-Every stage takes the documents its predecessor kept and reads their whole texts. Decisions are made per row and take
-effect by ``doc_id``:
-
-* language ID drops rows, so rows that share an id are judged apart;
-* exact and near dedup drop an id when all its rows lose; rows that repeat both id and text become one row;
-* decontamination drops an id when any of its rows is contaminated;
-* a row without an id stays unless language ID rejects it, as nothing can refer to it.
-
-An empty table passes through. Columns beyond those of documents are passed on.
+Every stage takes the documents its predecessor kept and reads their whole texts. Decisions are made and take effect
+per row, whether its ``doc_id`` is null, repeated or neither: a stage that judges rows in other tables than its input
+drops them by a row number, which is written with the input (or carried from the stage before) and never computed again.
+Of equal texts the longest original stays, of near copies and of equally long originals the one with the smallest id
+(any id before none), and of those the first row. An empty table passes through. Columns beyond those of documents are
+passed on.
 """
 
 from __future__ import annotations
@@ -20,13 +17,22 @@ from tidemark.llm.common import scratch, table
 from tidemark.llm.queries import prepared
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Written first: ids are few, and Spark then knows whether they fit a broadcast."""
-    return docs.join(scratch(dropped.select("doc_id").distinct(), "dropped"), "doc_id", "left_anti").select(docs.columns)
+#: Row numbers, unique among the documents of a stage.
+ROW = "pipeline_row"
+
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    return docs if ROW in docs.columns else docs.withColumn(ROW, F.monotonically_increasing_id())
 
-def _losers(decided: DataFrame, kept) -> DataFrame:
-    return decided.groupBy("doc_id").agg(F.max(kept).alias("stays")).where("not stays")
+
+def _input(docs: DataFrame) -> DataFrame:
+    """``docs`` with row numbers that stay the same however often it is read."""
+    return docs if ROW in docs.columns else scratch(_numbered(docs), "numbered")
+
+
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Written first: numbers are few, and Spark then knows whether they fit a broadcast."""
+    return docs.join(scratch(dropped.select(ROW), "dropped"), ROW, "left_anti")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,27 +44,24 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     prepared(spark)
-    groups = scratch(exact_dedup.exact_groups(docs), "groups")
-    rest = _without(docs, _losers(groups, F.col("kept")))
-    repeated = scratch(groups.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL"), "repeated-ids")
-    if repeated.isEmpty():
-        return rest
-    single = rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(docs.columns)
-    return _without(rest, repeated).unionByName(single)
+    rows = _input(docs)
+    return _without(rows, exact_dedup.copies(rows, ROW)).select(docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of linked fingerprints."""
     prepared(spark)
-    classes = simhash.near_duplicates(docs)
-    return _without(docs, _losers(classes, F.col("doc_id") == F.col("component_id")))
+    rows = _input(docs)
+    return _without(rows, simhash.near_copies(rows, ROW)).select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold too little of any benchmark passage to be contaminated."""
     prepared(spark)
-    found = decontaminate.judged(decontaminate.occurrences(docs, table(spark, sf_dir, "benchmark")))
-    return _without(docs, found.where("contaminated"))
+    rows = _input(docs)
+    found = decontaminate.judged(decontaminate.occurrences(rows, table(spark, sf_dir, "benchmark"), id_col=ROW))
+    dropped = found.where("contaminated").select(F.col("doc_id").alias(ROW))
+    return _without(rows, dropped).select(docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -83,5 +86,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepared(spark), sf_dir, "documents")
     for name, stage in STAGES:
-        docs = scratch(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = stage(spark, docs, sf_dir)
+        docs = scratch(docs if name == "mix" else _numbered(docs), f"stage-{name}")
     return docs

@@ -72,6 +72,22 @@ def test_stages_on_odd_rows(spark, sf, odd):
     assert corpus_pipeline.mixed(spark, docs, sf).count() > 0
 
 
+def test_verdicts_reach_rows_without_an_id_or_with_a_repeated_one(spark, sf):
+    words = [f"{a}{b}" for a in "bcdfghklmnprst" for b in ("ae", "io", "ou", "ya")]
+    text = lambda k: " ".join(words[(i * i * k + i) % 56] + str(k) for i in range(80))
+    bench = spark.read.parquet(f"{sf}/benchmark.parquet").where("length(text) > 200").first().text
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = lambda stage, rows: sorted(r.source for r in stage(spark, frame(rows), sf).collect())
+    copies = [(1, text(1), "a"), (None, text(1), "b"), (2, text(1), "c"), (2, text(2), "d"),
+              (None, text(3), "e"), (None, text(3), "f"), (None, text(3) + " ", "g"), (None, text(4), "h")]
+    assert kept(corpus_pipeline.without_copies, copies) == ["a", "d", "g", "h"]
+    near = [(1, text(1), "a"), (None, text(1), "b"), (2, text(1), "c"), (2, text(2), "d"), (None, text(3), "e"),
+            (1, text(5), "f"), (5, text(5), "g")]
+    assert kept(corpus_pipeline.without_near_copies, near) == ["a", "d", "e", "f"]
+    bad = [(1, bench, "a"), (1, text(1), "b"), (None, bench, "c"), (None, text(2), "d")]
+    assert kept(corpus_pipeline.without_benchmark, bad) == ["b", "d"]
+
+
 def test_empty_documents(spark, sf, odd):
     docs = odd.limit(0)
     for name, stage in corpus_pipeline.STAGES:

@@ -48,15 +48,15 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), f"{WHITE}+", "")
 
 
-def exact_groups(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    salts: int = SALTS,
-    digest: Callable[[Column], Column] = sha256,
+def _members(
+    docs: DataFrame, carried: list[str], id_col: str, text_col: str, salts: int, digest: Callable[[Column], Column]
 ) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, digest."""
+    """One row per input row: carried columns, doc_id, chars, copies and best of its group, which is (digest, norm).
+
+    ``norm`` is null unless different texts share the digest.
+    """
     rows = docs.select(
+        *carried,
         F.col(id_col).cast("long").alias("doc_id"),
         normalised(F.col(text_col)).alias("norm"),
         F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("chars"),
@@ -79,17 +79,48 @@ def exact_groups(
         ),
         "exact-groups",
     )
-    members = rows.select("doc_id", "digest").join(
+    own = [*carried, "doc_id", "chars", "digest"]
+    members = rows.select(*own, F.lit(None).cast("string").alias("norm")).join(
         groups.where("texts = 1").select("digest", "copies", "best"), "digest"
     )
     clashing = groups.where("texts > 1").select("digest")
     if not clashing.isEmpty():
         members = members.unionByName(
-            rows.join(clashing, "digest", "left_semi").select("doc_id", "digest", "norm")
+            rows.join(clashing, "digest", "left_semi").select(*own, "norm")
             .join(texts.join(clashing, "digest", "left_semi"), ["digest", "norm"])
-            .select("digest", "doc_id", "copies", "best")
+            .select(*own, "norm", "copies", "best")
         )
-    return members.select(
+    return members
+
+
+def copies(
+    docs: DataFrame,
+    row_col: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    salts: int = SALTS,
+    digest: Callable[[Column], Column] = sha256,
+) -> DataFrame:
+    """``row_col`` of all rows but one of each group. Of rows with the winning length and id, the least number stays."""
+    wins = _winner(F.col("chars"), F.col("doc_id")) == F.col("best")
+    several = scratch(
+        _members(docs, [row_col], id_col, text_col, salts, digest).where("copies > 1")
+        .select(row_col, "digest", "norm", wins.alias("wins")),
+        "copies",
+    )
+    first = several.where("wins").groupBy("digest", "norm").agg(F.min(row_col).alias(row_col))
+    return several.join(first, row_col, "left_anti").select(row_col)
+
+
+def exact_groups(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    salts: int = SALTS,
+    digest: Callable[[Column], Column] = sha256,
+) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, digest."""
+    return _members(docs, [], id_col, text_col, salts, digest).select(
         "doc_id",
         _winner_id(F.col("best")).alias("keep_id"),
         F.col("copies").alias("group_size"),

@@ -62,18 +62,22 @@ def fingerprint(text: bytes | None) -> int:
     return int.from_bytes(np.packbits(raised * 2 > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None
+) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long), and ``row_col`` (long) if it is given."""
+    carried = [row_col] if row_col else []
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.array([fingerprint(t.as_py()) for t in batch.column("text")], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(values.view(np.int64))], names=["doc_id", "fp"]
+                [batch.column("doc_id"), pa.array(values.view(np.int64)), *map(batch.column, carried)],
+                names=["doc_id", "fp", *carried],
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(scan, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *carried)
+    return rows.mapInArrow(scan, ", ".join(f"{c} long" for c in ["doc_id", "fp", *carried]))
 
 
 def _forest(members: np.ndarray) -> list[tuple[int, int]]:
@@ -185,18 +189,32 @@ def links(fps: DataFrame, n: int, crowded: int = CROWDED, sample: int = SAMPLE)
     return found
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp, component_id for every row."""
-    marked = scratch(fingerprints(docs, id_col, text_col), "fingerprints")
+def _classes(marked: DataFrame) -> DataFrame:
+    """fp, root (one fingerprint of its component) and component_id for every different fingerprint."""
     different = scratch(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "different")
     roots = components(links(different.select("fp"), different.count()))
     linked = different.join(roots, different["fp"] == roots["node"]).select("fp", "first_id", "root")
     least = linked.groupBy("root").agg(F.min("first_id").alias("component"))
-    moved = linked.join(least, "root").select("fp", "component")
-    classes = different.join(moved, "fp", "left").select(
-        "fp", F.coalesce("component", "first_id").alias("component_id")
+    moved = linked.join(least, "root").select("fp", "root", "component")
+    return different.join(moved, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("component")).alias("component_id"),
     )
-    return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fp, component_id for every row."""
+    marked = scratch(fingerprints(docs, id_col, text_col), "fingerprints")
+    return marked.join(_classes(marked), "fp").select("doc_id", "fp", "component_id")
+
+
+def near_copies(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``row_col`` of all rows but one of each component. Of rows with its least id, the least number stays."""
+    marked = scratch(fingerprints(docs, id_col, text_col, row_col), "fingerprints")
+    wins = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    placed = scratch(marked.join(_classes(marked), "fp").select(row_col, "root", wins.alias("wins")), "near-copies")
+    first = placed.where("wins").groupBy("root").agg(F.min(row_col).alias(row_col))
+    return placed.join(first, row_col, "left_anti").select(row_col)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
