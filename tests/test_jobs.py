@@ -7,7 +7,7 @@ import pytest
 
 from tests.helpers import at, drop_lines, message
 from tidemark import schemas
-from tidemark.plans import analytics
+from tidemark.plans import analytics, registry
 from tidemark.sources import messages
 from tidemark.streaming import live
 from tidemark.streaming.jobs import CATCH_UP, Lakehouse, finish
@@ -108,3 +108,18 @@ def test_another_time_zone_is_refused(spark, root):
 def test_topic_source_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         messages.from_topic(spark, "localhost:1", "iot-telemetry")
+
+
+def test_arrival_query_raises_when_its_stream_has_failed(spark, sf, monkeypatch):
+    class Failed:
+        isActive = False
+
+        def exception(self):
+            return RuntimeError("the stream was lost")
+
+        def stop(self):
+            pass
+
+    monkeypatch.setattr(Lakehouse, "start_health", lambda self, *args, **how: Failed())
+    with pytest.raises(RuntimeError, match="the stream was lost"):
+        registry.queries()["stream_gold_arrival"](spark, sf)

@@ -287,11 +287,13 @@ def stream_gold_arrival(spark, sf_dir):
     landed = house.silver.read().count()
     query = house.start_health({"processingTime": "500 milliseconds"}, "arrival", size="1 second")
     try:
-        closed, waited = 0, 0
-        while closed < landed and waited < 120 and query.isActive:
+        closed = 0
+        while closed < landed:
             time.sleep(1)
-            waited += 1
+            active = query.isActive  # asked first, so that what a stream closed before it ended is counted
             closed = house.gold.read().agg(F.sum("cnt_points")).first()[0] or 0
+            if closed < landed and not active:
+                raise query.exception() or RuntimeError(f"the stream stopped with {closed} of {landed} readings closed")
     finally:
         query.stop()
     gold = house.gold.read()
