@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, language, licences, mixing, pii, repeats, secrets, simhash, token_counts
+from tidemark.llm import (
+    decontaminate, embedding_dedup, exact_dedup, importance, language, licences, mixing, pii, repeats, secrets, simhash,
+    token_counts, vector_codes,
+)
 from tidemark.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +38,9 @@ def queries() -> dict[str, Query]:
         pii.op8_pii,
         simhash.op9_simhash,
         repeats.op10_suffix_dedup,
+        embedding_dedup.op11_embedding_dedup,
+        importance.op12_importance_resampling,
+        vector_codes.op13_vector_codes,
     ]
     import corpus_pipeline  # it is made of the operators above and uses ``prepared``
 
@@ -47,4 +53,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_exact_dedup": exact_dedup.ORACLE,
         "op6_decontaminate": decontaminate.ORACLE,
         "op7_licences": licences.ORACLE,
+        "op11_embedding_dedup": embedding_dedup.ORACLE,
+        "op13_vector_codes": vector_codes.ORACLE,
     }
