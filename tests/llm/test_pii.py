@@ -9,6 +9,7 @@ import re
 from collections import defaultdict
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from tidemark.llm import pii
@@ -21,6 +22,13 @@ PLAIN = {
 }
 
 
+RUN = r"[\p{L}\p{M}\p{N}_]"
+
+
+def tokenised(text):
+    return regex.findall(rf"{RUN}+|[^ \t\n\x0b\f\r\p{{L}}\p{{M}}\p{{N}}_]", text)
+
+
 def luhn(d):
     return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
 
@@ -88,13 +96,10 @@ def mentions_of(text):
             found.append((*m.span(), False))
     out = []
     for a, b, seed in found:
-        words = re.sub(r"\s+", " ", text[max(0, a - pii.REACH) : a]).rstrip(" ").lower().split(" ")
+        tokens = tokenised(text[:a])
         kind = "address" if "@" in text[a:b] else "number"
-        patterns = []
-        if len(words) > 1 and words[-1] and words[-2]:
-            patterns.append(f"{kind} {words[-2]} {words[-1]}")
-        if re.search(r"\w[:=#]$", words[-1]):
-            patterns.append(f"{kind} {words[-1]}")
+        goes_on = regex.fullmatch(RUN, text[a]) and a and regex.fullmatch(RUN, text[a - 1])
+        patterns = [f"{kind} {tokens[-2]} {tokens[-1]}".lower()] if len(tokens) > 1 and not goes_on else []
         out.append((a, b, text[a:b].lower(), seed, patterns))
     return out
 
@@ -111,15 +116,12 @@ def plain_discovery(texts):
         for *_, patterns in own:
             for p in patterns:
                 times[p] += 1
-        words = re.sub(r"\s+", " ", text).lower().split(" ") if own else []
-        for a, b in zip(words, [*words[1:], None]):
-            if a and b:
-                seen[f"{a} {b}"] += 1
-            if re.search(pii.CUE, a):
-                seen[a] += 1
+        tokens = tokenised(text)
+        for a, b in zip(tokens, tokens[1:]):
+            seen[f"{a} {b}".lower()] += 1
     edges = {
         p: own for p, own in edges.items()
-        if len(own) >= pii.SUPPORT and times[p] >= pii.SELECTIVE * (seen.get(p.split(" ", 1)[1]) or times[p])
+        if len(own) >= pii.SUPPORT and p.split(" ", 1)[1] in seen and times[p] >= pii.SELECTIVE * seen[p.split(" ", 1)[1]]
     }
     score = {(p, i): float(s) for p, own in edges.items() for i, s in own.items()}
     for _ in range(pii.ROUNDS):
@@ -193,6 +195,51 @@ def test_words_of_documents_without_a_mention_count(spark, elsewhere, reported):
     assert sum(len(r["context"]) for r in pii.personal_data(df).collect()) == reported
 
 
+@pytest.mark.parametrize("elsewhere, reported", [("", 1), ("ref=word", 0)])
+def test_contexts_that_touch_the_mention(spark, elsewhere, reported):
+    """A cue before the mention without a blank is counted like any other, wherever it is."""
+    texts = [f"see ref={411111111111 + i}{check_digit(411111111111 + i)}" for i in range(20)] + ["see ref=1234567"]
+    texts += [f"see {elsewhere}"] * 2000
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sum(len(r["context"]) for r in pii.personal_data(df).collect()) == reported
+
+
+def check_digit(number):
+    return next(c for c in "0123456789" if luhn(f"{number}{c}"))
+
+
+def test_contexts_reach_as_far_back_as_they_need(spark):
+    """Tokens and blanks of hundreds of characters, and mentions at the start, after one token, or inside a run."""
+    wide = "w" * 300
+    texts = ["10.0.0.1", "a 10.0.0.1", f"{wide} at 10.0.0.1", f"x {wide}10.0.0.1", "host" + " " * 200 + "is" + "\n" * 100 + "10.0.0.1",
+             "(((10.0.0.1", "größe: 10.0.0.1", "a" + " " * 63 + ": 10.0.0.1", f"{wide}{wide}:10.0.0.1", "ab+1 (555) 555-1234", "é" * 64 + ":10.0.0.1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.entities(df).collect():
+        own = [(m["start"], m["end"], m["instance"], m["seed"], m["patterns"]) for m in r.mentions]
+        assert sorted(own) == sorted(mentions_of(texts[r.doc_id]))
+
+
+def test_planted_contexts(spark):
+    """Identifiers that no base pattern has, in contexts that mostly announce base matches: recall and precision."""
+    draw = random.Random(8)
+    digits = lambda n: "".join(draw.choices("0123456789", k=n))
+    texts, planted = [], 0
+    for _ in range(900):
+        parts = draw.choices(["the", "list", "of", "parts", "number", "is", "here", "today"], k=draw.randint(3, 25))
+        if draw.random() < 0.4:
+            parts.append(draw.choice([f"mobile phone +1 {digits(3)} 555 {digits(4)}", f"mail me: {draw.choice('abc')}{digits(4)}@mail.example.com"]))
+        if draw.random() < 0.06:
+            planted += 1
+            parts.append(draw.choice([f"mobile phone {digits(3)}-555-{digits(4)}", f"mail me: joe{digits(3)}@localhost"]))
+        if draw.random() < 0.3:
+            parts.append(draw.choice([f"part number {digits(9)}", f"the list {digits(8)}", f"of parts {digits(7)}"]))
+        texts.append(" ".join(parts))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [texts[r.doc_id][p["start"] : p["end"]] for r in pii.personal_data(df).collect() for p in r["context"]]
+    right = sum("-555-" in hit or "localhost" in hit for hit in found)
+    assert right >= 0.9 * planted and right == len(found)
+
+
 def test_query_and_empty_table(spark, sf):
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = pii.op8_pii(spark, sf).collect()

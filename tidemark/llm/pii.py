@@ -9,9 +9,11 @@ The method, on the entities found:
 
 1. Seeds are the base matches. Candidates are tokens of their shapes that no base match covers: ``address`` (with an
    ``@``) and ``number`` (digits and ``().+-``, at least ``DIGITS`` digits).
-2. Lexical patterns are a mention's shape with the two words before it, or with one that ends in a cue (``: = #``).
-   Only those with ``SUPPORT`` different instances count whose words, wherever they occur in any document, are
-   followed by a mention at least ``SELECTIVE`` of the time: "of the" is no sign of personal data.
+2. A text is read as tokens: a run of letters, digits and ``_``, or one other visible character. The lexical pattern of a
+   mention is its shape with the two tokens before it, in lower case, however far back they reach; a mention that goes on
+   from a run of letters or digits has none. Only patterns with ``SUPPORT`` different instances count whose two tokens,
+   wherever they are neighbours in any document, are followed by a mention at least ``SELECTIVE`` of the time: "of the" is no sign
+   of personal data.
 3. The graph links each pattern to each different instance it precedes. A seed's score is 1. In each of ``ROUNDS``
    rounds a pattern's score is the mean score of its instances (with ``PRIOR`` unknown ones added), patterns that
    reach ``CONFIDENT`` with ``SUPPORT`` or more believed instances are kept, and an instance's score is the chance that not all of its
@@ -20,7 +22,8 @@ The method, on the entities found:
 
 Scoring shuffles (pattern, instance) once per different pair, combined map-side, so neither a common context nor a
 common number weighs on one task; skewed joins are left to adaptive execution. Every round's tables are written.
-The words of all texts are read once more for step 2, only those of supported patterns leave their task, as counts.
+The tokens of all texts are read once more for step 2 and counted before anything is joined; pairs that no supported
+pattern has are mostly told by a bitmap of ``BITS`` bits and not counted, and no other pair's count is used.
 
 Spans are in code points with the end exclusive, by kind (email, ip, card, phone, context) and start. Null texts count
 as empty; rows that repeat an id get a row each.
@@ -51,9 +54,12 @@ PRIOR = 1.0
 CONFIDENT = 0.8
 SUPPORT = 4
 SELECTIVE = 0.2
-#: Characters before a mention that are looked at for its two words.
+#: Characters before a mention that are looked at first; where its two tokens reach farther back, all are.
 REACH = 64
-CUE = r"\w[:=#]$"
+#: Bits that tell which pairs of tokens may be those of a supported pattern.
+BITS = 1 << 20
+_RUN = r"[\p{L}\p{M}\p{N}_]"
+PIECE = rf"(?:{_RUN}++|[^\s\p{{L}}\p{{M}}\p{{N}}_])"
 
 _PLACE = "struct<start:int,end:int,hit:string>"
 
@@ -134,13 +140,20 @@ def shape(hit: Column) -> Column:
     return F.when(F.contains(hit, F.lit("@")), "address").otherwise("number")
 
 
-def contexts(hit: Column, before: Column) -> Column:
-    """The lexical patterns of a mention: shape, and the words before it in lower case."""
-    words = F.split(F.lower(F.rtrim(F.regexp_replace(before, r"\s+", " "))), " ")
-    last, second = F.element_at(words, -1), F.get(words, F.size(words) - 2)
-    two = F.when(second.isNotNull() & (second != "") & (last != ""), F.concat_ws(" ", shape(hit), second, last))
-    cue = F.when(last.rlike(CUE), F.concat_ws(" ", shape(hit), last))
-    return F.array_compact(F.array(two, cue))
+def contexts(hit: Column, text: Column, start: Column) -> Column:
+    """The lexical pattern of a mention as an array of one, or of none: its shape and the two tokens before it."""
+    pair = rf"^\s*+({PIECE})\s*+({PIECE})"
+
+    def before(chars: Column) -> Column:
+        return F.reverse(F.substring(text, start - chars + 1, chars))
+
+    # Read backwards. In the part looked at first the farther token must end before the part does.
+    near, whole = before(F.least(start, F.lit(REACH))), before(start)
+    back = F.when(near.rlike(pair + r"[\s\S]"), near).otherwise(whole)
+    last, second = (F.reverse(F.regexp_extract(back, pair, i)) for i in (1, 2))
+    goes_on = hit.rlike(f"^{_RUN}") & near.rlike(f"^{_RUN}")
+    pattern = F.lower(F.concat_ws(" ", shape(hit), second, last))
+    return F.when((second != "") & ~goes_on, F.array(pattern)).otherwise(F.array().cast("array<string>"))
 
 
 def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -155,10 +168,9 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def mention(seed: bool):
         def make(p: Column) -> Column:
-            before = F.substring(F.col("text"), F.greatest(p["start"] - REACH + 1, F.lit(1)), F.least(p["start"], F.lit(REACH)))
             return F.struct(
                 p["start"].alias("start"), p["end"].alias("end"), F.lower(p["hit"]).alias("instance"),
-                F.lit(seed).alias("seed"), contexts(p["hit"], before).alias("patterns"),
+                F.lit(seed).alias("seed"), contexts(p["hit"], F.col("text"), p["start"]).alias("patterns"),
             )
 
         return make
@@ -173,30 +185,47 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def _read_contexts(texts: DataFrame) -> DataFrame:
-    """context: every two neighbouring words, and every word that ends in a cue, of each text of ``texts`` (text)."""
-    split = F.split(F.lower(F.regexp_replace("text", r"\s+", " ")), " ")
-    pairs = texts.where("text IS NOT NULL").select(split.alias("words")).select(
-        F.explode(F.arrays_zip(F.col("words").alias("a"), F.slice("words", 2, F.size("words")).alias("b"))).alias("w")
+    """context: every two neighbouring tokens of each text of ``texts`` (text)."""
+    tokens = texts.where("text IS NOT NULL").select(F.regexp_extract_all("text", F.lit(f"({PIECE})"), F.lit(1)).alias("t"))
+    pairs = tokens.select(F.explode(F.arrays_zip(F.col("t").alias("a"), F.slice("t", 2, F.size("t")).alias("b"))).alias("w"))
+    return pairs.where("w.b IS NOT NULL").select(F.lower(F.concat_ws(" ", "w.a", "w.b")).alias("context"))
+
+
+def _place(context: str) -> Column:
+    return F.pmod(F.xxhash64(context), F.lit(BITS))
+
+
+def _bitmap(contexts: DataFrame) -> Column:
+    """An array of ``BITS`` bits, 64 a number, those of ``contexts`` (context) set."""
+    words = contexts.select(_place("context").alias("at")).select(
+        F.floor(F.col("at") / 64).alias("word"), F.expr("shiftleft(1L, CAST(at % 64 AS INT))").alias("bit")
+    )
+    every = contexts.sparkSession.range(BITS // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bit"))
+    return (
+        words.union(every).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+        .agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"])).scalar()
     )
-    two = F.when((F.col("w.a") != "") & (F.col("w.b") != ""), F.concat_ws(" ", "w.a", "w.b"))
-    cue = F.when(F.right("w.a", F.lit(1)).isin(":", "=", "#") & F.col("w.a").rlike(CUE), F.col("w.a"))
-    return pairs.select(F.explode(F.array(two, cue)).alias("context")).where("context IS NOT NULL")
 
 
 def _usable(links: DataFrame, texts: DataFrame, support: int, selective: float) -> DataFrame:
-    """pattern: those of ``links`` with enough instances, and words that mostly announce a mention in ``texts``."""
-    words = F.substring_index("pattern", " ", 1)
+    """pattern: those of ``links`` with enough instances, and tokens that mostly announce a mention in ``texts``."""
+    shape_word = F.substring_index("pattern", " ", 1)
     some = scratch(
         links.groupBy("pattern").agg(F.count("*").alias("instances"), F.sum("times").alias("times"))
         .where(F.col("instances") >= support)
-        .select("pattern", "times", F.substr("pattern", F.length(words) + 2).alias("context")),
+        .select("pattern", "times", F.substr("pattern", F.length(shape_word) + 2).alias("context")),
         "pii-supported",
     )
     wanted = scratch(some.select("context").distinct(), "pii-contexts")
-    seen = _read_contexts(texts).join(wanted, "context", "left_semi").groupBy("context").agg(F.count("*").alias("seen"))
-    return some.join(seen, "context", "left").where(
-        F.col("times") >= selective * F.coalesce("seen", "times")
-    ).select("pattern")
+    word = F.element_at(_bitmap(wanted), F.floor(_place("context") / 64).cast("int") + 1)
+    maybe = F.expr("shiftright(word, CAST(pmod(xxhash64(context), 64) AS INT))").bitwiseAND(F.lit(1).cast("long")) == 1
+    counted = (
+        _read_contexts(texts).withColumn("word", word).where(maybe).groupBy("context").agg(F.count("*").alias("seen"))
+    )
+    # An inner join stays above the count, so it makes one row per wanted context and not one per pair of tokens.
+    seen = counted.join(wanted, "context")
+    # A mention's tokens are neighbours in its own text, so every pattern has been counted.
+    return some.join(seen, "context").where(F.col("times") >= selective * F.col("seen")).select("pattern")
 
 
 def kept_patterns(
