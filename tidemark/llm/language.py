@@ -3,18 +3,22 @@
 A text is lower-cased, every ASCII byte that is no letter becomes a space, and its subwords are the runs of two to four
 bytes that hold a space at an end at most, so that a word's ends are marked. Each is hashed to one of ``BUCKETS`` embeddings; the
 text is their average, and a linear softmax gives the languages. Both layers are trained by stochastic gradient descent in
-numpy, on ``SAMPLE`` labelled rows at most, dealt evenly to the languages and chosen by a hash of the id; executors
-turn them into sparse counts, so the driver holds ``SAMPLE`` rows of ``BUCKETS`` numbers at most, however long a text is.
+numpy, on ``SAMPLE`` labelled rows at most, dealt evenly to the languages: of each, the rows whose hashes of id and text
+are least. Rows that agree in both count once, so neither missing nor repeated ids let more in. Executors turn them into
+sparse counts, so the driver holds ``SAMPLE`` rows of ``BUCKETS`` numbers at most, however long a text is.
 
-A quarter of the sample is kept from training to calibrate: a temperature makes the softmax a probability, and the
-rejection threshold is the score that all but ``FALSE_REJECTS`` of those rows reach, but at most ``ABOVE_CHANCE`` of
-the way from a blind guess to certainty: texts that mix languages or are short stay, texts that resemble none go.
+A quarter of the sample is kept from training to calibrate. A temperature makes the softmax a probability. The softmax
+always prefers some language, so rejection asks another question: how typical the text's subwords are of the language that
+was chosen, by the mean logarithm of their frequencies there. That mean scatters with a variance a + b/n around its median,
+n being the subwords of a text, so it is measured in such deviations; a text is rejected that falls below all but
+``FALSE_REJECTS`` of the calibrating rows. Texts in a language that was not learned fall far below.
 
-Since the layers are linear, prediction needs only the product of the two, a row of scores per bucket: every task gets
-that table (``BUCKETS`` by ``LANGUAGES`` numbers at most) and adds up whole texts. Nothing is shuffled.
+Both tables are linear in the counts, so prediction needs a row of numbers per bucket: every task gets
+that table (twice ``BUCKETS`` by ``LANGUAGES`` numbers at most) and adds up whole texts. Nothing is shuffled.
 
 Null texts and texts without a letter are ``und`` with score 0 and rejected; so is everything if there is no labelled
-row. A null id is in the training part. Beyond ``LANGUAGES`` values of lang, the most frequent are learned.
+row. A null id is in the training part. Beyond ``LANGUAGES`` values of lang, the most frequent are learned. Rows that
+repeat an id get a row each; ids are cast to long in the result. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.common import table
 
@@ -35,8 +39,9 @@ LANGUAGES = 256
 #: Labelled rows that the model is fitted on, at most.
 SAMPLE = 3200
 CALIBRATE_SHARE = 0.25
-FALSE_REJECTS = 0.001
-ABOVE_CHANCE = 0.15
+FALSE_REJECTS = 0.005
+#: Share of a language's frequencies that is spread over all buckets, seen or not.
+UNSEEN = 0.01
 #: Doubt left in the calibration rows' labels, without which a perfect fit would have no finite temperature.
 DOUBT = 0.002
 UNKNOWN = "und"
@@ -95,15 +100,20 @@ def counts(text: str) -> np.ndarray:
 @dataclass
 class Model:
     languages: list[str]
-    scores: np.ndarray  # per bucket and language
+    scores: np.ndarray  # per bucket: a score for each language, then its logarithm of frequency in each
     bias: np.ndarray
     temperature: float = 1.0
-    threshold: float = 1.0
+    usual: np.ndarray | None = None  # median over texts of the mean logarithm, by language
+    spread: tuple[float, float] = (1.0, 1.0)  # a and b
+    threshold: float = 0.0
 
-    def logits(self, texts: list[str]) -> np.ndarray:
-        """A row per text; texts are added up together as far as memory allows, and long ones in pieces."""
-        k = len(self.languages)
-        room = max(1 << 14, (1 << 22) // k)
+    def means(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The mean of both tables over each text's subwords, and their number.
+
+        Texts are added up together as far as memory allows, and long ones in pieces.
+        """
+        k = self.scores.shape[1]
+        room = max(1 << 14, (1 << 23) // k)
         sums, total = np.zeros((len(texts), k)), np.zeros(len(texts))
         waiting: list[np.ndarray] = []
         first = 0
@@ -122,7 +132,15 @@ class Model:
                 waiting.append(raw)
         if waiting:
             self._add(waiting, first, sums, total)
-        return sums / np.maximum(total, 1)[:, None] + self.bias
+        return sums / np.maximum(total, 1)[:, None], total
+
+    def logits(self, texts: list[str]) -> np.ndarray:
+        return self.means(texts)[0][:, : len(self.languages)] + self.bias
+
+    def typical(self, mean: np.ndarray, total: np.ndarray, language: np.ndarray) -> np.ndarray:
+        """By how many deviations the mean logarithms lie above what is usual for texts of ``language``."""
+        own = mean[np.arange(len(language)), len(self.languages) + language]
+        return (own - self.usual[language]) / np.sqrt(self.spread[0] + self.spread[1] / np.maximum(total, 1))
 
     def _add(self, raws, first, sums, total, starts=None) -> None:
         joined = np.concatenate(raws)
@@ -148,15 +166,18 @@ class Model:
             sums[rows] += got
             total[rows] += own
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        named, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
+        """Language, score, and whether the text is rejected."""
+        named, score, rejected = [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)
         known = [i for i, t in enumerate(texts) if has_letter(t)] if self.languages else []
         if known:
-            p = softmax(self.logits([texts[i] for i in known]) / self.temperature)
+            mean, total = self.means([texts[i] for i in known])
+            p = softmax((mean[:, : len(self.languages)] + self.bias) / self.temperature)
             best = p.argmax(axis=1)
+            out = self.typical(mean, total, best) < self.threshold
             for row, i in enumerate(known):
-                named[i], score[i] = self.languages[best[row]], float(p[row, best[row]])
-        return named, score
+                named[i], score[i], rejected[i] = self.languages[best[row]], float(p[row, best[row]]), bool(out[row])
+        return named, score, rejected
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -168,7 +189,7 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray, bool]]) -> Model:
     """Rows are language, buckets, counts, and whether the row calibrates instead of trains."""
     languages = sorted({r[0] for r in rows})
     if not languages:
-        return Model([], np.zeros((BUCKETS, 1), np.float32), np.zeros(1))
+        return Model([], np.zeros((BUCKETS, 2), np.float32), np.zeros(1))
     number = {name: i for i, name in enumerate(languages)}
     k = len(languages)
 
@@ -198,17 +219,25 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray, bool]]) -> Model:
             bias -= 0.01 * rate * p.sum(axis=0)
             embed -= rate * (x.T @ into)
             done += 1
-    model = Model(languages, (embed @ linear).astype(np.float32), bias.astype(np.float64))
-    logits, truth = [], []
+    frequency = np.zeros((BUCKETS, k))
+    for at in range(0, len(train), 64):
+        x, y = dense(train[at : at + 64])
+        np.add.at(frequency.T, y, x)
+    frequency /= np.maximum(frequency.sum(axis=0), 1e-9)
+    usual = np.log((1 - UNSEEN) * frequency + UNSEEN / BUCKETS)
+    model = Model(languages, np.hstack((embed @ linear, usual)).astype(np.float32), bias.astype(np.float64))
+    means, truth, totals = [], [], []
     for at in range(0, len(held), 64):
         x, y = dense(held[at : at + 64])
-        logits.append(x @ model.scores + model.bias)
+        means.append(x @ model.scores)
         truth.append(y)
-    return calibrate(model, np.concatenate(logits), np.concatenate(truth))
+        totals.append([r[2].sum() for r in held[at : at + 64]])
+    return calibrate(model, np.concatenate(means), np.concatenate(truth), np.concatenate(totals))
 
 
-def calibrate(model: Model, logits: np.ndarray, truth: np.ndarray) -> Model:
-    k = logits.shape[1]
+def calibrate(model: Model, mean: np.ndarray, truth: np.ndarray, total: np.ndarray) -> Model:
+    k = len(model.languages)
+    logits = mean[:, :k] + model.bias
     wanted = np.full(logits.shape, DOUBT / k)
     wanted[np.arange(len(truth)), truth] += 1 - DOUBT
 
@@ -216,9 +245,16 @@ def calibrate(model: Model, logits: np.ndarray, truth: np.ndarray) -> Model:
         return float(-(wanted * np.log(np.maximum(softmax(logits / t), 1e-300))).sum(axis=1).mean())
 
     model.temperature = float(min(np.geomspace(0.02, 20, 61), key=loss))
-    reached = np.sort(softmax(logits / model.temperature).max(axis=1))
-    most = 1 / k + ABOVE_CHANCE * (1 - 1 / k)
-    model.threshold = float(min(most, reached[int(FALSE_REJECTS * len(reached))]))
+    own = mean[np.arange(len(truth)), k + truth]
+    # A language without a calibrating row is as usual as the others.
+    model.usual = np.array([np.median(own[truth == i] if (truth == i).any() else own) for i in range(k)])
+    off, long_text = own - model.usual[truth], total >= np.median(total)
+    # Medians of absolute and squared normal deviations, so that a few odd rows do not widen them.
+    a = (1.4826 * np.median(np.abs(off[long_text]))) ** 2
+    b = np.median(off[~long_text] ** 2 * total[~long_text]) / 0.455 if not long_text.all() else 1.0
+    model.spread = (max(float(a), 1e-6), max(float(b), 1e-3))
+    reached = np.sort(model.typical(mean, total, truth))
+    model.threshold = float(reached[int(FALSE_REJECTS * len(reached))])
     return model
 
 
@@ -229,13 +265,20 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on the rows of ``docs`` (doc_id, text, lang) that have a lang and are not held out."""
-    labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    labelled = docs.where(
+        F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
+    ).select("lang", "text", F.xxhash64("doc_id", "lang", "text").alias("hash"))
+    sizes = (
+        labelled.groupBy("lang").agg(F.count("*").alias("rows"), F.approx_count_distinct("hash").alias("different"))
+        .orderBy(F.desc("rows"), "lang").limit(LANGUAGES).collect()
+    )
     if not sizes:
         return fit([])
     each = max(4, sample // len(sizes))
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, each / r["count"]))])
-    hashed = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 20)) / float(1 << 20)
+    # Room for the error of the estimate; what is too many goes again below.
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, 1.5 * (each + 20) / r["different"]))])
+    place = F.pmod("hash", F.lit(1 << 40)) / float(1 << 40)
+    few = labelled.where(place < share[F.col("lang")]).groupBy("lang", "hash").agg(F.first("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,19 +289,23 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
                 where.append(own.astype(np.uint16).tobytes())
                 often.append(c[own].astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("lang"), pa.array(where, pa.binary()), pa.array(often, pa.binary()), batch.column("calibrates")],
-                names=["lang", "buckets", "counts", "calibrates"],
+                [
+                    batch.column("lang"), batch.column("hash"), pa.array(where, pa.binary()), pa.array(often, pa.binary()),
+                    batch.column("calibrates"),
+                ],
+                names=["lang", "hash", "buckets", "counts", "calibrates"],
             )
 
-    chosen = labelled.where(F.col("text").isNotNull() & (hashed < share[F.col("lang")])).select(
-        "lang", "text",
-        (F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(1000)) < F.lit(int(1000 * CALIBRATE_SHARE))).alias("calibrates"),
+    calibrates = F.pmod(F.xxhash64("hash", F.lit("calibrate")), F.lit(1000)) < F.lit(int(1000 * CALIBRATE_SHARE))
+    rows = few.select("lang", "hash", "text", calibrates.alias("calibrates")).mapInArrow(
+        count, "lang string, hash long, buckets binary, counts binary, calibrates boolean"
     )
-    rows = chosen.mapInArrow(count, "lang string, buckets binary, counts binary, calibrates boolean")
+    by_hash = Window.partitionBy("lang").orderBy(F.pmod("hash", F.lit(1 << 40)), "hash")
+    least = rows.withColumn("turn", F.row_number().over(by_hash)).where(F.col("turn") <= each)
     # Numbers stay packed on the driver; a list of them would take ten times the room.
     return fit([
         (r.lang, np.frombuffer(r.buckets, np.uint16), np.frombuffer(r["counts"], np.uint32), r.calibrates)
-        for r in rows.orderBy("lang", F.xxhash64("buckets", "counts")).toLocalIterator()
+        for r in least.orderBy("lang", "turn").toLocalIterator()
     ])
 
 
@@ -269,8 +316,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            named, score = model.predict(batch.column("text").to_pylist())
-            out = [n == UNKNOWN or s < model.threshold for n, s in zip(named, score)]
+            named, score, out = model.predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(named, pa.string()), pa.array(score, pa.float64()), pa.array(out, pa.bool_())],
                 names=["doc_id", "lang_pred", "score", "rejected"],
@@ -287,8 +333,8 @@ def recognised(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            named, score = model.predict(batch.column(text_col).to_pylist())
-            yield batch.filter(pa.array([n != UNKNOWN and s >= model.threshold for n, s in zip(named, score)], pa.bool_()))
+            _, _, rejected = model.predict(batch.column(text_col).to_pylist())
+            yield batch.filter(pa.array([not r for r in rejected], pa.bool_()))
 
     return docs.mapInArrow(scan, docs.schema)
 
