@@ -17,22 +17,33 @@ from tidemark.llm.common import scratch, table
 from tidemark.llm.queries import prepared
 
 
-#: Row numbers, unique among the documents of a stage.
-ROW = "pipeline_row"
+def _free_name(columns: list[str]) -> str:
+    name, taken = "pipeline_row", {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    return docs if ROW in docs.columns else docs.withColumn(ROW, F.monotonically_increasing_id())
+def _numbered(docs: DataFrame, purpose: str) -> DataFrame:
+    """``docs`` written with row numbers under a name of their own, which the frame remembers."""
+    name = _free_name(docs.columns)
+    made = scratch(docs.withColumn(name, F.monotonically_increasing_id()), purpose)
+    made._row_numbers = name
+    return made
 
 
-def _input(docs: DataFrame) -> DataFrame:
-    """``docs`` with row numbers that stay the same however often it is read."""
-    return docs if ROW in docs.columns else scratch(_numbered(docs), "numbered")
+def _input(docs: DataFrame) -> tuple[DataFrame, str]:
+    """Documents with row numbers that stay the same however often they are read, and the numbers' name.
 
+    Only numbers that this module has written are trusted, not a column that is called like them.
+    """
+    rows = docs if "_row_numbers" in vars(docs) else _numbered(docs, "numbered")
+    return rows, rows._row_numbers
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+
+def _without(rows: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
     """Written first: numbers are few, and Spark then knows whether they fit a broadcast."""
-    return docs.join(scratch(dropped.select(ROW), "dropped"), ROW, "left_anti")
+    return rows.join(scratch(dropped.select(row), "dropped"), row, "left_anti")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,24 +55,24 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     prepared(spark)
-    rows = _input(docs)
-    return _without(rows, exact_dedup.copies(rows, ROW)).select(docs.columns)
+    rows, row = _input(docs)
+    return _without(rows, row, exact_dedup.copies(rows, row)).select(docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of linked fingerprints."""
     prepared(spark)
-    rows = _input(docs)
-    return _without(rows, simhash.near_copies(rows, ROW)).select(docs.columns)
+    rows, row = _input(docs)
+    return _without(rows, row, simhash.near_copies(rows, row)).select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold too little of any benchmark passage to be contaminated."""
     prepared(spark)
-    rows = _input(docs)
-    found = decontaminate.judged(decontaminate.occurrences(rows, table(spark, sf_dir, "benchmark"), id_col=ROW))
-    dropped = found.where("contaminated").select(F.col("doc_id").alias(ROW))
-    return _without(rows, dropped).select(docs.columns)
+    rows, row = _input(docs)
+    found = decontaminate.judged(decontaminate.occurrences(rows, table(spark, sf_dir, "benchmark"), id_col=row))
+    dropped = found.where("contaminated").select(F.col("doc_id").alias(row))
+    return _without(rows, row, dropped).select(docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -86,6 +97,13 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepared(spark), sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        docs = scratch(docs if name == "mix" else _numbered(docs), f"stage-{name}")
+        row = vars(docs).get("_row_numbers")
+        out = stage(spark, docs, sf_dir)
+        if name == "mix":
+            return scratch(out, f"stage-{name}")
+        if row is None:
+            docs = _numbered(out, f"stage-{name}")
+        else:  # the stage has passed them on
+            docs = scratch(out, f"stage-{name}")
+            docs._row_numbers = row
     return docs
