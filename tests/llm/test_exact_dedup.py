@@ -16,11 +16,13 @@ def expected(docs):
     groups = {}
     for i, t in docs:
         groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", t or ""), []).append((-len(t or ""), i is None, i))
-    out = []
+    out, taken = [], set()
     for i, t in docs:
-        own = groups[re.sub(r"[\x20\x09-\x0D]", "", t or "")]
+        norm = re.sub(r"[\x20\x09-\x0D]", "", t or "")
+        own = groups[norm]
         keep = min(own)[2]
-        out.append((i, keep, len(own), i == keep))
+        out.append((i, keep, len(own), (-len(t or ""), i) == (min(own)[0], keep) and norm not in taken))
+        taken |= {norm} if out[-1][3] else set()
     return sorted(out, key=str)
 
 
@@ -32,16 +34,18 @@ def corpus():
         t = draw.choice(base)
         docs.append((i, "".join(c + draw.choice(["", " ", "\n", "\t\r", "\x0b"]) for c in t[:30]) + t[30:]))
     docs += [(None, None), (None, "hot  text   here   "), (-5, "only negative"), (-7, "only negative"), (2**62, "abcd")]
-    docs += [(800, "twice"), (800, "twice"), (801, " \t")]
+    docs += [(800, "twice"), (800, "twice"), (801, " \t"), (900, "longer  one"), (900, "longer one"), (901, "long" * 300_000)]
+    docs += [(None, "nameless")] * 40
     return docs
 
 
 @pytest.mark.parametrize("digest", [sha256, lambda t: F.unhex(F.substring(F.sha2(t, 256), 1, 1)), lambda t: F.lit(b"0")])
 def test_groups(spark, digest):
     docs = corpus()
-    df = spark.createDataFrame([(*d, "n", 1) for d in docs], "doc_id long, text string, norm string, best int")
+    df = spark.createDataFrame([(*d, "n", 1, 5) for d in docs], "doc_id long, text string, norm string, best int, row int")
     got = exact_dedup.exact_groups(df.repartition(7), digest=digest).collect()
     assert sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got), key=str) == expected(docs)
+    assert sum(r.kept for r in got) == len({r.digest for r in got}) or digest is not sha256
 
 
 def test_empty(spark):

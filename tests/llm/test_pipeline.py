@@ -88,6 +88,16 @@ def test_verdicts_reach_rows_without_an_id_or_with_a_repeated_one(spark, sf):
     assert kept(corpus_pipeline.without_benchmark, bad) == ["b", "d"]
 
 
+def test_columns_called_like_row_numbers(spark, sf):
+    """Only numbers the pipeline has written itself are trusted."""
+    rows = [(i, "the same text of many words", "a", 7, 8) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, pipeline_row int, PIPELINE_ROW_ int")
+    for stage in (corpus_pipeline.without_copies, corpus_pipeline.without_near_copies):
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns
+        assert [tuple(r) for r in out.collect()] == [(0, "the same text of many words", "a", 7, 8)]
+
+
 def test_empty_documents(spark, sf, odd):
     docs = odd.limit(0)
     for name, stage in corpus_pipeline.STAGES:

@@ -11,8 +11,9 @@ whole normalised text is a grouping key each time, so equal digests are never ta
 Documents then learn their group by digest alone, which carries no text. That is sound because the third step
 has counted the different texts of each digest; if a digest ever has several, its documents are matched by text.
 
-Null text counts as empty. Rows that repeat a ``doc_id`` count as copies of each other if their texts are equal;
-every row that carries the winning id is reported as kept. A null id loses against any other of the same length.
+Null text counts as empty. Rows that repeat a ``doc_id`` count as copies of each other if their texts are equal; of those
+that carry the winning length and id the first row is kept. A null id loses against any other of the same length. Ids are
+cast to long. Other columns of the input, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -102,14 +103,20 @@ def copies(
     digest: Callable[[Column], Column] = sha256,
 ) -> DataFrame:
     """``row_col`` of all rows but one of each group. Of rows with the winning length and id, the least number stays."""
-    wins = _winner(F.col("chars"), F.col("doc_id")) == F.col("best")
     several = scratch(
         _members(docs, [row_col], id_col, text_col, salts, digest).where("copies > 1")
-        .select(row_col, "digest", "norm", wins.alias("wins")),
+        .select(row_col, "digest", "norm", _wins().alias("wins")),
         "copies",
     )
-    first = several.where("wins").groupBy("digest", "norm").agg(F.min(row_col).alias(row_col))
-    return several.join(first, row_col, "left_anti").select(row_col)
+    return several.join(_kept_rows(several, row_col), row_col, "left_anti").select(row_col)
+
+
+def _wins() -> Column:
+    return _winner(F.col("chars"), F.col("doc_id")) == F.col("best")
+
+
+def _kept_rows(several: DataFrame, row_col: str) -> DataFrame:
+    return several.where("wins").groupBy("digest", "norm").agg(F.min(row_col).alias(row_col)).select(row_col)
 
 
 def exact_groups(
@@ -120,11 +127,19 @@ def exact_groups(
     digest: Callable[[Column], Column] = sha256,
 ) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, digest."""
-    return _members(docs, [], id_col, text_col, salts, digest).select(
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
+    members = scratch(
+        _members(rows, ["row"], "id", "text", salts, digest)
+        .select("row", "doc_id", "digest", "norm", "copies", "best", _wins().alias("wins")),
+        "exact-members",
+    )
+    # Only rows that may have to be told from equals take part.
+    kept = _kept_rows(members.where("copies > 1"), "row").withColumn("chosen", F.lit(True))
+    return members.join(kept, "row", "left").select(
         "doc_id",
         _winner_id(F.col("best")).alias("keep_id"),
         F.col("copies").alias("group_size"),
-        F.col("doc_id").eqNullSafe(_winner_id(F.col("best"))).alias("kept"),
+        ((F.col("copies") == 1) | F.coalesce("chosen", F.lit(False))).alias("kept"),
         "digest",
     )
 

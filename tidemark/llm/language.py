@@ -11,7 +11,7 @@ A quarter of the sample is kept from training to calibrate. A temperature makes
 always prefers some language, so rejection asks another question: how typical the text's subwords are of the language that
 was chosen, by the mean logarithm of their frequencies there. That mean scatters with a variance a + b/n around its median,
 n being the subwords of a text, so it is measured in such deviations; a text is rejected that falls below all but
-``FALSE_REJECTS`` of the calibrating rows. Texts in a language that was not learned fall far below.
+``FALSE_REJECTS`` of the calibrating rows, and ``MILDEST`` at least. Texts in a language that was not learned fall far below.
 
 Both tables are linear in the counts, so prediction needs a row of numbers per bucket: every task gets
 that table (twice ``BUCKETS`` by ``LANGUAGES`` numbers at most) and adds up whole texts. Nothing is shuffled.
@@ -40,6 +40,9 @@ LANGUAGES = 256
 SAMPLE = 3200
 CALIBRATE_SHARE = 0.25
 FALSE_REJECTS = 0.005
+#: A few alike rows must not make every other text untypical: the least a and b, and the least deviations to reject at.
+LEAST_SPREAD = (4e-4, 5.0)
+MILDEST = -8.0
 #: Share of a language's frequencies that is spread over all buckets, seen or not.
 UNSEEN = 0.01
 #: Doubt left in the calibration rows' labels, without which a perfect fit would have no finite temperature.
@@ -252,9 +255,9 @@ def calibrate(model: Model, mean: np.ndarray, truth: np.ndarray, total: np.ndarr
     # Medians of absolute and squared normal deviations, so that a few odd rows do not widen them.
     a = (1.4826 * np.median(np.abs(off[long_text]))) ** 2
     b = np.median(off[~long_text] ** 2 * total[~long_text]) / 0.455 if not long_text.all() else 1.0
-    model.spread = (max(float(a), 1e-6), max(float(b), 1e-3))
+    model.spread = (max(float(a), LEAST_SPREAD[0]), max(float(b), LEAST_SPREAD[1]))
     reached = np.sort(model.typical(mean, total, truth))
-    model.threshold = float(reached[int(FALSE_REJECTS * len(reached))])
+    model.threshold = min(float(reached[int(FALSE_REJECTS * len(reached))]), MILDEST)
     return model
 
 
