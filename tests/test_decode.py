@@ -109,3 +109,14 @@ def test_accepted_and_quarantined_split_the_messages(spark):
     assert wire.accepted(decoded, schemas.TELEMETRY).schema == schemas.TELEMETRY
     assert sorted(r.reading_id for r in wire.accepted(decoded, schemas.TELEMETRY).collect()) == [1, 2]
     assert sorted(r.reason for r in wire.quarantined(decoded).collect()) == ["not_json", "null_message"]
+
+
+def test_a_second_message_is_noticed_however_deep_the_first_nests(spark):
+    deep = '{"device_id":"d","x":' + '{"y":' * 5 + '"}{"' + "}" * 5 + "}"
+    texts = {
+        deep: None, deep + "  \n": None, deep + ' {"device_id":"e"}': "goes_on", deep + " 5": "goes_on", deep + "}": "goes_on",
+        '{"device_id":"d","x":[{"a":{"b":1}},{"c":2}]}': None, '{"device_id":"d","x":[{"a":{"b":1}}]} {"device_id":"e"}': "goes_on",
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    for r in wire.decode(df, schemas.TELEMETRY).collect():
+        assert r.quarantine_reason == texts[r.value], r.value

@@ -10,10 +10,8 @@ ISO_MILLIS_WIDTH = 23
 
 _BROKEN = "_broken"
 
-# A JSON object with something after it; objects inside it may be one deep, as in any message of ours.
-_STRING = r'"(?:[^"\\]++|\\.)*+"'
-_INNER = rf'\{{(?:[^"{{}}]++|{_STRING})*+\}}'
-_GOES_ON = rf'(?s)^\s*+\{{(?:[^"{{}}]++|{_STRING}|{_INNER})*+\}}\s*+\S'
+# A JSON string; what is left without them has braces only where objects begin and end.
+_STRING = r'(?s)"(?:[^"\\]++|\\.)*+"'
 
 
 def iso_timestamp(text: Column) -> Column:
@@ -28,8 +26,24 @@ def _finite(number: Column) -> Column:
 
 
 def _goes_on() -> Column:
-    """Whether text follows the object that was parsed; most messages need no more than a look for a brace."""
-    return (F.instr("value", "}") < F.length(F.rtrim("value"))) & F.col("value").rlike(_GOES_ON)
+    """Whether text follows the object that was parsed, however deep it nests.
+
+    Most messages need no more than a look for a brace. Of the others, strings go and then all but braces: the object ends
+    with the brace at which as many were closed as opened, which is found by the running count over the few that are left.
+    """
+    bare = F.regexp_replace("value", _STRING, "")
+    braces = F.split(F.regexp_replace(bare, r"[^{}]++", ""), "")
+    step = F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(0).alias("end"))
+
+    def count(state: Column, brace: Column) -> Column:
+        at, depth = state["at"] + 1, state["depth"] + F.when(brace == "{", 1).when(brace == "}", -1).otherwise(0)
+        ends = (state["end"] == 0) & (depth == 0) & (brace == "}")
+        return F.struct(at.alias("at"), depth.alias("depth"), F.when(ends, at).otherwise(state["end"]).alias("end"))
+
+    # Text after the last brace of the object, or braces after it.
+    closed = F.aggregate(braces, step, count, lambda s: (s["end"] > 0) & (s["end"] < F.length(F.array_join(braces, ""))))
+    after = F.rtrim(F.regexp_replace(F.substring_index(bare, "}", -1), r"\s", "")) != ""
+    return (F.instr("value", "}") < F.length(F.rtrim("value"))) & (closed | after)
 
 
 def _is_time(field: T.StructField) -> bool:

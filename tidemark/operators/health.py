@@ -13,11 +13,11 @@ def _ones(condition: Column) -> Column:
     return F.sum(F.when(condition, 1).otherwise(0))
 
 
-def _over() -> Column:
+def is_over() -> Column:
     return F.col("temperature") > F.col("temp_threshold")
 
 
-def _spike() -> Column:
+def is_spike() -> Column:
     return F.col("vibration") > F.lit(VIBRATION_LIMIT)
 
 
@@ -35,8 +35,8 @@ def _partial(readings: DataFrame, window: Column, points: Column) -> DataFrame:
     """Sums and extremes by device, window, location and model: fixed-width state, which Spark hashes."""
     return readings.groupBy("device_id", window.alias("window"), "location_id", "model").agg(
         points.alias("cnt_points"),
-        _ones(_over()).alias("cnt_anomalies"),
-        _ones(_spike()).alias("cnt_vib_spikes"),
+        _ones(is_over()).alias("cnt_anomalies"),
+        _ones(is_spike()).alias("cnt_vib_spikes"),
         F.sum("temperature").alias("_t_sum"),
         F.count("temperature").alias("_t_n"),
         F.min("temperature").alias("min_temperature"),
@@ -85,11 +85,13 @@ def health_stream(
 
     Two windowed aggregations in a chain, for the same reason as in batch: the
     first closes a window's partial rows, the second puts them together in the
-    same micro-batch. ``readings`` may carry clock ticks, rows with a NULL
-    device: they move the watermark while no reading arrives. They form groups
-    of their own that count no device and are dropped by that count, after the
-    watermark has seen them.
+    same micro-batch. ``readings`` may carry clock ticks, rows whose ``is_tick``
+    is true: they move the watermark while no reading arrives. A tick has no
+    device, location or model and counts no point, so groups of ticks alone are
+    dropped by that count, after the watermark has seen them; readings without a
+    device stay, as they do in batch.
     """
+    tick = F.coalesce("is_tick", F.lit(False)) if "is_tick" in readings.columns else F.lit(False)
     timed = readings.withColumn(by, F.col(by).cast("timestamp")).withWatermark(by, delay)
-    partial = _partial(timed, tumble(by, size), F.count("device_id")).where("cnt_points > 0")
+    partial = _partial(timed, tumble(by, size), _ones(~tick)).where("cnt_points > 0")
     return _gold_columns(_whole(partial, F.window(F.window_time("window"), size)))

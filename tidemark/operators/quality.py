@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.schemas import EVENT_FIELDS, READING_ID_RANGE, SEVERITIES, TEMPERATURE_RANGE
+from tidemark.schemas import EVENT_FIELDS, EXPECTED_MIX, READING_ID_RANGE, SEVERITIES, SPIKE_RATE, TEMPERATURE_RANGE
 
 
 def _violations(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -99,3 +99,79 @@ def rate_profile(silver: DataFrame) -> DataFrame:
         F.count_if("vibration_spike").alias("spikes"),
     )
 
+
+
+# ---- measured against expected ----
+
+# The Chebyshev fit of the complementary error function in Numerical Recipes, good to 1.2e-7 of its value.
+ERFC = (
+    -1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806, 0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277,
+)
+
+
+def erfc(x: Column) -> Column:
+    """Complementary error function of a number that is not negative."""
+    t = 1.0 / (1.0 + 0.5 * x)
+    series = F.lit(ERFC[-1])
+    for c in reversed(ERFC[:-1]):
+        series = series * t + c
+    return t * F.exp(-x * x + series)
+
+
+def two_sided(deviations: Column) -> Column:
+    """How probable it is that a normal number is at least so many deviations off."""
+    return erfc(F.abs(deviations) / F.sqrt(F.lit(2.0)))
+
+
+def chi_square_tail(statistic: Column, freedom: int) -> Column:
+    """How probable a chi-square number of ``freedom`` degrees is to be at least ``statistic``."""
+    half = statistic / 2.0
+    if freedom % 2:
+        tail, term = erfc(F.sqrt(half)), F.sqrt(half) * F.exp(-half) / F.lit(0.886226925452758)
+        orders = [k - 0.5 for k in range(1, (freedom + 1) // 2)]
+    else:
+        tail, term = F.exp(-half), half * F.exp(-half)
+        orders = [float(k) for k in range(1, freedom // 2)]
+    for order in orders:
+        tail, term = tail + term, term * half / (order + 1.0)
+    return tail
+
+
+def type_mix_fit(events: DataFrame, expected: dict[str, float] | None = None) -> DataFrame:
+    """One row: how far the mix of event types is from the expected one, and how probable that is by chance.
+
+    ``n``, ``unexpected`` (events of no expected type), ``chi_square`` over the expected types and its ``p_value``. Any
+    unexpected event makes the probability 0. One aggregate; without events there is nothing to refuse.
+    """
+    expected = expected or EXPECTED_MIX
+    counts = {kind: F.count_if(F.col("event_type") == kind).cast("double") for kind in expected}
+    known = F.count_if(F.coalesce(F.col("event_type").isin(*expected), F.lit(False)))
+    n = F.count(F.lit(1))
+    off = sum(((counts[k] - known * F.lit(share)) ** 2 / (known * F.lit(share)) for k, share in expected.items()), F.lit(0.0))
+    found = events.agg(n.alias("n"), (n - known).alias("unexpected"), F.when(known > 0, off).otherwise(0.0).alias("chi_square"))
+    tail = chi_square_tail(F.col("chi_square"), len(expected) - 1)
+    return found.withColumn("p_value", F.when(F.col("unexpected") > 0, 0.0).otherwise(tail))
+
+
+def rate_fit(silver: DataFrame) -> DataFrame:
+    """Anomalies and spikes per threshold beside what uniform temperatures and the spike rate lead to.
+
+    A row per threshold and rate: ``n`` readings that have the flag, ``hits``, the ``expected`` share, by how many
+    ``deviations`` of a binomial number the hits are off, and the ``p_value`` of that (normal approximation). A share
+    of 0 or 1 leaves no room: any other count is impossible.
+    """
+    low, high = TEMPERATURE_RANGE
+    over = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.lit(high) - F.col("temp_threshold")) / F.lit(high - low)))
+    counted = silver.where("temp_threshold IS NOT NULL").groupBy("temp_threshold").agg(
+        F.count("anomaly_flag").alias("n_anomaly"), F.count_if("anomaly_flag").alias("hits_anomaly"),
+        F.count("vibration_spike").alias("n_spike"), F.count_if("vibration_spike").alias("hits_spike"),
+    )
+    rates = F.array(*[
+        F.struct(F.lit(name).alias("rate"), F.col(f"n_{name}").alias("n"), F.col(f"hits_{name}").alias("hits"), share.alias("expected"))
+        for name, share in (("anomaly", over), ("spike", F.lit(SPIKE_RATE)))
+    ])
+    rows = counted.select("temp_threshold", F.inline(rates))
+    wanted, spread = F.col("n") * F.col("expected"), F.col("n") * F.col("expected") * (1.0 - F.col("expected"))
+    rows = rows.withColumn("deviations", F.when(spread > 0, (F.col("hits") - wanted) / F.sqrt(spread)))
+    sure = F.when(F.col("hits") == wanted, 1.0).otherwise(0.0)
+    return rows.withColumn("p_value", F.when(F.col("deviations").isNull(), sure).otherwise(two_sided(F.col("deviations"))))

@@ -78,6 +78,18 @@ def only_in_hot(hot: DataFrame, cold: DataFrame) -> DataFrame:
     return missing.select(*columns).unionByName(cold.where("reading_id IS NULL").select(*columns))
 
 
+def only_in_hot_exact(union: DataFrame, cold: DataFrame) -> DataFrame:
+    """The rows of ``union`` that ``cold`` lacks, with how many copies of each, whatever their ids.
+
+    ``only_in_hot`` follows the question as it is usually asked, by ``reading_id``; ids are drawn at random and collide, so
+    it hides a new reading whose id the cold tier has for another. Here rows are counted whole, as bags: a row that one
+    side has more often is a difference too. The two sides meet in one aggregation that combines map-side.
+    """
+    columns = union.columns
+    signed = union.withColumn("_n", F.lit(1)).unionByName(cold.select(*columns).withColumn("_n", F.lit(-1)))
+    return signed.groupBy(*columns).agg(F.sum("_n").alias("copies")).where("copies > 0")
+
+
 def hot_devices(silver: DataFrame) -> DataFrame:
     """Which devices are running hot: anomalies and the worst temperature, most anomalies first."""
     return (

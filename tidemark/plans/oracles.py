@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.operators.quality import ERFC
 from tidemark.schemas import (
     COMPONENTS, DEVICE_SEED, LOCATIONS, MODELS, PARTS, ROOT_CAUSES, SEVERITIES, STATUSES,
 )
@@ -124,6 +125,11 @@ def _last_change(key: str) -> str:
     ORDER BY valid_from DESC, temp_threshold DESC, model DESC, location_id DESC) AS rn FROM changes) WHERE rn = 1)"""
 
 
+_ERFC = "-x * x" + "".join(
+    f" + {c} * pow(t, {k})" for k, c in enumerate(f"({x}::DOUBLE)" for x in ERFC)
+)
+
+
 def _counted(rules: dict[str, str], source: str) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{rule}' AS rule, count(*) AS rows_checked, "
@@ -226,6 +232,69 @@ FROM events e LEFT JOIN last_change c ON 'user_' || CAST(e.user_id AS VARCHAR) =
 SELECT t.reading_id, t.device_id, t.event_time, t.temperature, c.valid_from,
        c.v.temp_threshold AS temp_threshold, c.v.location_id AS location_id, c.v.model AS model
 FROM telemetry t ASOF LEFT JOIN versions c ON t.device_id = c.device_id AND t.event_time >= c.valid_from""",
+        "stream_lookup_per_reading": f"""WITH {telemetry}, {_CHANGES}, versions AS (
+  SELECT device_id, valid_from,
+         max({{'temp_threshold': temp_threshold, 'location_id': location_id, 'model': model}}) AS v
+  FROM changes GROUP BY 1, 2)
+SELECT t.reading_id, t.device_id, t.event_time, t.temperature, c.valid_from,
+       c.v.temp_threshold AS temp_threshold, c.v.location_id AS location_id, c.v.model AS model
+FROM telemetry t ASOF LEFT JOIN versions c ON t.device_id = c.device_id AND t.event_time >= c.valid_from""",
+        "late_side_output": f"""WITH {telemetry}, told AS (
+  SELECT device_id, date_trunc('minute', event_time) AS window_start,
+         (event_time >= {_CUT} OR reading_id % 2 <> 0)
+           AND date_trunc('minute', event_time) + INTERVAL 1 MINUTE <= (
+             SELECT max(event_time) - INTERVAL 5 SECOND FROM telemetry WHERE event_time < {_CUT} AND reading_id % 2 = 0) AS late
+  FROM telemetry)
+SELECT device_id, CAST(window_start AS TIMESTAMP) AS window_start, count(*) FILTER (WHERE NOT late) AS in_window,
+       count(*) FILTER (WHERE late) AS late FROM told GROUP BY 1, 2""",
+        "dim_changelog": f"""WITH {_DIM}, {_CHANGES}, ranked AS (
+  SELECT *, valid_from >= {_CUT} AS second, row_number() OVER (PARTITION BY device_id, valid_from >= {_CUT}
+    ORDER BY valid_from DESC, temp_threshold DESC, model DESC, location_id DESC) AS rn FROM changes),
+upserts AS (SELECT CASE WHEN second THEN 3 ELSE 2 END AS version, device_id, temp_threshold, location_id, model, 'active' AS status
+  FROM ranked WHERE rn = 1),
+rows AS (SELECT 1 AS version, * FROM dim UNION ALL SELECT * FROM upserts),
+steps AS (SELECT *, lag({{'t': temp_threshold, 'l': location_id, 'm': model, 's': status}}) OVER along AS old
+  FROM rows WINDOW along AS (PARTITION BY device_id ORDER BY version)),
+changed AS (SELECT * FROM steps
+  WHERE old IS NULL OR old <> {{'t': temp_threshold, 'l': location_id, 'm': model, 's': status}})
+SELECT CAST(version AS BIGINT) AS version, CASE WHEN old IS NULL THEN '+I' ELSE '+U' END AS row_kind, device_id, temp_threshold,
+       location_id, model, status FROM changed
+UNION ALL SELECT version, '-U', device_id, old.t, old.l, old.m, old.s FROM changed WHERE old IS NOT NULL""",
+        "only_in_hot_exact": f"""WITH {silver}
+SELECT reading_id % 50 AS reading_id, device_id, round(temperature) AS temperature, anomaly_flag, count(*) AS copies
+FROM silver WHERE event_time >= {_CUT} GROUP BY ALL""",
+        "live_failure_context": f"WITH {gold_hour}, {_events('ts')} {_failures('gold')}",
+        "live_hot_devices": f"""WITH {silver}, landed AS (
+  SELECT 2 AS after_drop, * FROM silver UNION ALL SELECT 1, * FROM silver WHERE event_time < {_CUT}),
+ranked AS (SELECT after_drop, device_id, count(*) AS anomalies, {_round1('max(temperature)')} AS worst_temp,
+  row_number() OVER (PARTITION BY after_drop ORDER BY count(*) DESC, device_id) AS place
+  FROM landed WHERE anomaly_flag GROUP BY after_drop, device_id)
+SELECT after_drop, device_id, anomalies, worst_temp FROM ranked WHERE place <= 5""",
+        "live_lag_histogram": f"""WITH {silver}, instants AS (
+  SELECT CAST(make_timestamp(CAST((ceil(epoch_us(event_time) / 20000000.0) + i) * 20000000 AS BIGINT)) AS TIMESTAMP) AS as_of,
+         date_sub('second', event_time, ingest_time) AS lag_s FROM silver, range(3) r(i))
+SELECT as_of, lag_s, count(*) AS readings FROM instants GROUP BY 1, 2""",
+        "type_mix_fit": f"""WITH {_events('ts')}, n AS (
+  SELECT count(*) AS n, CAST(0 AS BIGINT) AS unexpected, count(*) FILTER (WHERE event_type = 'failure') AS f,
+         count(*) FILTER (WHERE event_type = 'maintenance') AS m, count(*) FILTER (WHERE event_type = 'inspection') AS i FROM iot_events),
+c AS (SELECT n, unexpected, pow(f - n * 0.1::DOUBLE, 2) / (n * 0.1::DOUBLE) + pow(m - n * 0.3::DOUBLE, 2) / (n * 0.3::DOUBLE)
+  + pow(i - n * 0.6::DOUBLE, 2) / (n * 0.6::DOUBLE) AS x FROM n)
+SELECT n, unexpected, round(x, 6) AS chi_square, round(exp(-x / 2), 9) AS p_value FROM c""",
+        "rate_fit": f"""WITH {silver}, r AS (
+  SELECT temp_threshold, 'anomaly' AS rate, count(anomaly_flag) AS n, count(*) FILTER (WHERE anomaly_flag) AS hits,
+         greatest(0::DOUBLE, least(1::DOUBLE, (30 - temp_threshold) / 12)) AS expected
+  FROM silver WHERE temp_threshold IS NOT NULL GROUP BY 1
+  UNION ALL SELECT temp_threshold, 'spike', count(vibration_spike), count(*) FILTER (WHERE vibration_spike), 0.05::DOUBLE
+  FROM silver WHERE temp_threshold IS NOT NULL GROUP BY 1),
+d AS (SELECT *, (hits - n * expected) / sqrt(n * expected * (1 - expected)) AS z FROM r),
+t AS (SELECT *, abs(z) / sqrt(2::DOUBLE) AS x, 1 / (1 + abs(z) / sqrt(2::DOUBLE) / 2) AS t FROM d)
+SELECT temp_threshold, rate, n, hits, round(expected, 9) AS expected, round(z, 6) AS deviations,
+       round(t * exp({_ERFC}), 9) AS p_value FROM t""",
+        "stream_health": f"""WITH {telemetry}, {_DIM}, b AS (
+  SELECT CASE WHEN event_time < {_CUT} THEN 0 ELSE 1 END AS batch_id, device_id FROM telemetry)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS readings, CAST(sum(batch_id) AS BIGINT) AS null_event_time,
+       count(*) FILTER (WHERE device_id NOT IN (SELECT device_id FROM dim)) AS null_threshold,
+       batch_id = 1 AS timestamps_lost, FALSE AS dimension_missing FROM b GROUP BY batch_id""",
         "silver_enriched": f"WITH {silver} SELECT * FROM silver",
         "gold_health": f"WITH {gold} SELECT * FROM gold",
         "gold_health_hourly": f"WITH {gold_hour} SELECT * FROM gold",

@@ -20,7 +20,7 @@ from tidemark.sources import messages
 from tidemark.sources.dimension import DeviceDimension
 from tidemark.sources.lake import Lake
 from tidemark.sources.scratch import folder as shared_dir
-from tidemark.streaming import live
+from tidemark.streaming import live, stateful, watch
 from tidemark.streaming.jobs import CATCH_UP, Lakehouse, finish
 from tidemark.streaming.monitor import FreshnessMonitor
 
@@ -238,7 +238,7 @@ def stream_gold_event_time(spark, sf_dir):
     ticks = house.silver.read().agg((F.max("event_time") + F.expr("INTERVAL 1 HOUR")).alias("event_time"))
     ticks.coalesce(1).write.parquet(f"{out}/ticks")
     clock = spark.readStream.schema("event_time TIMESTAMP_NTZ").parquet(f"{out}/ticks")
-    readings = house.silver.stream().unionByName(clock, allowMissingColumns=True)
+    readings = house.silver.stream().unionByName(clock.withColumn("is_tick", F.lit(True)), allowMissingColumns=True)
     query = (
         health_stream(readings, "event_time", "5 seconds")
         .writeStream.format("parquet")
@@ -650,3 +650,186 @@ def compaction(spark, sf_dir):
         "live_snapshots", F.lit(live_snapshots).cast("bigint")
     )
 
+
+
+# ---- state and changes ----
+
+
+def _drops(rows: DataFrame, by: str, folder: str):
+    """The rows before the cut, then the others, each written as a drop of its own once it is asked for."""
+    before = F.col(by) < naive(bindings.CUT)
+    for number, part in ((1, before), (2, ~F.coalesce(before, F.lit(False)))):
+        rows.where(part).write.parquet(f"{folder}/{number}")
+        yield number
+
+
+def _to_files(rows: DataFrame, out: str, trigger: dict = CATCH_UP):
+    """A stream's new rows appended to ``out``/rows."""
+    return (
+        rows.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint").trigger(**trigger).start(f"{out}/rows")
+    )
+
+
+@_query
+def stream_lookup_per_reading(spark, sf_dir):
+    """Readings and device changes as two streams: each reading gets the change before it, in the same micro-batch too."""
+    out = shared_dir(spark, "per-reading")
+    changes = bindings.device_changes(spark, sf_dir)
+    versions = changes.groupBy("device_id", "valid_from").agg(F.max(F.struct(*DIM_COLUMNS)).alias("v"))
+    versions = versions.select("device_id", F.col("valid_from").alias("event_time"), "valid_from", "v.*")
+    readings = bindings.telemetry(spark, sf_dir).select("reading_id", "device_id", "event_time", "temperature")
+    found = None
+    for _ in zip(_drops(readings, "event_time", f"{out}/readings"), _drops(versions, "event_time", f"{out}/changes")):
+        arriving = [
+            spark.readStream.schema(rows.schema).parquet(f"{out}/{name}/*")
+            for name, rows in (("readings", readings), ("changes", versions))
+        ]
+        found = stateful.lookup_per_reading(*arriving, "event_time", ["valid_from", *DIM_COLUMNS])
+        finish([_to_files(found, out)])
+    return spark.read.schema(found.schema).parquet(f"{out}/rows")
+
+
+@_query
+def late_side_output(spark, sf_dir):
+    """Readings in event-time windows, and those that came after their window had closed: by device and window.
+
+    Odd readings of every day come after the even ones of the days before the cut.
+    """
+    out = shared_dir(spark, "late-aside")
+    rows = _silver(spark, sf_dir)
+    first = (F.col("event_time") < naive(bindings.CUT)) & (F.col("reading_id") % 2 == 0)
+
+    def tell():
+        arriving = spark.readStream.schema(schemas.SILVER).parquet(f"{out}/in/*")
+        finish([_to_files(stateful.tell_late(arriving, "event_time", "5 seconds"), out)])
+
+    def windows():
+        told = spark.readStream.schema(f"{_ddl(schemas.SILVER)}, late BOOLEAN").parquet(f"{out}/rows").where("NOT late").drop("late")
+        clock = spark.readStream.schema("event_time TIMESTAMP_NTZ").parquet(f"{out}/ticks").withColumn("is_tick", F.lit(True))
+        finish([_to_files(
+            health_stream(told.unionByName(clock, allowMissingColumns=True), "event_time", "5 seconds"), f"{out}/windows"
+        )])
+
+    spark.createDataFrame([], "event_time TIMESTAMP_NTZ").write.parquet(f"{out}/ticks")
+    rows.where(first).write.parquet(f"{out}/in/1")
+    tell()
+    windows()
+    rows.where(~first).write.parquet(f"{out}/in/2")
+    tell()
+    windows()
+    tick = rows.agg((F.max("event_time") + F.expr("INTERVAL 1 HOUR")).alias("event_time"))
+    tick.coalesce(1).write.mode("append").parquet(f"{out}/ticks")
+    windows()
+    told = spark.read.schema(f"{_ddl(schemas.SILVER)}, late BOOLEAN").parquet(f"{out}/rows")
+    start = F.window("event_time", "1 minute")["start"].cast("timestamp_ntz").alias("window_start")
+    late = told.where("late").select("device_id", start, F.lit(0).alias("in_window"), F.lit(1).alias("late"))
+    closed = spark.read.schema(schemas.GOLD).parquet(f"{out}/windows/rows").select(
+        "device_id", "window_start", F.col("cnt_points").alias("in_window"), F.lit(0).alias("late")
+    )
+    return closed.unionByName(late).groupBy("device_id", "window_start").agg(
+        F.sum("in_window").alias("in_window"), F.sum("late").alias("late")
+    )
+
+
+def _ddl(schema) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+
+
+@_query
+def dim_changelog(spark, sf_dir):
+    """What the seed and two upserts changed in the dimension, version by version."""
+    dim = DeviceDimension(spark, shared_dir(spark, "changelog"), slices=4)
+    dim.seed()
+    changes = bindings.device_changes(spark, sf_dir)
+    for part in (F.col("valid_from") < naive(bindings.CUT), F.col("valid_from") >= naive(bindings.CUT)):
+        dim.upsert(changes.where(part), ["valid_from", "temp_threshold", "model", "location_id"])
+    return dim.changelog()
+
+
+@_query
+def only_in_hot_exact(spark, sf_dir):
+    """Rows of the whole table that the lake lacks, with copies, where every id is shared by many rows."""
+    house = demo.lakehouse(spark, sf_dir)
+    columns = [F.pmod("reading_id", F.lit(50)).alias("reading_id"), "device_id", F.round("temperature").alias("temperature"), "anomaly_flag"]
+    union = house.silver.read().select(*columns)
+    cold = Lake(spark, house.root).read(schemas.DEVICE_TELEMETRY.name).select(*columns)
+    return analytics.only_in_hot_exact(union, cold)
+
+
+@_query
+def live_failure_context(spark, sf_dir):
+    """Failures and hourly windows as two streams, joined as either side lands."""
+    out = shared_dir(spark, "live-context")
+    events, gold = bindings.iot_events(spark, sf_dir), _gold(spark, sf_dir, "1 hour")
+    found = None
+    for _ in zip(_drops(events, "event_time", f"{out}/events"), _drops(gold, "window_start", f"{out}/gold")):
+        found = live.failures_in_context(
+            spark.readStream.schema(schemas.EVENTS).parquet(f"{out}/events/*"),
+            spark.readStream.schema(schemas.GOLD).parquet(f"{out}/gold/*"), "1 hour",
+        )
+        finish([_to_files(found, out)])
+    return spark.read.schema(found.schema).parquet(f"{out}/rows")
+
+
+@_query
+def live_hot_devices(spark, sf_dir):
+    """The five hottest devices after each of two drops."""
+    out = shared_dir(spark, "ranking")
+    rows, after = _silver(spark, sf_dir), []
+    ranking = live.HotRanking(spark, f"{out}/ranking", f"{out}/checkpoint", k=5)
+    for drop in _drops(rows, "event_time", f"{out}/in"):
+        arriving = spark.readStream.schema(schemas.SILVER).parquet(f"{out}/in/*")
+        finish([ranking.start(arriving, CATCH_UP)])
+        after.append(ranking.current().withColumn("after_drop", F.lit(drop)))
+    return after[0].unionByName(after[1])
+
+
+@_query
+def live_lag_histogram(spark, sf_dir):
+    """The lag histogram of the last minute at every twenty seconds, as a stream emits it."""
+    out = shared_dir(spark, "live-lag")
+    rows = _silver(spark, sf_dir)
+    tick = rows.agg((F.max("event_time") + F.expr("INTERVAL 1 HOUR")).alias("event_time"))
+    tick = spark.createDataFrame([], schemas.SILVER).unionByName(tick, allowMissingColumns=True)
+    found = None
+    for drop in _drops(rows, "event_time", f"{out}/in"):
+        if drop == 2:
+            tick.coalesce(1).write.mode("append").parquet(f"{out}/in/2")
+        found = live.lag_histograms(spark.readStream.schema(schemas.SILVER).parquet(f"{out}/in/*"), "20 seconds")
+        finish([_to_files(found, out)])
+    return spark.read.schema(found.schema).parquet(f"{out}/rows")
+
+
+@_query
+def type_mix_fit(spark, sf_dir):
+    """How far the mix of event types is from the expected one."""
+    return quality.type_mix_fit(bindings.iot_events(spark, sf_dir)).withColumns(
+        {"chi_square": F.round("chi_square", 6), "p_value": F.round("p_value", 9)}
+    )
+
+
+@_query
+def rate_fit(spark, sf_dir):
+    """How far anomalies and spikes are from what their thresholds lead to expect."""
+    places = {"expected": 9, "deviations": 6, "p_value": 9}
+    return quality.rate_fit(_silver(spark, sf_dir)).withColumns({c: F.round(c, n) for c, n in places.items()})
+
+
+@_query
+def stream_health(spark, sf_dir):
+    """Two micro-batches of an enrichment job as a listener saw them; the second has lost every timestamp."""
+    house = Lakehouse(spark, shared_dir(spark, "health"))
+    house.dimension.seed()
+    seen = watch.LandingHealth(spark, f"{house.root}/landing-health")
+    spark.streams.addListener(seen)
+    try:
+        rows = bindings.telemetry(spark, sf_dir)
+        lost = F.when(F.col("event_time") < naive(bindings.CUT), F.col("event_time"))
+        for drop in _drops(rows, "event_time", f"{house.root}/in"):
+            landed = spark.readStream.schema(schemas.TELEMETRY).parquet(f"{house.root}/in/{{{','.join(map(str, range(1, drop + 1)))}}}")
+            finish([house.telemetry.append(landed.withColumn("event_time", lost), CATCH_UP)])
+            finish([house.start_enrichment(CATCH_UP)])
+            seen.wait(drop)
+    finally:
+        spark.streams.removeListener(seen)
+    return seen.rows().drop("query", "seen_at")

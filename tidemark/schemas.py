@@ -67,6 +67,8 @@ DEVICE_SEED = [
 VIBRATION_LIMIT = 3.0
 TEMPERATURE_RANGE = (18.0, 30.0)
 READING_ID_RANGE = (1, 100_000_000)
+SPIKE_RATE = 0.05
+EXPECTED_MIX = {"failure": 0.1, "maintenance": 0.3, "inspection": 0.6}
 SEVERITIES = ["low", "medium", "high"]
 COMPONENTS = ["motor", "bearing", "sensor", "battery"]
 ROOT_CAUSES = ["overheating", "wear", "power_surge", "unknown"]

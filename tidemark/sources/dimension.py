@@ -6,6 +6,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.sizing import BROADCAST_ROWS
+from tidemark.operators.changelog import changelog
 from tidemark.operators.lookup import latest_per_device
 from tidemark.schemas import DEVICE, DEVICE_SEED, DIM_DEVICE
 from tidemark.sources import lookup_source, storage
@@ -102,6 +103,21 @@ class DeviceDimension:
         # Versions that were never committed are numbered below later ones that were.
         return log.join(self._ever_committed(), "version", "left_semi").drop("version")
 
+    def changelog(self, since: int | None = None) -> DataFrame:
+        """version, row_kind and the device row: what each kept version after ``since`` changed.
+
+        Without ``since``, or once that version is vacuumed, the oldest kept version counts as all inserts.
+        """
+        versions = sorted(r.version for r in self._commits().select("version").collect())
+        versions = [v for v in versions if since is None or v >= since]
+        rows = self.spark.createDataFrame([], DEVICE).withColumn("version", F.lit(0).cast("bigint"))
+        if versions:
+            schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in DEVICE) + ", version BIGINT"
+            reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/versions")
+            rows = reader.parquet(*[f"{self.path}/versions/version={v}" for v in versions])
+        found = changelog(rows, versions)
+        return found if since not in versions else found.where(F.col("version") > since)
+
     def vacuum(self, keep: int = 10) -> list[int]:
         """Delete all but the newest ``keep`` versions (at least two); the change log stays whole."""
         versions = sorted(r.version for r in self._commits().select("version").collect())

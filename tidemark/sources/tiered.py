@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.times import naive
+from tidemark.operators.changelog import KIND
 from tidemark.schemas import TableSpec, columns
 from tidemark.sources import progress, storage
 
@@ -81,8 +82,11 @@ class TieredTable:
         """Append a stream to the hot log, exactly once.
 
         ``files`` bounds the files a micro-batch writes, for sources with many
-        partitions.
+        partitions. A changelog is refused: its updates and deletes cannot be
+        appended, and as plain rows they would be readings that never were.
         """
+        if KIND in rows.columns:
+            raise ValueError(f"{self.spec.name} is append-only and cannot take a changelog; see insert_only()")
         if files:
             rows = rows.repartition(files)
         return (

@@ -13,16 +13,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
 from tidemark.functions import decode as wire
-from tidemark.functions.times import now_millis
 from tidemark.operators.enrich import silver
 from tidemark.operators.health import health_stream
 from tidemark.sources.dimension import DeviceDimension
 from tidemark.sources.tiered import TieredTable
+from tidemark.streaming.stateful import arrival_windows
+from tidemark.streaming.watch import observed
 
 CATCH_UP = {"availableNow": True}
 
 EVENT_TIME_DELAY = "5 seconds"
-CLOCK_SLACK = "5 seconds"
 
 
 @dataclass
@@ -102,16 +102,16 @@ class Lakehouse:
         """
         readings = self.telemetry.stream("enrichment", self.silver.append_checkpoint)
         rows = silver(readings, self.dimension.live(broadcast), arrival, broadcast)
-        return self._append(self.silver, rows, trigger)
+        return self._append(self.silver, observed(rows), trigger)
 
     def start_health(
         self, trigger: dict, over: str = "arrival", ticks: DataFrame | None = None, size: str = "1 minute"
     ) -> StreamingQuery:
         """Silver into health windows.
 
-        ``over="arrival"``: a reading counts in the minute this job met it. A
-        standing job also meets a clock tick a second, stamped the same way, so
-        windows close while no reading arrives and no reading can come late.
+        ``over="arrival"``: a reading counts in the minute this job met it. Timers
+        close the windows of a standing job, so they close while no reading
+        arrives and no reading can come late.
         ``"ingest_time"``: the minute silver stamped it, the same in any replay;
         windows close on later readings, or on ``ticks``, a stream of
         ``ingest_time`` that must never run ahead of the silver job.
@@ -119,16 +119,11 @@ class Lakehouse:
         """
         readings = self.silver.stream("health", self.gold.append_checkpoint)
         if over == "arrival":
-            if "processingTime" in trigger:
-                beat = self.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-                beat = beat.select(F.lit(None).cast("string").alias("device_id"))
-                readings = readings.unionByName(beat, allowMissingColumns=True)
-            # The watermark stays a little behind the clock, which may be set back or move hosts.
-            readings = readings.withColumn("arrival", now_millis())
-            windows = health_stream(readings, "arrival", CLOCK_SLACK, size)
+            windows = arrival_windows(readings, size)
         elif over == "ingest_time":
             if ticks is not None:
-                readings = readings.unionByName(ticks.select("ingest_time"), allowMissingColumns=True)
+                ticks = ticks.select("ingest_time", F.lit(True).alias("is_tick"))
+                readings = readings.unionByName(ticks, allowMissingColumns=True)
             windows = health_stream(readings, "ingest_time", size=size)
         elif over == "event_time":
             windows = health_stream(readings, "event_time", EVENT_TIME_DELAY, size)
