@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from tests.helpers import at, drop_rows, readings
 from tidemark import schemas
 from tidemark.operators.enrich import enriched
-from tidemark.sources import dimension
+from tidemark.sources import dimension, storage
 from tidemark.sources.dimension import DeviceDimension
 from tidemark.streaming.jobs import CATCH_UP, Lakehouse, finish
 
@@ -148,3 +149,18 @@ def test_a_stream_outlives_a_dimension_past_the_broadcast_bound(spark, root, mon
         query.stop()
     got = {r.reading_id: r.temp_threshold for r in house.silver.read().collect()}
     assert got == {1: 24.0, 2: 1.0}
+
+
+def test_vacuums_leave_no_trail_of_marks(spark, root):
+    """Many upserts: claims go, what was retired is one list, and the history is whole, broken-off upserts left out."""
+    dim = DeviceDimension(spark, root, slices=1)
+    for n in range(4):
+        dim.upsert(spark.createDataFrame([("d", float(n), "l", "m", "active")], schemas.DEVICE))
+        dim.vacuum(keep=2)
+    assert storage.names(spark, f"{dim.path}/claims") == []
+    assert storage.names(spark, f"{dim.path}/retired") == ["upto=2"]
+    spark.createDataFrame([("broken", 1.0, "l", "m", "active")], schemas.DEVICE).withColumn(
+        "valid_from", F.localtimestamp()
+    ).write.parquet(f"{dim.path}/changes/version=9")
+    assert sorted((r.device_id, r.temp_threshold) for r in dim.history().collect()) == [("d", float(n)) for n in range(4)]
+    assert dim.vacuum(keep=2) == []

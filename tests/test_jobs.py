@@ -8,10 +8,11 @@ import pytest
 from tests.helpers import at, drop_lines, message
 from tidemark import schemas
 from tidemark.plans import analytics, registry
-from tidemark.sources import messages
+from tidemark.sources import messages, storage
 from tidemark.streaming import live
 from tidemark.streaming.jobs import CATCH_UP, Lakehouse, finish
 from tidemark.streaming.monitor import FreshnessMonitor
+from tidemark.streaming.watch import LandingHealth
 
 
 def failure(device_id, when):
@@ -123,3 +124,57 @@ def test_arrival_query_raises_when_its_stream_has_failed(spark, sf, monkeypatch)
     monkeypatch.setattr(Lakehouse, "start_health", lambda self, *args, **how: Failed())
     with pytest.raises(RuntimeError, match="the stream was lost"):
         registry.queries()["stream_gold_arrival"](spark, sf)
+
+
+def test_rows_and_what_is_set_aside_are_one_commit(spark, root, house):
+    """A landing that broke off after its write, before its checkpoint said so, repeats the micro-batch: nothing doubles."""
+    lines = [message(1), "garbage", message(2), json.dumps({"reading_id": 3})]
+    drop_lines(spark, f"{root}/inbox/telemetry/1", lines)
+    drop_lines(spark, f"{root}/inbox/events/1", [failure("device_1", at(0)), "{"])
+    running = house.start_landing(house.inbox("telemetry"), house.inbox("events"), CATCH_UP)
+    assert len(running) == 2  # a query per topic
+    finish(running)
+
+    def landed():
+        aside = sorted((r.value, r.reason) for r in house.quarantined(house.telemetry).collect())
+        return sorted(r.reading_id for r in house.telemetry.read().collect()), aside, house.events.read().count()
+
+    once = ([1, 2], sorted([("garbage", "not_json"), (lines[3], "no_device_id")]), 1)
+    assert landed() == once
+    for table in (house.telemetry, house.events):
+        storage.delete(spark, f"{table.append_checkpoint}/commits/0")
+    land(house)
+    assert landed() == once
+    finish([house.telemetry.flush(CATCH_UP), house.events.flush(CATCH_UP)])
+    assert sorted(r.reading_id for r in house.telemetry.read("cold").collect()) == [1, 2]
+    assert landed() == once and house.telemetry.read("hot").count() == 0
+    assert sorted(r.reading_id for r in stream_once(spark, house.telemetry, root)) == [1, 2]
+    assert spark.read.parquet(house.telemetry.data).columns == [*schemas.TELEMETRY.names, "snapshot_id"]
+
+
+def stream_once(spark, table, root):
+    query = table.stream().writeStream.format("parquet").option("checkpointLocation", f"{root}/once").trigger(**CATCH_UP)
+    finish([query.start(f"{root}/streamed")])
+    return spark.read.schema(table.spec.schema).parquet(f"{root}/streamed").collect()
+
+
+def test_a_broken_landing_shows_while_it_runs(spark, root, house):
+    """An enrichment whose readings have lost their times is told by the figures of the micro-batch alone."""
+    seen = LandingHealth(spark, f"{root}/health")
+    spark.streams.addListener(seen)
+    try:
+        drop_lines(spark, f"{root}/inbox/telemetry/1", [message(1), message(2, "device_77")])
+        land(house)
+        finish([house.start_enrichment(CATCH_UP)])
+        seen.wait(1)
+        lost = [message(n, "device_77").replace("T00:", " 00:") for n in (3, 4)]
+        drop_lines(spark, f"{root}/inbox/telemetry/2", lost)
+        land(house)
+        finish([house.start_enrichment(CATCH_UP)])
+        rows = seen.wait(2).rows().orderBy("batch_id").collect()
+    finally:
+        spark.streams.removeListener(seen)
+    assert [(r.readings, r.null_event_time, r.null_threshold) for r in rows] == [(2, 0, 1), (2, 2, 2)]
+    assert [(r.timestamps_lost, r.dimension_missing) for r in rows] == [(False, False), (True, True)]
+    with pytest.raises(TimeoutError):
+        seen.wait(3, seconds=0.1)

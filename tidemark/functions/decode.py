@@ -98,6 +98,14 @@ def accepted(decoded: DataFrame, schema: T.StructType) -> DataFrame:
     return decoded.where(F.col("quarantine_reason").isNull()).select(*schema.names)
 
 
+def with_set_aside(decoded: DataFrame) -> DataFrame:
+    """Every message once: a row of the table, or its text and the reason it is none."""
+    good = F.col("quarantine_reason").isNull()
+    own = [F.when(good, F.col(c)).alias(c) for c in decoded.columns if c not in ("value", "quarantine_reason")]
+    # A message that is NULL has no text, but a reason.
+    return decoded.select(*own, F.when(~good, F.col("value")).alias("value"), "quarantine_reason")
+
+
 def quarantined(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col("quarantine_reason").isNotNull()).select(
         "value", F.col("quarantine_reason").alias("reason")

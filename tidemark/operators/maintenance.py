@@ -189,8 +189,8 @@ def seconds_of(interval: str) -> float:
     return sum(float(n) * _SECONDS[unit.lower().removesuffix("s")] for n, unit in zip(words[::2], words[1::2]))
 
 
-def flush_intervals(table: TieredTable) -> DataFrame:
-    """Seconds since the previous commit, per flush, and whether it missed the freshness target.
+def flush_intervals(table: TieredTable, freshness: str | None = None) -> DataFrame:
+    """Seconds since the previous commit, per flush, and whether it missed the freshness target, by default the table's.
 
     Flushes whose snapshots were rewritten and have expired are in it.
     """
@@ -201,7 +201,7 @@ def flush_intervals(table: TieredTable) -> DataFrame:
     # One row per flush of one table, a few thousand a day at the default freshness.
     in_order = Window.partitionBy(F.lit(table.spec.name)).orderBy("committed_at", "snapshot_id")
     interval = F.col("committed_at").cast("double") - F.lag(F.col("committed_at").cast("double")).over(in_order)
-    target = seconds_of(table.spec.freshness)
+    target = seconds_of(freshness or table.spec.freshness)
     return flushes.withColumn("interval_s", interval).select(
         "snapshot_id", "committed_at", "row_count", "interval_s", F.lit(target).alias("target_s"),
         (F.col("interval_s") > target).alias("missed_target"),

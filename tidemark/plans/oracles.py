@@ -398,7 +398,7 @@ FROM events UNION ALL SELECT 'stream' AS source, event_id AS reading_id FROM eve
         "flush_lag": f"""WITH w AS (
   SELECT CASE WHEN ts < {_WEEK[2]} THEN 1 WHEN ts < {_WEEK[3]} THEN 2 ELSE 3 END AS k FROM events)
 SELECT CAST(k AS BIGINT) AS snapshot_id, count(*) AS row_count, CAST(30 AS DOUBLE) AS target_s, k > 1 AS has_interval,
-       CASE WHEN k > 1 THEN TRUE END AS judged_by_target
+       CASE WHEN k > 1 THEN TRUE END AS missed_at_once, CASE WHEN k > 1 THEN FALSE END AS missed_in_a_day
 FROM w GROUP BY k""",
         "compaction": f"""SELECT CASE WHEN ts < {_WEEK[3]} THEN 'cold' ELSE 'hot' END AS tier, event_id AS reading_id,
        {_DEVICE} AS device_id, ts AS event_time, value AS temperature, CAST(1 AS BIGINT) AS live_snapshots FROM events""",

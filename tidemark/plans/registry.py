@@ -613,17 +613,20 @@ def silver_after_ttl(spark, sf_dir):
 
 @_query
 def flush_lag(spark, sf_dir):
-    """Every flush of a table against its freshness target, those whose snapshots have expired included."""
+    """Every flush of a table against a target none can meet, one none can miss and its own, expired snapshots included."""
     staged = demo.staged_table(spark, sf_dir, [_week(2), _week(3)])
     for _ in range(3):
         staged.land().flush()
     maintenance.compact(staged.table)
     maintenance.expire(staged.table, older_than_s=0)
-    flushes = maintenance.flush_intervals(staged.table)
-    return flushes.select(
-        "snapshot_id", "row_count", "target_s", F.col("interval_s").isNotNull().alias("has_interval"),
-        (F.col("missed_target") == (F.col("interval_s") > F.col("target_s"))).alias("judged_by_target"),
+    at_once, in_a_day = (
+        maintenance.flush_intervals(staged.table, freshness).select("snapshot_id", F.col("missed_target").alias(name))
+        for freshness, name in (("0 seconds", "missed_at_once"), ("1 day", "missed_in_a_day"))
     )
+    flushes = maintenance.flush_intervals(staged.table).select(
+        "snapshot_id", "row_count", "target_s", F.col("interval_s").isNotNull().alias("has_interval")
+    )
+    return flushes.join(at_once, "snapshot_id").join(in_a_day, "snapshot_id")
 
 
 @_query

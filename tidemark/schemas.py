@@ -50,6 +50,9 @@ GOLD = columns(
     "threshold_used DOUBLE, anomaly_flag BOOLEAN, location_id STRING, model STRING"
 )
 
+# What the hot log of a landing table has besides: the message and why it was set aside, both NULL in a row of the table.
+ASIDE = columns("value STRING, quarantine_reason STRING")
+
 DEVICE_SEED = [
     ("device_1", 24.0, "plant_a", "Model-A", "active"),
     ("device_2", 24.5, "plant_b", "Model-A", "active"),
@@ -95,10 +98,11 @@ class TableSpec:
     tiered: bool = True
     freshness: str = "30 seconds"
     log_ttl_days: int = 7
+    sets_aside: bool = False  # its hot log also keeps the messages that could not be decoded
 
 
-IOT_TELEMETRY = TableSpec("iot_telemetry", TELEMETRY, "event_time")
-IOT_EVENTS = TableSpec("iot_events", EVENTS, "event_time")
+IOT_TELEMETRY = TableSpec("iot_telemetry", TELEMETRY, "event_time", sets_aside=True)
+IOT_EVENTS = TableSpec("iot_events", EVENTS, "event_time", sets_aside=True)
 DEVICE_TELEMETRY = TableSpec("datalake_device_telemetry", SILVER, "event_time")
 DEVICE_HEALTH = TableSpec("datalake_device_health_1min", GOLD, "window_start")
 DIM_DEVICE = "dim_device"

@@ -74,6 +74,8 @@ class DeviceDimension:
         new = old + 1
         while not storage.claim(self.spark, f"{self.path}/claims/{new}"):
             new += 1  # taken by another upsert, running or broken off
+        if (self.version() or 0) >= new:  # that claim was free because its version is committed and vacuumed
+            raise RuntimeError("another upsert was committed meanwhile; repeat this one")
         target = f"{self.path}/versions/version={new}"
         merged.repartition(self.slices, "device_id").write.mode("overwrite").parquet(target)
         log = changes.select(*DEVICE.names, "valid_from")
@@ -84,15 +86,23 @@ class DeviceDimension:
         rows.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("overwrite").parquet(
             f"{self.path}/commits/version={new}"
         )
-        storage.claim(self.spark, f"{self.path}/claims/{new}.done")
         self.vacuum()
         return new
 
     def _ever_committed(self) -> DataFrame:
         """version of every upsert that was committed, those vacuumed since included."""
-        marks = storage.names(self.spark, f"{self.path}/claims")
-        done = [(int(name.removesuffix(".done")),) for name in marks if name.endswith(".done")]
-        return self.spark.createDataFrame(done, "version BIGINT").union(self._commits().select("version")).distinct()
+        return self._retired().union(self._commits().select("version")).distinct()
+
+    def _retired(self) -> DataFrame:
+        """version of every committed upsert whose commit has been vacuumed: one file, written anew by each vacuum."""
+        lists = self._lists_of_retired()
+        if not lists:
+            return self.spark.createDataFrame([], "version BIGINT")
+        return self.spark.read.schema("version BIGINT").parquet(f"{self.path}/retired/upto={lists[-1]}")
+
+    def _lists_of_retired(self) -> list[int]:
+        found = [n for n in storage.names(self.spark, f"{self.path}/retired") if n.startswith("upto=")]
+        return sorted(int(n.split("=")[1]) for n in found if storage.exists(self.spark, f"{self.path}/retired/{n}/_SUCCESS"))
 
     def history(self) -> DataFrame:
         """Every committed change: the device row and ``valid_from``."""
@@ -119,9 +129,22 @@ class DeviceDimension:
         return found if since not in versions else found.where(F.col("version") > since)
 
     def vacuum(self, keep: int = 10) -> list[int]:
-        """Delete all but the newest ``keep`` versions (at least two); the change log stays whole."""
+        """Delete all but the newest ``keep`` versions (at least two); the change log stays whole.
+
+        What was deleted is written down first. Claims up to the newest version go as well: none of them can
+        be committed any more.
+        """
         versions = sorted(r.version for r in self._commits().select("version").collect())
         old = versions[: -max(keep, 2)]
+        before = self._lists_of_retired()
+        if old and old[-1] not in before:
+            gone = self._ever_committed().where(F.col("version") <= old[-1])
+            gone.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/retired/upto={old[-1]}")
+            for upto in before:
+                storage.delete(self.spark, f"{self.path}/retired/upto={upto}")
+        for claim in storage.names(self.spark, f"{self.path}/claims"):
+            if claim.isdigit() and int(claim) <= max(versions, default=0):
+                storage.delete(self.spark, f"{self.path}/claims/{claim}")
         for version in old:
             storage.delete(self.spark, f"{self.path}/commits/version={version}")
             storage.delete(self.spark, f"{self.path}/versions/version={version}")

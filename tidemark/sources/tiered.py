@@ -11,6 +11,10 @@ Layout of a table under its root:
     consumers/NAME/            a standing reader: its checkpoint, and what was purged when it began
     checkpoints/
 
+The hot log of a landing table holds the messages that could not be decoded
+beside the table's rows, so one commit is the commit of both; reads of the
+table leave them out, and flushes do not take them.
+
 Cold is the rows of the live snapshots. Hot plus cold is the same rows and the
 hot files no live snapshot names, simply concatenated: no key, no merge, no
 shuffle. Hot files are never rewritten.
@@ -23,12 +27,12 @@ import urllib.parse
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.times import naive
 from tidemark.operators.changelog import KIND
-from tidemark.schemas import TableSpec, columns
+from tidemark.schemas import ASIDE, TableSpec, columns
 from tidemark.sources import progress, storage
 
 # A rewrite of snapshots up to m gets this id plus m, so it cannot meet a flush id.
@@ -89,8 +93,9 @@ class TieredTable:
             raise ValueError(f"{self.spec.name} is append-only and cannot take a changelog; see insert_only()")
         if files:
             rows = rows.repartition(files)
+        aside = ASIDE.names if self.spec.sets_aside and set(ASIDE.names) <= set(rows.columns) else []
         return (
-            rows.select(*self.spec.schema.names)
+            rows.select(*self.spec.schema.names, *aside)
             .writeStream.format("parquet")
             .outputMode("append")
             .queryName(f"append-{self.spec.name}-{id(rows)}")
@@ -99,6 +104,22 @@ class TieredTable:
             .start(self.hot)
         )
 
+    @property
+    def _stored(self) -> T.StructType:
+        """The columns of the hot log; files without those of ``ASIDE`` read as rows of the table."""
+        return T.StructType([*self.spec.schema, *ASIDE]) if self.spec.sets_aside else self.spec.schema
+
+    def _own(self, stored: DataFrame) -> DataFrame:
+        """The table's rows of what the hot log or a snapshot holds."""
+        if not self.spec.sets_aside:
+            return stored
+        return stored.where(F.col("quarantine_reason").isNull()).select(*self.spec.schema.names)
+
+    def set_aside(self) -> DataFrame:
+        """value and quarantine_reason of the messages that were set aside, as long as the hot log keeps them."""
+        reader = self.spark.read.schema(ASIDE).option("ignoreMissingFiles", "true")
+        return reader.parquet(self.hot).where(F.col("quarantine_reason").isNotNull())
+
     @property
     def append_checkpoint(self) -> str:
         return f"{self.checkpoints}/append"
@@ -113,16 +134,16 @@ class TieredTable:
         for one run, and must not fall behind the log's TTL.
         """
         opening = self._enter(consumer, checkpoint) if consumer else self._only_cold()
-        reader = self.spark.readStream.schema(self.spec.schema)
+        reader = self.spark.readStream.schema(self._stored)
         if opening:
             # The log still lists what was purged before this reader began; cold has those rows.
             # Nothing else can be missing, as purging waits for this reader.
-            hot = reader.option("ignoreMissingFiles", "true").parquet(self.hot)
+            hot = self._own(reader.option("ignoreMissingFiles", "true").parquet(self.hot))
             parts = f"{self.data}/snapshot_id={{{','.join(map(str, opening))}}}"
             return self.spark.readStream.schema(self.spec.schema).parquet(parts).unionByName(hot)
         if not self.spec.tiered:  # its log ages out under readers
             reader = reader.option("ignoreMissingFiles", "true")
-        return reader.parquet(self.hot)
+        return self._own(reader.parquet(self.hot))
 
     def _only_cold(self) -> list[int]:
         """The live snapshots whose rows no hot file has any more."""
@@ -255,10 +276,10 @@ class TieredTable:
         return rows
 
     def _files(self, paths: list[str], tag: str | None) -> DataFrame:
-        reader = self.spark.read.schema(self.spec.schema)
+        reader = self.spark.read.schema(self._stored)
         if not self.spec.tiered:  # its log ages out under readers
-            return self._tag(reader.option("ignoreMissingFiles", "true").parquet(self.hot), tag)
-        return self._tag(reader.parquet(*paths), tag)
+            return self._tag(self._own(reader.option("ignoreMissingFiles", "true").parquet(self.hot)), tag)
+        return self._tag(self._own(reader.parquet(*paths)), tag)
 
     @staticmethod
     def _tag(rows: DataFrame, tag: str | None) -> DataFrame:
@@ -273,7 +294,7 @@ class TieredTable:
         A hot file that is missing fails it: only files a snapshot names may go, and
         what was not read is not to be recorded as moved.
         """
-        arrivals = self.spark.readStream.schema(self.spec.schema).parquet(self.hot)
+        arrivals = self._own(self.spark.readStream.schema(self._stored).parquet(self.hot))
         started = []
 
         def one(batch: DataFrame, batch_id: int) -> None:

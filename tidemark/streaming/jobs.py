@@ -66,30 +66,21 @@ class Lakehouse:
     ) -> list[StreamingQuery]:
         """Both message streams into bronze unchanged, and what cannot be decoded aside.
 
-        A sink has its own query, so ``quarantine`` reads and parses the messages a second time.
+        One query per topic reads and parses each message once. Rows and what is set aside go to the same hot log in the
+        same commit, so there is no moment, and no crash, after which only one of them is there.
         """
         started = []
         for messages, table in ((telemetry, self.telemetry), (events, self.events)):
             decoded = wire.decode(messages, table.spec.schema)
-            started.append(self._append(table, wire.accepted(decoded, table.spec.schema), trigger))
-            if quarantine:
-                started.append(self._quarantine(wire.quarantined(decoded), table, trigger))
+            rows = wire.with_set_aside(decoded) if quarantine else wire.accepted(decoded, table.spec.schema)
+            started.append(self._append(table, rows, trigger))
         return started
 
     def _append(self, table: TieredTable, rows: DataFrame, trigger: dict) -> StreamingQuery:
         return table.append(rows, trigger, self.files_per_batch)
 
-    def _quarantine(self, rows: DataFrame, table: TieredTable, trigger: dict) -> StreamingQuery:
-        return (
-            rows.writeStream.format("json")
-            .queryName(f"quarantine-{table.spec.name}-{id(rows)}")
-            .option("checkpointLocation", f"{table.checkpoints}/quarantine")
-            .trigger(**trigger)
-            .start(f"{table.path}/quarantine")
-        )
-
     def quarantined(self, table: TieredTable) -> DataFrame:
-        return self.spark.read.schema("value STRING, reason STRING").json(f"{table.path}/quarantine")
+        return table.set_aside().withColumnRenamed("quarantine_reason", "reason")
 
     def start_enrichment(
         self, trigger: dict, arrival: Column | None = None, broadcast: bool = False
