@@ -6,11 +6,13 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import repeats
 from tidemark.llm.repeats import LENGTH, Repeats
-from tidemark.llm.suffixes import blind_trie, common, deep_shallow
+from tidemark.llm.suffixes import blind_trie, common, deep_shallow, multikey_quicksort
 
 
 def plain(docs):
@@ -61,6 +63,16 @@ def test_deep_shallow_sorting(seed):
     assert shared[0] == 0 and deep_shallow([])[0].size == 0
 
 
+def test_multikey_quicksort():
+    draw = np.random.default_rng(1)
+    for n, values, depth in [(0, 3, 2), (1, 3, 2), (2, 1, 3), (50, 2, 3), (500, 4, 3), (500, 1 << 60, 2), (300, 1, 1)]:
+        characters = draw.integers(0, values, (n, depth)).astype(np.uint64)
+        order, start = multikey_quicksort(characters)
+        rows = [tuple(characters[i].tolist()) for i in order]
+        assert rows == sorted(map(tuple, characters.tolist()))
+        assert [rows[s] for s in start] == rows and all(not s or rows[s - 1] != rows[s] for s in start)
+
+
 def test_common():
     draw = random.Random(1)
     for _ in range(500):
@@ -117,10 +129,42 @@ def test_removed_bytes(spark, seed):
     assert got(df) == plain(df.select("doc_id", "text").collect())
 
 
-def test_hot_anchors_are_grouped_by_digest(spark):
+@pytest.mark.parametrize("how", [{"hot": 5}, {"hot": 5, "sample": 10}, {"hot": 2, "digest": lambda window: window[:1], "buckets": 3}])
+def test_hot_anchors_are_grouped_by_digest(spark, how):
+    """The bound is the same however many places there are; windows that share a digest are told by their bytes."""
     docs = corpus(4)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
-    assert got(df, hot=5) == plain([tuple(r) for r in df.collect()])
+    assert got(df, **how) == plain([tuple(r) for r in df.collect()])
+
+
+def test_turns_of_repeated_hashes():
+    """Over batch bounds as within, and the bound on hot anchors does not grow with the places."""
+    draw = random.Random(3)
+    hashes = sorted(draw.choices(range(-40, 40), k=300) + [100] * 50 + [200])
+    batches, at = [], 0
+    while at < len(hashes):
+        n = draw.choice([0, 1, 2, 7, 60])
+        own = hashes[at : at + n]
+        batches.append(pa.record_batch({c: pa.array(own, pa.int64()) for c in ("hash", "row", "place")}))
+        at += len(own)
+    out = [r for b in repeats._repeated(iter(batches)) for r in b.to_pylist()]
+    many = [h for h in hashes if hashes.count(h) > 1]
+    assert [r["hash"] for r in out] == many
+    assert [r["turn"] for r in out] == [i - many.index(h) for i, h in enumerate(many)]
+    assert sorted(r["hash"] for r in out if r["turn"] == 5) == sorted({h for h in hashes if hashes.count(h) > 5})
+
+
+def test_nothing_stays_in_the_catalog(spark, sf):
+    before = {t.name for t in spark.catalog.listTables()}
+    repeats.op10_suffix_dedup(spark, sf).count()
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_more_partitions_than_buckets_can_be(spark):
+    wide = spark.range(1).repartition(2).select(F.col("id").alias("doc_id"), F.lit("x" * 120).alias("text"))
+    many = type("Many", (), {"getNumPartitions": lambda self: 60_000})()
+    assert min(max(2, 2 * many.getNumPartitions()), repeats.MOST_BUCKETS) <= 100_000
+    assert got(wide, buckets=1) == plain([(0, "x" * 120)])
 
 
 def test_many_copies_of_one_passage():

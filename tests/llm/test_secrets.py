@@ -129,5 +129,25 @@ def test_scan(spark):
                 assert re.fullmatch(r"[A-Za-z0-9+/_=-]{16,}", text[a:b])
                 assert secrets.random_looking([text[a:b]], ratio).all()
                 assert all(b <= s or e <= a for _, s, e in base)
+        # Every run of the alphabet that no base span covers is judged, and by the ratio alone.
+        free = "".join("\0" if any(s <= i < e for _, s, e in base) else c for i, c in enumerate(text))
+        runs = [m.span() for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", free)]
+        want = [span for span in runs if secrets.random_looking([text[slice(*span)]], ratio)[0]]
+        assert [(a, b) for kind, a, b in own if kind == "markov"] == want
     assert any(s["kind"] == "markov" for r in got for s in r.spans)
     assert secrets.judged(secrets.search(df.limit(0)), np.zeros(65 * 64)).count() == 0
+
+
+def test_recall_by_length_and_false_alarms():
+    """Strings of 64 random characters from sixteen characters on, with digits or without; identifiers not seen before."""
+    draw = random.Random(11)
+    ordinary, chance = labelled_samples()
+    alphabet = string.ascii_letters + string.digits + "+/"
+    long = ["".join(draw.choices(alphabet, k=draw.randint(16, 48))) for _ in range(1500)]
+    ratio = secrets.log_ratio(secrets.transition_counts(long), secrets.transition_counts(ordinary[:800]))
+    for length in (16, 20, 32):
+        strings = ["".join(draw.choices(alphabet, k=length)) for _ in range(1000)]
+        assert secrets.random_looking(strings, ratio).mean() >= 0.9
+    letters = ["".join(draw.choices(string.ascii_letters, k=16)) for _ in range(500)]
+    assert secrets.random_looking(letters, ratio).mean() >= 0.85
+    assert secrets.random_looking([s for s in ordinary[800:] if len(s) >= 16], ratio).mean() <= 0.02

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.sources.scratch import discard, folder, scratch
 
-__all__ = ["bucketed", "discard", "folder", "hex_lower", "partitions", "scratch", "settings", "sha256", "table"]
+__all__ = ["bucketed", "discard", "discard_table", "folder", "hex_lower", "partitions", "scratch", "settings", "sha256", "table"]
 
 #: White space of the contracts: space, and tab to carriage return.
 WHITE = r"[\x20\x09-\x0D]"
@@ -24,7 +24,15 @@ def bucketed(df: DataFrame, buckets: int, column: str, purpose: str) -> DataFram
     path = folder(spark, purpose)
     name = path.rsplit("/", 1)[1].replace("-", "_")
     df.write.bucketBy(buckets, column).option("path", path).saveAsTable(name)
-    return spark.table(name)
+    made = spark.table(name)
+    made._scratch_path, made._table_name = path, name
+    return made
+
+
+def discard_table(made: DataFrame) -> None:
+    """Remove what ``bucketed`` wrote, and its entry in the catalog."""
+    made.sparkSession.sql(f"DROP TABLE IF EXISTS {made._table_name}")
+    discard(made)
 
 
 @contextmanager

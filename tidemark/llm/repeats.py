@@ -12,37 +12,42 @@ Sorting every suffix of a corpus is not needed to know which windows of 100 byte
    prefixes to its start, which the common prefixes of sorted neighbours tell for all windows at once.
 4. Windows that are not the first of theirs mark their bytes; a document's marks are united and cut out.
 
-Copies of whole texts are found by digest before and only their first row is searched: the rest is marked whole. Anchors that over
-``HOT`` and a thousandth of all share (a passage in a third of all documents) are found on a sample beforehand; their
-windows are grouped by 128-bit digests of their bytes, which combines map-side, so no group meets in one task.
+Copies of whole texts are found by digest before and only their first row is searched: the rest is marked whole. Anchors in
+over ``HOT`` places are not sorted: their windows are grouped by digest and bytes, which combines map-side, so no group
+meets in one task. The windows of a digest then find their first by the digest alone, once it is known that no
+other bytes have it; those of a digest that several share are matched by their bytes. Most hot anchors are counted where the anchors
+meet by hash; those that a thousandth of all places share (a passage in a third of all documents) would be too many
+there already and are found on a sample beforehand.
 
 Texts are written once as a table bucketed by the partition they were read in, so contexts and marks come to
 them and no text is shuffled. Matches are judged on the input, never cross texts, and whole texts are searched.
 
 Null texts count as empty. Rows are ordered by doc_id, null ids last, then as stored; rows that repeat an id are
-documents of their own.
+documents of their own. Ids are cast to long. Other columns of the input, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import bucketed, discard, scratch, settings, table
+from tidemark.llm.common import bucketed, discard, discard_table, scratch, settings, table
 from tidemark.llm.suffixes import deep_shallow
 
 LENGTH = 100
 GRAM = 32
 PLACES = LENGTH - GRAM + 1
-#: Anchors in more places than this, and than a thousandth of all, are grouped by digest instead of sorted.
+#: Anchors in more places than this are grouped by digest instead of sorted.
 HOT = 20_000
-#: Anchors on which hot ones are looked for.
+#: Anchors on which those are looked for that a thousandth of all places share.
 SAMPLE = 200_000
+#: Spark takes 100,000 at most, whatever the input's partitions.
+MOST_BUCKETS = 50_000
 #: Contexts sorted together; a larger group is sorted alone.
 TOGETHER = 20_000
 
@@ -121,8 +126,9 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a partition sorted by hash, the rows whose hash another row has."""
-    held, same = None, False  # the last row so far, and whether it is known to be repeated
+    """Of a partition sorted by hash, the rows whose hash another row has, and which of its rows each is, from 0."""
+    names = ["hash", "row", "place", "turn"]
+    held, turn = None, 0  # the last row so far, and which of its hash it is
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -130,12 +136,14 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if held is not None:
             now = [np.concatenate((a, b)) for a, b in zip(held, now)]
         equal = np.diff(now[0]) == 0
-        keep = np.concatenate(([same], equal)) if held is not None else np.concatenate(([False], equal))
-        keep[:-1] |= equal
-        held, same = [c[-1:] for c in now], bool(keep[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(c[:-1][keep[:-1]]) for c in now], names=["hash", "row", "place"])
-    if same:
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names=["hash", "row", "place"])
+        first = np.flatnonzero(np.concatenate(([True], ~equal)))
+        turns = np.arange(len(now[0])) - np.repeat(first, np.diff(np.append(first, len(now[0]))))
+        turns[: first[1] if len(first) > 1 else None] += turn  # the first group may have begun before
+        keep = (turns > 0) | np.append(equal, False)
+        held, turn = [c[-1:] for c in now], int(turns[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(c[:-1][keep[:-1]]) for c in (*now, turns)], names=names)
+    if turn:
+        yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in held), pa.array([turn])], names=names)
 
 
 def _context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,20 +223,25 @@ def _sorted_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield marks(pa.Table.from_batches(held))
 
 
-def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per window of hot anchors, with the digest of its bytes."""
-    for batch in batches:
-        out: list[tuple] = []
-        columns = [batch.column(c).to_pylist() for c in ("doc", "row", "place", "context")]
-        for doc, row, place, context in zip(*columns):
-            first, windows = place >> 16, place >> 8 & 255
-            for j in range(windows):
-                out.append((xxhash.xxh3_128_digest(context[j : j + LENGTH]), doc, row, first + j))
-        digests, docs, rows, starts = list(zip(*out)) or [[]] * 4
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(digests, pa.binary()), *(pa.array(c, pa.int64()) for c in (docs, rows, starts))],
-            names=["digest", "doc", "row", "first"],
-        )
+def _digested(digest: Callable[[bytes], bytes]):
+    """A row per window of hot anchors, with its bytes and their digest."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            columns = [batch.column(c).to_pylist() for c in ("doc", "row", "place", "context")]
+            for doc, row, place, context in zip(*columns):
+                first, windows = place >> 16, place >> 8 & 255
+                for j in range(windows):
+                    window = context[j : j + LENGTH]
+                    out.append((digest(window), window, doc, row, first + j))
+            digests, found, docs, rows, starts = list(zip(*out)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(digests, pa.binary()), pa.array(found, pa.binary()), *(pa.array(c, pa.int64()) for c in (docs, rows, starts))],
+                names=["digest", "window", "doc", "row", "first"],
+            )
+
+    return scan
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,15 +275,18 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Repeats:
     """The repeated bytes of a corpus; ``described`` gives the documents without them."""
 
-    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, sample: int = SAMPLE):
-        self.spark, self.hot, self.sample = docs.sparkSession, hot, sample
+    def __init__(
+        self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, sample: int = SAMPLE,
+        digest: Callable[[bytes], bytes] = xxhash.xxh3_128_digest, buckets: int | None = None,
+    ):
+        self.spark, self.hot, self.sample, self.digest = docs.sparkSession, hot, sample, digest
         text = F.coalesce(F.col(text_col), F.lit(""))
         rows = docs.select(
             F.col(id_col).cast("long").alias("doc_id"), text.cast("binary").alias("text"), F.unhex(F.sha2(text, 256)).alias("digest"),
             F.octet_length(text).cast("long").alias("n_bytes"), F.monotonically_increasing_id().alias("row"),
         ).withColumn("doc", F.coalesce("doc_id", F.lit(_LAST_ID))).withColumn("part", F.shiftright("row", 33))
         # A task holds one part, so it writes one file; twice as many buckets as parts keep most parts apart.
-        self.buckets = max(2, 2 * docs.rdd.getNumPartitions())
+        self.buckets = buckets or min(max(2, 2 * docs.rdd.getNumPartitions()), MOST_BUCKETS)
         self.texts = bucketed(rows, self.buckets, "part", "texts")
 
     def _by_part(self, rows: DataFrame) -> DataFrame:
@@ -283,11 +299,12 @@ class Repeats:
         later = rows.join(firsts, "digest").where("row <> f.row")
         return later.select("row", F.lit(0).cast("long").alias("first"), (F.col("n_bytes") - LENGTH + 1).alias("end"))
 
-    def _hot(self, found: DataFrame) -> DataFrame:
+    def _crowded(self, found: DataFrame) -> DataFrame:
+        """hash of the anchors that a thousandth of all places share, and more than a task should be sent."""
         n = found.count()
         rate = min(1.0, self.sample / max(1, n))
         some = found if rate == 1 else found.where(F.pmod(F.xxhash64("row", "place"), F.lit(1_000_000)) < F.lit(round(rate * 1e6)))
-        # No more than a thousand anchors can have a thousandth of all places.
+        # No more than a thousand anchors can have a thousandth of all places, so their list is short.
         bound = max(self.hot, n / 1000) * rate
         return scratch(some.groupBy("hash").count().where(F.col("count") > bound).select("hash"), "hot-anchors")
 
@@ -317,24 +334,31 @@ class Repeats:
                 .mapInArrow(_find, "hash long, row long, place long"),
                 "anchors",
             )
-            hot = self._hot(found)
-            any_hot = not hot.isEmpty()
-            cold = found.join(F.broadcast(hot), "hash", "left_anti") if any_hot else found
+            crowded = self._crowded(found)
+            any_crowded = not crowded.isEmpty()
+            rest = found.join(F.broadcast(crowded), "hash", "left_anti") if any_crowded else found
             with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="65536"):
                 repeated = scratch(
-                    cold.repartition("hash").sortWithinPartitions("hash").select("hash", "row", "place")
-                    .mapInArrow(_repeated, "hash long, row long, place long"),
+                    rest.repartition("hash").sortWithinPartitions("hash").select("hash", "row", "place")
+                    .mapInArrow(_repeated, "hash long, row long, place long, turn long"),
                     "repeated",
                 )
-            contexts = self._contexts(repeated)
+            # One row of each hot anchor has this turn. Spark knows the list's size and how to join it.
+            hot = scratch(repeated.where(F.col("turn") == self.hot).select("hash"), "hot-anchors")
+            any_hot = not hot.isEmpty()
+            places = repeated.drop("turn")
+            contexts = self._contexts(places.join(hot, "hash", "left_anti") if any_hot else places)
             marks = scratch(
                 contexts.repartition("hash").sortWithinPartitions("hash")
                 .mapInArrow(_sorted_together, "row long, first long, end long"),
                 "marks",
             )
+            if any_hot or any_crowded:
+                many = places.join(hot, "hash", "left_semi")
+                if any_crowded:
+                    many = many.unionByName(found.join(F.broadcast(crowded), "hash", "left_semi"))
+                marks = marks.unionByName(self._hot_marks(many))
             discard(repeated)
-            if any_hot:
-                marks = marks.unionByName(self._hot_marks(found.join(F.broadcast(hot), "hash", "left_semi")))
             discard(found)
         return marks.unionByName(copies)
 
@@ -342,17 +366,25 @@ class Repeats:
         windows = scratch(
             # One worker does both steps.
             self._contexts(
-                places, lambda batches: _digested(_context(batches)), "digest binary, doc long, row long, first long"
+                places, lambda batches, run=_digested(self.digest): run(_context(batches)),
+                "digest binary, window binary, doc long, row long, first long",
             ),
             "hot-windows",
         )
-        # Written, so that the join below shuffles both sides for itself and can split what is skewed.
-        least = scratch(
-            windows.groupBy("digest").agg(F.min(F.struct("doc", "row", "first")).alias("f"), F.count("*").alias("n"))
-            .where("n > 1"),
+        by_bytes = scratch(
+            windows.groupBy("digest", "window").agg(F.min(F.struct("doc", "row", "first")).alias("f"), F.count("*").alias("n")),
             "hot-firsts",
         )
-        later = windows.join(least, "digest").where("row <> f.row OR first <> f.first")
+        # Written, so that the join below shuffles both sides for itself and can split what is skewed.
+        by_digest = scratch(
+            by_bytes.groupBy("digest").agg(F.count("*").alias("texts"), F.max("f").alias("f"), F.max("n").alias("n")), "hot-digests"
+        )
+        later = windows.drop("window").join(by_digest.where("texts = 1 AND n > 1").select("digest", "f"), "digest")
+        clashing = by_digest.where("texts > 1").select("digest")
+        if not clashing.isEmpty():
+            told = by_bytes.where("n > 1").join(clashing, "digest", "left_semi").select("digest", "window", "f")
+            later = later.unionByName(windows.join(told, ["digest", "window"]).drop("window"))
+        later = later.where("row <> f.row OR first <> f.first")
         marks = scratch(later.select("row", "first", (F.col("first") + 1).alias("end")), "hot-marks")
         discard(windows)
         return marks
@@ -377,9 +409,15 @@ class Repeats:
             )
             return scratch(cut if kept else cut.drop("kept"), "without-repeats")
 
+    def close(self) -> None:
+        """Remove the texts that were written, once what described them has been read."""
+        discard_table(self.texts)
+
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = Repeats(table(spark, sf_dir, "documents")).described(kept=False)
+    repeats = Repeats(table(spark, sf_dir, "documents"))
+    found = repeats.described(kept=False)
+    repeats.close()
     return found.select(
         "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
         F.lower(F.hex("kept_digest")).alias("kept_sha256"),

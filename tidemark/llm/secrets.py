@@ -3,17 +3,18 @@
 Both models are of first order over the 64 characters of ``[A-Za-z0-9+/_-]`` (with ``=`` folded into ``/``) and a start
 state. Transitions back off to the frequency of single characters, which is smoothed by one. One is trained on random strings, one on ordinary identifiers. The labelled samples
 are the documents' own: values that a base pattern found are random strings; other identifiers of eight or more characters
-are ordinary; about ``SAMPLE`` documents with each are taken, by a hash of the id. Tasks send only transition
+are ordinary; about ``SAMPLE`` documents with each are taken, by a hash of the id and the text. Tasks send only transition
 counts, which Spark adds up, so the driver gets two tables of 65 by 64 numbers whatever the texts hold.
 
 Texts are read once. What that pass finds (base spans, candidates, samples) is written, and training and judging
 read only that.
 
-Every maximal run of ``LEAST`` or more such characters that no base span touches is a candidate. It is reported as
-``markov`` when the random model explains it better by ``MARGIN`` bits a character, and when it has letters and digits.
+Every run of ``LEAST`` or more such characters is a candidate, less what base spans cover of it. It is reported as
+``markov`` when the random model explains it better by ``MARGIN`` bits a character; nothing else decides.
 
 Spans are in code points with the end exclusive, ordered by start, then kind as listed. Null texts count as empty. Rows that
-repeat an id get a row each. Without labelled samples the smoothed models are equal and nothing is added.
+repeat an id get a row each; ids are cast to long. Without labelled samples the smoothed models are equal and nothing is
+added. Other columns of the input, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -49,7 +50,6 @@ _CODE = np.zeros(256, np.uint8)
 for _i, _c in enumerate(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"):
     _CODE[_c] = min(_i, 63)
 _CODE[ord("=")] = _CODE[ord("/")]
-_MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])")
 
 Span = tuple[int, int, int]  # start, number of the kind, end
 
@@ -97,6 +97,19 @@ def _outside(text: str, pattern: re.Pattern, spans: list[Span]) -> list[tuple[in
     return [(a, b) for a, b in found if all(b <= s or e <= a for s, _, e in spans)] if spans else found
 
 
+def _uncovered(text: str, spans: list[Span]) -> list[tuple[int, int]]:
+    """Runs of ``LEAST`` characters or more, cut where base spans begin and end."""
+    out = []
+    for m in _RUN.finditer(text):
+        at, end = m.span()
+        for s, _, e in spans:  # by their start
+            if s < end and at < e:
+                out.append((at, s))
+                at = max(at, e)
+        out.append((at, end))
+    return [(a, b) for a, b in out if b - a >= LEAST]
+
+
 def _values(text: str, spans: list[Span]) -> list[str]:
     """What the base spans hold of a secret, in the models' alphabet."""
     values = [m[2] for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
@@ -115,7 +128,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind"
 
 def search(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """The one pass over the texts: base spans, their values, candidates, and a sample's ordinary identifiers."""
-    place = F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
+    place = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
         (place < F.lit(min(1.0, sample / max(1, docs.count())))).alias("sampled"),
@@ -129,10 +142,7 @@ def search(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
                 spans = base_spans(text)
                 base.append([{"start": s, "end": e, "kind": k} for s, k, e in spans])
                 values.append(_values(text, spans) if spans else [])
-                runs.append([
-                    {"start": a, "end": b, "run": text[a:b]}
-                    for a, b in _outside(text, _RUN, spans) if _MIXED.match(text, a, b)
-                ])
+                runs.append([{"start": a, "end": b, "run": text[a:b]} for a, b in _uncovered(text, spans)])
                 ordinary.append([text[a:b] for a, b in _outside(text, _ORDINARY, spans)] if sampled else [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(base, _PLACES), pa.array(values, pa.list_(pa.string())),
@@ -153,7 +163,7 @@ def search(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
 def labelled(found: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """value, random: the labelled samples that ``search`` has met, from about ``sample`` documents of either label."""
     some = found.where(F.size("values") > 0)
-    place = F.pmod(F.xxhash64("doc_id", F.lit("values")), F.lit(1 << 30)) / float(1 << 30)
+    place = F.pmod(F.xxhash64("doc_id", "values", F.lit("values")), F.lit(1 << 30)) / float(1 << 30)
     some = some.where(place < F.lit(min(1.0, sample / max(1, some.count()))))
     return some.select(F.explode("values").alias("value"), F.lit(True).alias("random")).unionByName(
         found.where(F.size("ordinary") > 0).select(F.explode("ordinary").alias("value"), F.lit(False).alias("random"))

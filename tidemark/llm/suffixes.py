@@ -1,7 +1,8 @@
 """Deep-shallow sorting: the order of strings, and how far neighbours agree.
 
-Strings are first sorted to a shallow depth by multikey quicksort with eight bytes as one character; all segments of a
-depth are partitioned together. What still agrees goes to a blind trie per segment: a string walks down by the
+Strings are first sorted to a shallow depth by multikey quicksort with eight bytes as one character: a segment is parted
+into what is less than its pivot, equal and greater, and what is equal goes on to the next character. The segments of all
+depths are parted together, a pass at a time. What still agrees goes to a blind trie per segment: a string walks down by the
 branching bytes alone, is compared once with the leaf it meets, and is inserted where they part, so a long common
 prefix is read once a string and not once a comparison.
 """
@@ -76,6 +77,30 @@ def blind_trie(strings: list[bytes], members: list[int]) -> tuple[list[int], lis
     return order, shared
 
 
+def multikey_quicksort(characters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the rows by their characters, and for each place where the rows begin that equal the one there."""
+    n, depth = characters.shape
+    order, start, level = np.arange(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    place = np.arange(n if n > 1 and depth else 0)  # those in segments that go on
+    while len(place):
+        rows, own = order[place], level[place]
+        first = np.flatnonzero(np.concatenate(([True], np.diff(start[place]) != 0)))
+        sizes = np.diff(np.append(first, len(place)))
+        value = characters[rows, own]
+        three = np.sort(np.stack((value[first], value[first + sizes // 2], value[first + sizes - 1])), axis=0)
+        pivot = np.repeat(three[1], sizes)
+        side = (value > pivot).astype(np.int64) + (value >= pivot)
+        part = 3 * np.repeat(np.arange(len(first)), sizes) + side
+        turn = np.argsort(part, kind="stable")
+        order[place] = rows[turn]
+        begins = np.flatnonzero(np.concatenate(([True], np.diff(part[turn]) != 0)))
+        lengths = np.diff(np.append(begins, len(place)))
+        start[place] = np.repeat(place[begins], lengths)
+        level[place] = own[turn] + (side[turn] == 1)
+        place = place[(np.repeat(lengths, lengths) > 1) & (level[place] < depth)]
+    return order, start
+
+
 def deep_shallow(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Order of the strings, and the common prefix of each with the one before it in that order (the first: 0)."""
     n = len(strings)
@@ -83,12 +108,8 @@ def deep_shallow(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     lengths = np.fromiter(map(len, strings), np.int64, n)
     head = np.frombuffer(b"".join([s[:SHALLOW].ljust(SHALLOW, b"\0") for s in strings]), np.uint8).reshape(n, SHALLOW)
-    order, segment = np.arange(n), np.zeros(n, np.int64)
-    for character in [*np.ascontiguousarray(head).view(">u8").T.astype(np.uint64), np.minimum(lengths, SHALLOW)]:
-        turn = np.lexsort((character[order], segment))
-        order, segment = order[turn], segment[turn]
-        apart = (np.diff(segment) != 0) | (np.diff(character[order]) != 0)
-        segment = np.concatenate(([0], np.cumsum(apart)))
+    characters = np.ascontiguousarray(head).view(">u8").astype(np.uint64)
+    order, segment = multikey_quicksort(np.column_stack((characters, np.minimum(lengths, SHALLOW).astype(np.uint64))))
     differ = head[order[1:]] != head[order[:-1]]
     first = np.where(differ.any(axis=1), differ.argmax(axis=1), SHALLOW)
     shared = np.concatenate(([0], np.minimum(first, np.minimum(lengths[order[1:]], lengths[order[:-1]]))))
