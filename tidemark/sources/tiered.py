@@ -228,12 +228,15 @@ class TieredTable:
         )
 
     def _not_taken(self, paths: list[str], ids: list[int]) -> list[str]:
-        """The paths no snapshot names. Names of flushed files grow with the table and stay rows; what is left does not."""
+        """The paths no snapshot names.
+
+        A snapshot names hot files, all of which the hot log lists, so the names are no more than the paths that Spark's
+        file index holds here anyway; one small read gets them.
+        """
         if not paths or not ids:
             return paths
-        listed = self.spark.createDataFrame([(path, file_name(path)) for path in paths], "path STRING, name STRING")
-        left = listed.join(self.taken(ids), "name", "left_anti").select("path").collect()
-        return sorted(r.path for r in left)
+        named = {r.name for r in self.taken(ids).select("name").collect()}
+        return sorted(path for path in paths if file_name(path) not in named)
 
     def _live_records(self, strict: bool = False, since: dt.datetime | None = None) -> list:
         records = self.live().select("snapshot_id", "max_time").collect()
