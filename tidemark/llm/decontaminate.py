@@ -11,7 +11,8 @@ a row number, by which the passes are united.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are lower-cased. Null and empty texts have no words,
 and an item without words has no window. A null ``item_id`` is listed as ``null``. Each input row
-gives a row, also where a ``doc_id`` repeats or is null.
+gives a row, also where a ``doc_id`` repeats or is null; ids are cast to long. Other columns, whatever their names, are
+not read.
 """
 
 from __future__ import annotations

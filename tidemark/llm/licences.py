@@ -11,7 +11,7 @@ does as well (a notice under a heading or in a list). The licences of both are u
 
 Everything happens within a row: no shuffle, and the work of a document is bounded by its own text. Texts without any of
 ``CUES`` hold none of the known sentences, which a test asserts, and are not cut up. Null texts count as empty;
-rows that repeat an id get a row each.
+rows that repeat an id get a row each; ids are cast to long. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ it give each row its place. A source with a third of all rows spreads over a thi
 
 Null text has no words and is never drawn for a fraction, but counts in complete epochs. A null source is a
 source, ordered last; a null, zero or negative quality counts as ``LOW``. Rows that repeat an id are documents of
-their own: they draw the same key and are placed next to each other.
+their own: they draw the same key and are placed next to each other. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -26,7 +26,7 @@ The tokens of all texts are read once more for step 2 and counted before anythin
 pattern has are mostly told by a bitmap of ``BITS`` bits and not counted, and no other pair's count is used.
 
 Spans are in code points with the end exclusive, by kind (email, ip, card, phone, context) and start. Null texts count
-as empty; rows that repeat an id get a row each.
+as empty; rows that repeat an id get a row each. Ids are cast to long. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ a comparison, and any two within four bits share one, so that way is exact too a
 would hold over a thousandth of all fingerprints are found on a sample beforehand and never meet in one task.
 
 Null and empty texts have no words; their fingerprint is zero and links like any other. Rows that repeat a document
-get a row each. A null doc_id is in its component but is never its id.
+get a row each. A null doc_id is in its component but is never its id. Ids are cast to long. Other columns, whatever
+their names, are not read.
 """
 
 from __future__ import annotations

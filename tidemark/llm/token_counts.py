@@ -13,7 +13,8 @@ counts nothing for it. Keys whose documents and tokens both came to zero are not
 changes says what a document was.
 
 Tokenizers are public vocabularies read from ``folder`` by the driver and sent to the tasks; a vocabulary has a fixed
-size. Texts are encoded whole; special tokens in a text are ordinary text; null text has no tokens.
+size. Texts are encoded whole; special tokens in a text are ordinary text; null text has no tokens. Columns that are not
+named as source, language, tokenizer or text are not read.
 """
 
 from __future__ import annotations
