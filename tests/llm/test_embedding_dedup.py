@@ -85,7 +85,7 @@ def test_odd_vectors(spark):
 
 
 def test_hot_copies_are_few_items(spark):
-    rows = [(i, [1.0, 2.0, 3.0, 4.0]) for i in range(3000)] + [(5000 + i, [4.0, 3.0 + i, 2.0, -1.0]) for i in range(20)]
+    rows = [(i, [1.0, 2.0, 3.0, 4.0]) for i in range(300)] + [(5000 + i, [4.0, 3.0 + i, 2.0, -1.0]) for i in range(20)]
     check(spark, rows)
     geometry = dedup.Geometry(4)
     batch = pa.record_batch(
