@@ -1,0 +1,60 @@
+"""What a backlog costs on its way through state."""
+
+from __future__ import annotations
+
+import pytest
+
+from tests.helpers import at, drop_rows, silver_rows
+from tidemark import schemas
+from tidemark.plans import demo, registry
+from tidemark.session import uncounted_state
+from tidemark.streaming import jobs
+from tidemark.streaming.jobs import CATCH_UP, Lakehouse, finish
+
+COUNTED = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+
+
+def look_ups(queries) -> tuple[int, int]:
+    """State look-ups and state rows written, over all micro-batches."""
+    operators = [op for query in queries for p in query.recentProgress for op in p["stateOperators"]]
+    return sum(op["customMetrics"]["rocksdbGetCount"] for op in operators), sum(op["numRowsUpdated"] for op in operators)
+
+
+@pytest.fixture
+def finished(monkeypatch):
+    """The streams that were waited for."""
+    seen = []
+
+    def keeping(queries):
+        finish(queries)
+        seen.extend(queries)
+
+    for module in (jobs, demo, registry):
+        monkeypatch.setattr(module, "finish", keeping)
+    return seen
+
+
+def test_health_windows_are_looked_up_once(spark, root):
+    house = Lakehouse(spark, root)
+    drop_rows(silver_rows(spark, [{"device_id": f"device_{m}", "ingest_time": at(m)} for m in range(40)]), f"{root}/in/1")
+    arriving = spark.readStream.schema(schemas.SILVER).parquet(f"{root}/in/*")
+    house.silver.append(arriving, CATCH_UP).awaitTermination()
+    query = house.start_health(CATCH_UP, "ingest_time")
+    query.awaitTermination()
+    found, written = look_ups([query])
+    assert written == 40 + 39 and found <= written
+    assert house.gold.read().count() == 39  # the last one is open
+
+
+def test_the_lakehouse_looks_up_once(spark, sf, finished):
+    demo._build(spark, sf)
+    found, written = look_ups(finished)
+    assert written > 1000 and found <= written
+
+
+def test_streams_started_later_count_again(spark):
+    before = spark.conf.get(COUNTED, None)
+    with pytest.raises(KeyError), uncounted_state(spark):
+        assert spark.conf.get(COUNTED) == "false"
+        raise KeyError
+    assert spark.conf.get(COUNTED, None) == before

@@ -15,6 +15,7 @@ from tidemark import schemas
 from tidemark.functions import decode as wire
 from tidemark.operators.enrich import silver
 from tidemark.operators.health import health_stream
+from tidemark.session import uncounted_state
 from tidemark.sources.dimension import DeviceDimension
 from tidemark.sources.tiered import TieredTable
 from tidemark.streaming.stateful import arrival_windows
@@ -120,7 +121,8 @@ class Lakehouse:
             windows = health_stream(readings, "event_time", EVENT_TIME_DELAY, size)
         else:
             raise ValueError(f"no such time: {over}")
-        return self._append(self.gold, windows, trigger)
+        with uncounted_state(self.spark):
+            return self._append(self.gold, windows, trigger)
 
     def start_tiering(self, trigger: dict | None = None) -> list[StreamingQuery]:
         """One flush job per tiered table, by default at each table's own freshness."""
