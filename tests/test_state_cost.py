@@ -58,3 +58,12 @@ def test_streams_started_later_count_again(spark):
         assert spark.conf.get(COUNTED) == "false"
         raise KeyError
     assert spark.conf.get(COUNTED, None) == before
+
+
+@pytest.mark.parametrize("name", ["stream_gold_event_time", "late_readings"])
+def test_event_time_windows_are_looked_up_once(spark, sf, finished, name):
+    demo.lakehouse(spark, sf)
+    del finished[:]
+    registry.queries()[name](spark, sf)
+    found, written = look_ups(finished)
+    assert written > 500 and found <= written

@@ -15,7 +15,7 @@ from tidemark.operators import lookup as lookups, maintenance, quality
 from tidemark.operators.enrich import DIM_COLUMNS, enriched, silver
 from tidemark.operators.health import health, health_stream
 from tidemark.plans import analytics, bindings, demo
-from tidemark.session import configure
+from tidemark.session import configure, uncounted_state
 from tidemark.sources import messages
 from tidemark.sources.dimension import DeviceDimension
 from tidemark.sources.lake import Lake
@@ -230,6 +230,18 @@ def stream_gold(spark, sf_dir):
     return _steady(demo.lakehouse(spark, sf_dir).gold.read())
 
 
+def _windows_to_files(readings: DataFrame, out: str):
+    """Event-time windows, as far as they are closed, appended to ``out``/gold."""
+    with uncounted_state(readings.sparkSession):
+        return (
+            health_stream(readings, "event_time", "5 seconds")
+            .writeStream.format("parquet")
+            .option("checkpointLocation", f"{out}/checkpoint")
+            .trigger(**CATCH_UP)
+            .start(f"{out}/gold")
+        )
+
+
 @_query
 def stream_gold_event_time(spark, sf_dir):
     """The event-time variant: five seconds of watermark over the stored silver stream."""
@@ -239,14 +251,7 @@ def stream_gold_event_time(spark, sf_dir):
     ticks.coalesce(1).write.parquet(f"{out}/ticks")
     clock = spark.readStream.schema("event_time TIMESTAMP_NTZ").parquet(f"{out}/ticks")
     readings = house.silver.stream().unionByName(clock.withColumn("is_tick", F.lit(True)), allowMissingColumns=True)
-    query = (
-        health_stream(readings, "event_time", "5 seconds")
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{out}/checkpoint")
-        .trigger(**CATCH_UP)
-        .start(f"{out}/gold")
-    )
-    finish([query])
+    finish([_windows_to_files(readings, out)])
     return _steady(spark.read.schema(schemas.GOLD).parquet(f"{out}/gold"))
 
 
@@ -258,14 +263,7 @@ def late_readings(spark, sf_dir):
     newer = F.col("event_time") >= naive(bindings.CUT)
 
     def run():
-        readings = spark.readStream.schema(schemas.SILVER).parquet(f"{out}/in/*")
-        return (
-            health_stream(readings, "event_time", "5 seconds")
-            .writeStream.format("parquet")
-            .option("checkpointLocation", f"{out}/checkpoint")
-            .trigger(**CATCH_UP)
-            .start(f"{out}/gold")
-        )
+        return _windows_to_files(spark.readStream.schema(schemas.SILVER).parquet(f"{out}/in/*"), out)
 
     rows.where(newer).write.parquet(f"{out}/in/1")
     finish([run()])
