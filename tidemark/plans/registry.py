@@ -666,9 +666,10 @@ def _drops(rows: DataFrame, by: str, folder: str):
 
 def _to_files(rows: DataFrame, out: str, trigger: dict = CATCH_UP):
     """A stream's new rows appended to ``out``/rows."""
-    return (
-        rows.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint").trigger(**trigger).start(f"{out}/rows")
-    )
+    with uncounted_state(rows.sparkSession):
+        return (
+            rows.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint").trigger(**trigger).start(f"{out}/rows")
+        )
 
 
 @_query
